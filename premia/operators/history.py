@@ -138,7 +138,8 @@ def apply_customer_batch(
     closed = {"eff_end_dt": F.lit(as_of), "current_flag": F.lit(0)}
 
     def row(exprs: dict[str, Column], side: DataFrame) -> Column:
-        return F.struct([exprs.get(f.name, side[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
+        cells = {f: exprs[f.name] if f.name in exprs else side[f.name] for f in schema.fields}
+        return F.struct([cell.cast(f.dataType).alias(f.name) for f, cell in cells.items()])
 
     rows = F.array_compact(
         F.array(

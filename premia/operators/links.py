@@ -45,15 +45,15 @@ def link_policy_version(facts: DataFrame, dim_policy: DataFrame) -> DataFrame:
     versions = dim_policy.groupBy("policy_id", F.col("policy_start_dt").alias("_day")).agg(
         F.min(F.struct("policy_type", "policy_sk"))["policy_sk"].alias("_sk")
     )
-    timeline = asked.withColumn("_sk", F.lit(None).cast("string")).withColumn("_asked", F.lit(1)).unionByName(
-        versions.withColumn("_sk", F.col("_sk").cast("string")).withColumn("_asked", F.lit(0))
+    sk_type = dim_policy.schema["policy_sk"].dataType
+    timeline = asked.select("*", F.lit(None).cast(sk_type).alias("_sk"), F.lit(1).alias("_asked")).unionByName(
+        versions.withColumn("_asked", F.lit(0))
     )
     by_day = Window.partitionBy("policy_id").orderBy("_day", "_asked")
     later = by_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     found = F.coalesce(F.last("_sk", ignorenulls=True).over(by_day), F.first("_sk", ignorenulls=True).over(later))
-    links = timeline.withColumn("policy_sk", found).filter("_asked = 1").select(
-        F.col("policy_id").alias("_policy"), "_day", F.col("policy_sk").cast(dim_policy.schema["policy_sk"].dataType)
-    )
+    links = timeline.withColumn("policy_sk", found).filter("_asked = 1")
+    links = links.select(F.col("policy_id").alias("_policy"), "_day", "policy_sk")
     on = facts["policy_id"].eqNullSafe(links["_policy"]) & facts["txn_date"].eqNullSafe(links["_day"])
     return facts.join(links, on, "left").drop("_policy", "_day")
 

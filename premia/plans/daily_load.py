@@ -18,6 +18,7 @@ from premia.operators.standardize import (
     clean_country,
     clean_currency,
     normalize_ids,
+    normalize_postal,
     parse_dates,
     project_to,
     rename_columns,
@@ -40,7 +41,7 @@ def clean_feed(raw: DataFrame, ingested_at: Column) -> DataFrame:
     if not has_any(raw, "premium_amt", "Premium_Amt", "premium_amount"):
         log.warning("the feed has no premium column; it gets no late fees")
     df = construct_customer_name(standardize_columns(raw))
-    df = clean_country(trim_strings(normalize_ids(rename_columns(df))))
+    df = normalize_postal(clean_country(trim_strings(normalize_ids(rename_columns(df)))))
     df = calculate_late_fees(clean_currency(parse_dates(df)))
     return project_to(add_feed_defaults(df, ingested_at), FEED)
 

@@ -9,13 +9,13 @@ import logging
 import re
 import zipfile
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatchcase
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from premia.operators.relational import union_outer
@@ -38,16 +38,32 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> list[str]:
-    """Sorted paths of a folder, by the file index that every Spark reader builds."""
-    found = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=recursive).load(folder)
-    return sorted(unquote(p) for p in found.inputFiles())
+def _logical(path: str) -> str:
+    """The file a path belongs to: a folder named ``*.csv``, as Spark writes it, counts as one file."""
+    parent = path.rsplit("/", 1)[0]
+    return parent if parent.endswith(".csv") else path
 
 
 def _base(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> list[str]:
+    """Sorted paths of a folder, by the file index that every Spark reader builds."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    try:
+        found = reader.load(folder if recursive else f"{folder.rstrip('/')}/{pattern}").inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    paths = sorted(unquote(p) for p in found)
+    if recursive:
+        return [p for p in paths if fnmatchcase(_base(_logical(p)), pattern)]
+    here = re.sub(r"^\w+:/*", "", folder).strip("/")
+    return [p for p in paths if _logical(p).rsplit("/", 1)[0].endswith(here)]
+
+
 def _headers(spark: SparkSession, paths: Sequence[str], options: dict) -> dict[tuple[str, ...], list[str]]:
     """Paths by header. Spark reads a single line per file for this; a file it cannot read is left out."""
 
@@ -66,6 +82,11 @@ def _headers(spark: SparkSession, paths: Sequence[str], options: dict) -> dict[t
     return dict(sorted(by_header.items()))
 
 
+def source_name(path: Column) -> Column:
+    """The name of the file a path belongs to, see :func:`_logical`."""
+    return F.regexp_extract(path, r"([^/]+\.csv)(/[^/]+)?$", 1)
+
+
 def read_files(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame | None:
     """Files with any headers as one frame of snake-case text columns plus ``source_file``.
 
@@ -74,7 +95,7 @@ def read_files(spark: SparkSession, paths: Sequence[str], **options) -> DataFram
     frames = []
     for columns, group in _headers(spark, paths, options).items():
         scan = read_csv(spark, group, _texts(columns), ignoreCorruptFiles=True, **options)
-        named = scan.select(*[f"`{c}`" for c in columns], F.col("_metadata.file_name").alias("source_file"))
+        named = scan.select(*[f"`{c}`" for c in columns], source_name(F.col("_metadata.file_path")).alias("source_file"))
         frames.append(blank_cells(standardize_columns(named)))
     return union_outer(frames) if frames else None
 
@@ -88,17 +109,19 @@ def _members(content: bytes, path: str, pattern: str) -> Iterator[tuple[str, Ite
         return
     with archive:
         for name in archive.namelist():
-            if name.endswith(".csv") and fnmatchcase(_base(name), pattern):
+            # Files in sub-folders of an archive are no files of the folder it lies in.
+            if "/" not in name and name.endswith(".csv") and fnmatchcase(name, pattern):
                 with archive.open(name) as member:
                     yield name, csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""))
 
 
-def _archives(spark: SparkSession, folder: str) -> DataFrame:
+def archives_in(spark: SparkSession, folder: str) -> DataFrame:
+    """``(path, content)`` of the zip archives in a folder."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
 
 
-def archive_headers(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """``(path, member, header)`` of the delimited files in all archives of a folder."""
+def archive_headers(archives: DataFrame, pattern: str = "*") -> DataFrame:
+    """``(path, member, header)`` of the delimited files in archives."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -106,46 +129,53 @@ def archive_headers(spark: SparkSession, folder: str, pattern: str = "*") -> Dat
                 for name, records in _members(content, path, pattern):
                     yield pd.DataFrame({"path": [path], "member": [name], "header": [next(records, [])]})
 
-    return _archives(spark, folder).mapInPandas(scan, "path string, member string, header array<string>")
+    return archives.mapInPandas(scan, "path string, member string, header array<string>")
 
 
-def read_archives(
-    spark: SparkSession, folder: str, pattern: str = "*", columns: Sequence[str] | None = None
-) -> DataFrame | None:
-    """The delimited files within the zip archives of a folder, read in place, as snake-case text columns.
+def read_members(
+    archives: DataFrame, columns: Sequence[str], pattern: str = "*", taken_from: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The rows of the delimited files in archives, as the given snake-case text columns plus ``source_file``.
 
-    Archives spread over the tasks and each is streamed record by record, in chunks; nothing is written next to
-    the input. Columns come from the members' headers unless listed. A member that several archives hold is
-    taken from the last archive by name.
+    Archives spread over the tasks. Each is read record by record and passed on in chunks, and nothing is
+    written next to the input. ``taken_from`` names the archive to use for a member that several hold.
     """
-    found = archive_headers(spark, folder, pattern).collect()  # one row per member file
-    if not found:
-        return None
-    if columns is None:
-        columns = list(dict.fromkeys(snake_case(c) for row in sorted(found) for c in row["header"]))
-    taken_from = {row["member"]: row["path"] for row in sorted(found)}
     names = list(columns)
-
-    def frame(rows: list[list[str]], header: list[str], source: str) -> pd.DataFrame:
-        width = len(header)
-        cells = pd.DataFrame([(r + [None] * (width - len(r)))[:width] for r in rows], dtype=object)
-        cells = cells.loc[:, [i for i, c in enumerate(header) if c not in header[:i]]]
-        cells.columns = list(dict.fromkeys(header))
-        return cells.reindex(columns=names).assign(source_file=source)
+    schema = _texts([*names, "source_file"])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 for name, records in _members(content, path, pattern):
-                    if taken_from[name] != path:
+                    if taken_from is not None and taken_from[name] != path:
                         continue
                     header = [snake_case(c) for c in next(records, [])]
+                    at = {c: header.index(c) for c in names if c in header}
                     filled = (r for r in records if r)
                     while rows := list(itertools.islice(filled, ROWS_PER_CHUNK)):
-                        yield frame(rows, header, _base(name))
+                        cells = {c: [r[at[c]] if c in at and at[c] < len(r) else None for r in rows] for c in names}
+                        yield pd.DataFrame({**cells, "source_file": name}, dtype=object)
+
+    return blank_cells(archives.mapInPandas(scan, schema))
+
+
+def read_archives(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame | None:
+    """The delimited files in the zip archives of a folder, with the columns of all their headers.
+
+    A member that several archives hold is taken from the last archive by name.
+    """
+    archives = archives_in(spark, folder)
+    found = sorted(archive_headers(archives, pattern).collect())  # one row per member file
+    if not found:
+        return None
+    columns = dict.fromkeys(snake_case(c) for row in found for c in row["header"])
+    return read_members(archives, list(columns), pattern, {row["member"]: row["path"] for row in found})
+
 
-    schema = T.StructType([*_texts(names).fields, T.StructField("source_file", T.StringType())])
-    return blank_cells(_archives(spark, folder).mapInPandas(scan, schema))
+def _member_names(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    if not list_files(spark, folder, "*.zip"):
+        return []
+    return [r["member"] for r in archive_headers(archives_in(spark, folder), pattern).select("member").collect()]
 
 
 def read_folder(
@@ -155,13 +185,14 @@ def read_folder(
 
     A file that lies there both plain and in an archive is read from the archive.
     """
-    zipped = None
-    plain = [p for p in list_files(spark, folder, pattern, recursive) if p.endswith(".csv")]
-    if list_files(spark, folder, "*.zip"):
-        names = {_base(r["member"]) for r in archive_headers(spark, folder, pattern).select("member").collect()}
-        plain = [p for p in plain if _base(p) not in names]
-        zipped = read_archives(spark, folder, pattern) if names else None
-    frames = [f for f in (read_files(spark, plain, **options) if plain else None, zipped) if f is not None]
+    zipped = set(_member_names(spark, folder, pattern))
+    paths = [p for p in list_files(spark, folder, pattern, recursive) if _logical(p).endswith(".csv")]
+    plain = sorted({f for p in paths if _base(f := _logical(p)) not in zipped})
+    frames = [
+        read_files(spark, plain, **options) if plain else None,
+        read_archives(spark, folder, pattern) if zipped else None,
+    ]
+    frames = [f for f in frames if f is not None]
     return union_outer(frames) if frames else None
 
 
@@ -172,9 +203,8 @@ def batch_day(source_file: Column) -> Column:
 
 def find_days(spark: SparkSession, folder: str) -> list[int]:
     """Days that the files of a folder belong to, in ascending order."""
-    names = list_files(spark, folder, "*_day*.csv")
-    if list_files(spark, folder, "*.zip"):
-        names += [r["member"] for r in archive_headers(spark, folder, "*_day*.csv").select("member").collect()]
+    pattern = "*_day*.csv"
+    names = [_logical(p) for p in list_files(spark, folder, pattern)] + _member_names(spark, folder, pattern)
     return sorted({int(m.group(1)) for n in names if (m := re.search(DAY_OF_FILE, n))})
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from premia.plans.daily_load import load_folder
-from premia.sources.files import batch_day
+from premia.sources.files import batch_day, source_name
 from premia.sources.tables import Warehouse
 
 
@@ -38,9 +38,8 @@ def load_arriving_days(
     names = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("pathGlobFilter", "*_day*.csv")
-        .load(folder)
-        .select(batch_day(F.col("path")).alias("day"))
+        .load(f"{folder.rstrip('/')}/*_day*.csv")
+        .select(batch_day(source_name(F.col("path"))).alias("day"))
         .filter("day is not null")
     )
     return (
