@@ -541,7 +541,7 @@ def _write_feed(spark, sf, folder):
             rows = raw.filter((files.batch_day(F.col("source_file")) == day) & mine).drop(*drop, "source_file")
             if day == 2:
                 rows = rows.withColumnRenamed("Customer Last Name", "Customer Last name")
-            rows.write.option("header", True).csv(f"{folder}/Feed_{variant}_day{day}.csv")
+            rows.write.options(header=True, escape='"').csv(f"{folder}/Feed_{variant}_day{day}.csv")
 
 
 @query
@@ -564,7 +564,7 @@ def _write_customers(spark, sf):
         rows = c.filter(F.col("c_custkey") % 3 == day % 3).select(
             F.col("c_custkey").alias("Customer ID"), F.col("c_name").alias(header), F.col("c_mktsegment").alias("Segment")
         )
-        rows.write.option("header", True).csv(f"{folder}/Customers_day{day}.csv")
+        rows.write.options(header=True, escape='"').csv(f"{folder}/Customers_day{day}.csv")
     return folder
 
 
@@ -576,7 +576,7 @@ def _customer_rows(df):
 def src_csv(spark, sf):
     path = f"{shared_dir(spark)}/orders.csv"
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    o.write.option("header", True).csv(path)
+    o.write.options(header=True, escape='"').csv(path)
     return as_bigint(files.read_csv(spark, path), "o_orderkey", "o_custkey")
 
 

@@ -15,18 +15,21 @@ MISSING_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# All Unicode white space; the four separators \x1c-\x1f are not in Java's class.
-_SPACE = r"[\s\x1c-\x1f]"
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_space(c: Column) -> Column:
     """Remove leading and trailing white space of any kind; SQL ``trim`` removes blanks only."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def squeeze_space(c: Column) -> Column:
     """Turn each run of white space into one blank and strip both ends."""
-    return F.trim(F.regexp_replace(c, rf"(?U){_SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, f"[{WHITE_SPACE}]+", " "))
 
 
 def blank_to_null(c: Column, texts: Iterable[str] = MISSING_TEXTS) -> Column:

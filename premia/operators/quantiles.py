@@ -3,8 +3,8 @@
 A sketch first brackets the wanted ranks: its rank error is bounded, so the exact value lies between the
 sketched values a little below and a little above. A second pass counts the values by group, where all
 values below the bracket count as one, and so do all above. What is left per group is the bracket, a share
-of about ``4 * SLACK / ACCURACY`` of its rows, and a running count over it finds the rank. Should the
-bracket ever miss, the job fails instead of giving a near value.
+of about ``4 * SLACK / ACCURACY`` of its rows, and a running count over it finds the rank. Groups of up to
+``WHOLE`` rows are their own bracket. Should a bracket ever miss, the job fails instead of giving a near value.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 100_000
 SLACK = 3
+# Below this size a share of SLACK / ACCURACY is too few ranks to be sure of the neighbours on both sides.
+WHOLE = 300_000
 
 
 def _bracket(prob: float) -> list[float]:
@@ -58,7 +60,9 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], col: str, out: str | Non
     """Exact median of a numeric column per group; nulls do not count."""
     value = F.col(col).cast("double")
     rows = df.select(*keys, value.alias("_value")).filter(value.isNotNull() & ~F.isnan(value))
-    sketch = rows.groupBy(*keys).agg(F.approx_percentile("_value", _bracket(0.5), ACCURACY).alias("_ends"))
+    sketched = F.approx_percentile("_value", _bracket(0.5), ACCURACY)
+    all_of_it = F.array(F.min("_value"), F.max("_value"))
+    sketch = rows.groupBy(*keys).agg(F.when(F.count("*") > WHOLE, sketched).otherwise(all_of_it).alias("_ends"))
     zone = _zone(F.col("_value"), F.col("_ends")[0], F.col("_ends")[1])
     counts = (
         rows.join(sketch, list(keys))
@@ -78,16 +82,20 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     """
     spark = df.sparkSession
     values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
-    ends = df.agg(
+    spans = df.agg(
         *[
-            F.approx_percentile(values[c], [e for p in probs for e in _bracket(p)], ACCURACY).alias(f"q{i}")
+            F.struct(
+                F.count(values[c]).alias("n"),
+                F.array(F.min(values[c]), F.max(values[c])).alias("all"),
+                F.approx_percentile(values[c], [e for p in probs for e in _bracket(p)], ACCURACY).alias("sketched"),
+            ).alias(f"c{i}")
             for i, c in enumerate(cols)
         ]
     ).first()
     brackets = [
-        (c, float(p), *ends[i][2 * j : 2 * j + 2])
-        for i, c in enumerate(cols)
-        if ends[i] is not None
+        (c, float(p), *(span.sketched[2 * j : 2 * j + 2] if span.n > WHOLE else span.all))
+        for c, span in zip(cols, spans, strict=True)
+        if span.n > 0
         for j, p in enumerate(probs)
     ]
     if not brackets:

@@ -29,10 +29,11 @@ def build_fact(
 
     By default each feed row with a customer version gives one fact. ``closed='both'`` and
     ``policy_versions=False`` give the plain links: two facts on the day of a customer change, and one per
-    version of the policy.
+    version of the policy. The policy comes first, because its link reads the policies and days of the rows
+    once more, which is cheapest straight from the feed.
     """
-    linked = link_customer_version(feed, dim_customer, closed)
-    linked = (link_policy_version if policy_versions else link_policy)(linked, dim_policy)
+    linked = (link_policy_version if policy_versions else link_policy)(feed, dim_policy)
+    linked = link_customer_version(linked, dim_customer, closed)
     linked = link_address(normalize_postal(linked), dim_address)
     linked = link_late_fee(linked, dim_late_fee)
     return project_to(

@@ -33,8 +33,12 @@ def _texts(names: Iterable[str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None, **options) -> DataFrame:
-    """A delimited file with a header; all columns are text unless a schema is given."""
-    reader = spark.read.options(header=True, **options)
+    """A delimited file with a header; all columns are text unless a schema is given.
+
+    Quotes within quoted cells are doubled. Line breaks in cells need ``multiLine=True``, with which a file can
+    no longer be split among tasks.
+    """
+    reader = spark.read.options(**{"header": True, "escape": '"', **options})
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

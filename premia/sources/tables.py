@@ -60,6 +60,18 @@ def load_table(
         writer.format("parquet").saveAsTable(target)
 
 
+def named_tables(spark: SparkSession, names: Sequence[str]) -> dict[str, DataFrame | None]:
+    """Registered tables by name; None for one that cannot be read."""
+    found: dict[str, DataFrame | None] = {}
+    for name in names:
+        try:
+            found[name] = spark.table(name)
+        except AnalysisException as error:
+            log.error("failed to read %s: %s", name, error)
+            found[name] = None
+    return found
+
+
 def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """``(table_name, rows)`` for all tables; one that cannot be read is None and reports no count."""
     counts = [
