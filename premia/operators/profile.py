@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from premia.operators.quality import is_missing, unpivot
 from premia.operators.quantiles import column_quantiles
@@ -87,11 +87,19 @@ def basic_stats(df: DataFrame) -> DataFrame:
 
 
 def correlations(df: DataFrame) -> DataFrame:
-    """``(column_x, column_y, correlation)`` for all pairs of numeric columns, over rows where both are given."""
+    """``(column_x, column_y, correlation)`` for all pairs of numeric columns, over rows where both are given.
+
+    A column with one value has no correlation. ``corr`` would divide by zero there, which is an error in ANSI mode.
+    """
     cols = numeric_columns(df)
     pairs = list(combinations_with_replacement(cols, 2))
     value = {c: F.when(~is_missing(df, c), F.col(c).cast("double")) for c in cols}
-    wide = df.agg(*[F.corr(value[x], value[y]).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
+
+    def pearson(x: str, y: str) -> Column:
+        spread = [F.stddev_pop(F.when(value[b].isNotNull(), value[a])) for a, b in ((x, y), (y, x))]
+        return F.try_divide(F.covar_pop(value[x], value[y]), spread[0] * spread[1])
+
+    wide = df.agg(*[pearson(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
     cells = []
     for i, (x, y) in enumerate(pairs):
         for a, b in {(x, y), (y, x)}:
