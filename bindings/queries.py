@@ -53,12 +53,12 @@ def as_bigint(df: DataFrame, *cols: str) -> DataFrame:
 
 @query
 def rpt_b(spark, sf):
-    return reports.changed_policy_type(views.warehouse(spark, sf))
+    return reports.changed_policy_type(views.Warehouse(spark, sf))
 
 
 @query
 def rpt_b_revised(spark, sf):
-    return reports.changed_policy_details(views.warehouse(spark, sf))
+    return reports.changed_policy_details(views.Warehouse(spark, sf))
 
 
 @query
@@ -69,33 +69,33 @@ def rpt_b_customer(spark, sf):
 
 @query
 def rpt_c(spark, sf):
-    return as_double(reports.amounts_by_customer(views.warehouse(spark, sf)), "total_policy_amt")
+    return as_double(reports.amounts_by_customer(views.Warehouse(spark, sf)), "total_policy_amt")
 
 
 @query
 def rpt_d(spark, sf):
-    return as_double(reports.amounts_by_type(views.warehouse(spark, sf), "URGENT"), "total_policy_amt")
+    return as_double(reports.amounts_by_type(views.Warehouse(spark, sf), "URGENT"), "total_policy_amt")
 
 
 @query
 def rpt_e(spark, sf):
-    found = reports.amounts_by_term(views.warehouse(spark, sf), ["ASIA", "EUROPE"], "Quarterly", 1996)
+    found = reports.amounts_by_term(views.Warehouse(spark, sf), ["ASIA", "EUROPE"], "Quarterly", 1996)
     return as_double(found, "total_policy_amt")
 
 
 @query
 def rpt_f(spark, sf):
-    return reports.marital_history(views.warehouse(spark, sf))
+    return reports.marital_history(views.Warehouse(spark, sf))
 
 
 @query
 def rpt_g(spark, sf):
-    return as_double(reports.full_listing(views.warehouse(spark, sf)), "total_policy_amt")
+    return as_double(reports.full_listing(views.Warehouse(spark, sf)), "total_policy_amt")
 
 
 @query
 def rpt_h(spark, sf):
-    return reports.address_history(views.warehouse(spark, sf), dt.date(1996, 1, 1), dt.date(1998, 12, 31))
+    return reports.address_history(views.Warehouse(spark, sf), dt.date(1996, 1, 1), dt.date(1998, 12, 31))
 
 
 # --- links and joins -----------------------------------------------------------------------------------------

@@ -89,17 +89,28 @@ def basic_stats(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame) -> DataFrame:
     """``(column_x, column_y, correlation)`` for all pairs of numeric columns, over rows where both are given.
 
-    A column with one value has no correlation. ``corr`` would divide by zero there, which is an error in ANSI mode.
+    Where a column has one value only there is no correlation; ``corr`` would divide by zero, an error in ANSI
+    mode. A first pass tells which columns vary, and which have gaps, so that they may be constant over the rows
+    of a pair; for these the division is guarded, which costs more.
     """
     cols = numeric_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_x string, column_y string, correlation double")
     pairs = list(combinations_with_replacement(cols, 2))
     value = {c: F.when(~is_missing(df, c), F.col(c).cast("double")) for c in cols}
+    spans = {c: F.struct(F.count(v).alias("n"), (F.min(v) < F.max(v)).alias("varies")) for c, v in value.items()}
+    rows, *found = df.agg(F.count("*"), *spans.values()).first()
+    first = dict(zip(cols, found, strict=True))
 
     def pearson(x: str, y: str) -> Column:
+        if not (first[x].varies and first[y].varies):
+            return F.lit(None).cast("double")
+        if x == y or first[x].n == first[y].n == rows:
+            return F.corr(value[x], value[y])
         spread = [F.stddev_pop(F.when(value[b].isNotNull(), value[a])) for a, b in ((x, y), (y, x))]
         return F.try_divide(F.covar_pop(value[x], value[y]), spread[0] * spread[1])
 
-    wide = df.agg(*[pearson(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
+    wide = df.agg(F.count("*"), *[pearson(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
     cells = []
     for i, (x, y) in enumerate(pairs):
         for a, b in {(x, y), (y, x)}:

@@ -202,7 +202,7 @@ def read_folder(
 
 def batch_day(source_file: Column) -> Column:
     """The day number in a file name, null without one."""
-    return F.nullif(F.regexp_extract(source_file, DAY_OF_FILE, 1), F.lit("")).cast("int")
+    return F.regexp_extract(source_file, DAY_OF_FILE, 1).try_cast("int")
 
 
 def find_days(spark: SparkSession, folder: str) -> list[int]:

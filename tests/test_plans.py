@@ -54,7 +54,7 @@ def test_first_rows_are_found_before_the_shuffle(spark):
 
 
 def test_reports_count_transactions_before_the_join(no_broadcast):
-    text = plan(reports.amounts_by_customer(views.warehouse(no_broadcast, SF)))
+    text = plan(reports.amounts_by_customer(views.Warehouse(no_broadcast, SF)))
     assert "partial_count" in text
     assert re.search(r"SortMergeJoin \[policy_sk.*(?:\n.*){3}HashAggregate\(keys=\[customer_sk", text)
 
@@ -68,7 +68,7 @@ def test_scans_read_only_the_columns_needed(spark):
 def test_year_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "p")
     views.dim_policy(spark, SF).write.parquet(path)
-    tables = {**views.warehouse(spark, SF), "dim_policy": spark.read.parquet(path)}
+    tables = {**views.Warehouse(spark, SF), "dim_policy": spark.read.parquet(path)}
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     text = plan(reports.amounts_by_term(tables))
     spark.conf.unset("spark.sql.maxMetadataStringLength")
@@ -78,7 +78,7 @@ def test_year_filter_reaches_the_scan(spark, tmp_path):
 
 
 def test_null_keys_spread_in_the_listing(no_broadcast):
-    text = plan(reports.full_listing(views.warehouse(no_broadcast, SF)))
+    text = plan(reports.full_listing(views.Warehouse(no_broadcast, SF)))
     assert re.search(r"hashpartitioning\(address_sk#\w+, _spread#\w+", text)
 
 
