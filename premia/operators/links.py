@@ -77,11 +77,8 @@ def late_fee_bands(spark, created_at: Column | None = None, max_months: int = 60
 
 
 def link_late_fee(facts: DataFrame, bands: DataFrame) -> DataFrame:
-    """Add ``late_fee_sk`` by months of delay; early payers and delays beyond the table get null.
-
-    The table is made by :func:`late_fee_bands`, one row per month, and is therefore sent to all executors.
-    """
-    b = F.broadcast(bands.select(F.col("duration_months").alias("_months"), "late_fee_sk"))
+    """Add ``late_fee_sk`` by months of delay; early payers and delays beyond the table get null."""
+    b = bands.select(F.col("duration_months").alias("_months"), "late_fee_sk")
     return facts.join(b, facts["late_duration_months"] == b["_months"], "left").drop("_months")
 
 

@@ -12,7 +12,7 @@ from premia.operators.quantiles import grouped_medians
 
 log = logging.getLogger(__name__)
 
-_JOIN_KINDS = {"inner": "inner", "left": "left", "right": "right", "outer": "full"}
+_JOIN_KINDS = ("inner", "left", "right", "outer")
 
 
 def same_keys(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str]) -> Column:
@@ -31,21 +31,40 @@ def join_tables(
     right_on: str | Sequence[str],
     how: str = "left",
     suffixes: tuple[str, str] = ("_x", "_y"),
+    hot_keys: bool = False,
 ) -> DataFrame:
     """Equi-join where null keys match each other; other columns with the same name get a suffix.
 
     Keys of the same name on both sides come out once. A cross join takes no keys and is not offered.
+
+    Adaptive execution splits a hot key on both sides of an inner join, but only on the side that an outer join
+    keeps whole, and not at all in a full join. A full join is therefore put together from parts that can be
+    split, and with ``hot_keys`` so is a left or right join, at the price of reading the inputs twice.
     """
     if how not in _JOIN_KINDS:
-        raise ValueError(f"join kind {how!r}: use one of {sorted(_JOIN_KINDS)}")
+        raise ValueError(f"join kind {how!r}: use one of {_JOIN_KINDS}")
     lkeys, rkeys = _as_list(left_on), _as_list(right_on)
     shared = {a for a, b in zip(lkeys, rkeys, strict=True) if a == b}
     clashes = (set(left.columns) & set(right.columns)) - shared
     l_names = {c: f"l{i}" for i, c in enumerate(left.columns)}
     r_names = {c: f"r{i}" for i, c in enumerate(right.columns)}
     lhs, rhs = left.toDF(*l_names.values()), right.toDF(*r_names.values())
-    on = same_keys(lhs, rhs, [l_names[c] for c in lkeys], [r_names[c] for c in rkeys])
-    joined = lhs.join(rhs, on, _JOIN_KINDS[how])
+    l_on, r_on = [l_names[c] for c in lkeys], [r_names[c] for c in rkeys]
+
+    def unmatched(kept: DataFrame, kept_on: list[str], other: DataFrame, other_on: list[str]) -> DataFrame:
+        keys = other.select(other_on).distinct()
+        return kept.join(keys, same_keys(kept, keys, kept_on, other_on), "left_anti")
+
+    on = same_keys(lhs, rhs, l_on, r_on)
+    if hot_keys or how == "outer":
+        parts = [lhs.join(rhs, on, "inner")]
+        if how in ("left", "outer"):
+            parts.append(unmatched(lhs, l_on, rhs, r_on))
+        if how in ("right", "outer"):
+            parts.append(unmatched(rhs, r_on, lhs, l_on))
+        joined = union_outer(parts)
+    else:
+        joined = lhs.join(rhs, on, how)
 
     def left_column(c: str) -> Column:
         col = F.coalesce(l_names[c], r_names[c]) if c in shared else F.col(l_names[c])

@@ -17,6 +17,14 @@ from premia.operators.links import left_join_nullable
 Tables = Mapping[str, DataFrame]
 
 
+def with_collation(tables: Tables, collation: str = "UTF8_LCASE") -> dict[str, DataFrame]:
+    """The tables with all text under a collation, for reports that treat upper and lower case alike."""
+    return {
+        name: df.withColumns({c: F.collate(F.col(c), collation) for c, t in df.dtypes if t == "string"})
+        for name, df in tables.items()
+    }
+
+
 def _links(fact: DataFrame) -> DataFrame:
     """``(customer_sk, policy_sk, txns)``: the number of facts per customer version and policy version."""
     given = F.col("customer_sk").isNotNull() & F.col("policy_sk").isNotNull()

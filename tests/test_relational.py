@@ -14,11 +14,12 @@ L = [(1, "a"), (2, "b"), (None, "c")]
 R = [(1, "x"), (1, "y"), (None, "z"), (3, "w")]
 
 
+@pytest.mark.parametrize("hot_keys", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
-def test_join_is_that_of_pandas(spark, how):
+def test_join_is_that_of_pandas(spark, how, hot_keys):
     left = spark.createDataFrame(L, "k int, v string")
     right = spark.createDataFrame(R, "k int, v string")
-    got = join_tables(left, right, "k", "k", how)
+    got = join_tables(left, right, "k", "k", how, hot_keys=hot_keys)
     want = pd.DataFrame(L, columns=["k", "v"]).merge(pd.DataFrame(R, columns=["k", "v"]), on="k", how=how)
     want = want.astype(object).where(want.notna(), None)
     assert got.columns == list(want.columns)

@@ -141,3 +141,15 @@ def test_type_changes_by_customer(spark):
     data = [("a", day(1), "X"), ("a", day(1), "W"), ("a", day(5), "Y"), ("a", day(9), "Y"), ("a", None, "Z"), ("b", day(1), "X")]
     df = spark.createDataFrame(data, "customer_id string, policy_start_dt date, policy_type string")
     assert rows(reports.customer_type_changes(df)) == [("a", day(5), "Y", "W")]
+
+
+def test_reports_may_ignore_case(spark, tables):
+    shouted = {**tables, "dim_customer": tables["dim_customer"].selectExpr("* except (customer_name)", "if(current_flag = 1, upper(customer_name), lower(customer_name)) as customer_name")}
+    assert reports.amounts_by_customer(shouted).count() > reports.amounts_by_customer(tables).count()
+    blind = reports.amounts_by_customer(reports.with_collation(shouted))
+    got = {r.customer_id: r.total_policy_amt for r in blind.collect()}
+    assert got == {r.customer_id: r.total_policy_amt for r in reports.amounts_by_customer(tables).collect()}
+    auto = reports.amounts_by_type(reports.with_collation(tables), "AUTO")
+    assert auto.count() == reports.amounts_by_type(tables, "Auto").count() > 0
+    for report in (reports.changed_policy_type, reports.changed_policy_details, reports.marital_history, reports.full_listing, reports.address_history, reports.amounts_by_term):
+        report(reports.with_collation(tables)).collect()
