@@ -50,8 +50,9 @@ def link_policy_version(facts: DataFrame, dim_policy: DataFrame) -> DataFrame:
         versions.withColumn("_asked", F.lit(0))
     )
     by_day = Window.partitionBy("policy_id").orderBy("_day", "_asked")
-    later = by_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    found = F.coalesce(F.last("_sk", ignorenulls=True).over(by_day), F.first("_sk", ignorenulls=True).over(later))
+    # The whole partition: a frame from the current row on would be computed anew for every row.
+    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = F.coalesce(F.last("_sk", ignorenulls=True).over(by_day), F.first("_sk", ignorenulls=True).over(whole))
     links = timeline.withColumn("policy_sk", found).filter("_asked = 1")
     links = links.select(F.col("policy_id").alias("_policy"), "_day", "policy_sk")
     on = facts["policy_id"].eqNullSafe(links["_policy"]) & facts["txn_date"].eqNullSafe(links["_day"])
