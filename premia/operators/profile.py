@@ -35,6 +35,17 @@ def _is_time(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A number as it is, a date or time as its wall clock in seconds since 1970."""
+    col, kind = F.col(name), df.schema[name].dataType
+    if not _is_time(kind):
+        return col.cast("double")
+    days = F.unix_date(F.to_date(col)) * F.lit(86400.0)
+    if isinstance(kind, T.DateType):
+        return days
+    return days + F.hour(col) * 3600 + F.minute(col) * 60 + F.date_part(F.lit("SECOND"), col).cast("double")
+
+
 def basic_stats(df: DataFrame) -> DataFrame:
     """One row per column: count, unique, top, freq, mean, std, min, p25, p50, p75, max.
 
@@ -45,13 +56,7 @@ def basic_stats(df: DataFrame) -> DataFrame:
     texts = [c for c in df.columns if c not in measured]
     parts = []
     if measured:
-        seconds = {
-            c: (
-                F.unix_timestamp(F.col(c).cast("timestamp")) if _is_time(df.schema[c].dataType) else F.col(c)
-            ).cast("double")
-            for c in measured
-        }
-        values = df.select([F.nanvl(e, F.lit(None).cast("double")).alias(c) for c, e in seconds.items()])
+        values = df.select([F.nanvl(_as_number(df, c), F.lit(None).cast("double")).alias(c) for c in measured])
         kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
         wide = values.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(measured) for k, f in kinds.items()])
         stats = unpivot(

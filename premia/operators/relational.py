@@ -80,6 +80,7 @@ def join_tables(
 _AGGREGATES = {
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
     "count": F.count,
+    "size": lambda c: F.count("*"),
     "mean": F.avg,
     "min": F.min,
     "max": F.max,
@@ -90,34 +91,42 @@ _AGGREGATES = {
 
 
 def aggregations(
-    df: DataFrame, group_cols: Sequence[str], agg: Mapping[str, str], order_by: Sequence[str] = ()
+    df: DataFrame, group_cols: str | Sequence[str], agg: Mapping[str, str | Sequence[str]], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """One aggregate per column, by name: sum, count, mean, min, max, std, var, nunique, first, last, median.
+    """Aggregates by name: sum, count, size, mean, min, max, std, var, nunique, first, last, median.
 
-    Rows with a null key are dropped and the sum of nothing is 0. The result is not sorted. ``first`` and ``last`` take the non-null
-    value at either end of ``order_by``, since rows of a distributed table have no order of their own.
-    The median is exact and never gathers a whole group, see :func:`premia.operators.quantiles.grouped_medians`.
+    One name per column keeps the column's name; a list gives a column ``column_aggregate`` for each name.
+    Rows with a null key are dropped and the sum of nothing is 0. The result is not sorted. ``first`` and ``last``
+    take the non-null value at either end of ``order_by``, since rows of a distributed table have no order of
+    their own. The median is exact and never gathers a whole group, see
+    :func:`premia.operators.quantiles.grouped_medians`.
     """
-    keys = list(group_cols)
+    keys = _as_list(group_cols)
     rows = df.na.drop(subset=keys)
-    exprs, medians = [], []
-    for name, kind in agg.items():
+    wanted: dict[str, tuple[str, str]] = {}
+    for name, kinds in agg.items():
+        if isinstance(kinds, str):
+            wanted[name] = (name, kinds)
+        else:
+            wanted.update({f"{name}_{kind}": (name, kind) for kind in kinds})
+    exprs, medians = [], {}
+    for out, (name, kind) in wanted.items():
         col = F.col(name)
         if kind == "median":
-            medians.append(name)
+            medians[out] = name
         elif kind in ("first", "last"):
             if not order_by:
                 raise ValueError(f"{kind} of {name} needs order_by")
             ranked = F.when(col.isNotNull(), F.struct(*order_by, col.alias("_value")))
-            exprs.append((F.min if kind == "first" else F.max)(ranked)["_value"].alias(name))
+            exprs.append((F.min if kind == "first" else F.max)(ranked)["_value"].alias(out))
         elif kind in _AGGREGATES:
-            exprs.append(_AGGREGATES[kind](col).alias(name))
+            exprs.append(_AGGREGATES[kind](col).alias(out))
         else:
             raise ValueError(f"unknown aggregate {kind!r}")
     result = rows.groupBy(*keys).agg(*exprs) if exprs else rows.select(*keys).distinct()
-    for name in medians:
-        result = result.join(grouped_medians(rows, keys, name), keys, "left")
-    return result.select(*keys, *agg)
+    for out, name in medians.items():
+        result = result.join(grouped_medians(rows, keys, name, out), keys, "left")
+    return result.select(*keys, *wanted)
 
 
 def union_outer(frames: Sequence[DataFrame]) -> DataFrame:

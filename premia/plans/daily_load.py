@@ -38,9 +38,10 @@ STAGING = ("stg_customers", "stg_policy", "stg_address", "stg_transactions")
 
 def clean_feed(raw: DataFrame, ingested_at: Column) -> DataFrame:
     """A raw feed of text columns to the cleaned feed."""
-    if not has_any(raw, "premium_amt", "Premium_Amt", "premium_amount"):
-        log.warning("the feed has no premium column; it gets no late fees")
-    df = construct_customer_name(standardize_columns(raw))
+    df = standardize_columns(raw)
+    if not has_any(df, "premium_amt", "premium_amount"):
+        log.warning("the feed has no premium column and gets no late fees")
+    df = construct_customer_name(df)
     df = normalize_postal(clean_country(trim_strings(normalize_ids(rename_columns(df)))))
     df = calculate_late_fees(clean_currency(parse_dates(df)))
     return project_to(add_feed_defaults(df, ingested_at), FEED)

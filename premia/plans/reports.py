@@ -232,3 +232,15 @@ def address_history(
         )
         .orderBy("customer_id", "first_seen_date", "address_sk")
     )
+
+
+REPORTS = {
+    "b": changed_policy_type,
+    "b_revised": changed_policy_details,
+    "c": amounts_by_customer,
+    "d": amounts_by_type,
+    "e": amounts_by_term,
+    "f": marital_history,
+    "g": full_listing,
+    "h": address_history,
+}

@@ -93,7 +93,8 @@ class Warehouse:
 
     A load overwrites the parts of its own day only and is then entered in the ``loads`` log. Readers see the
     parts of logged days, so a load that was cut off stays invisible, and one that is repeated leaves no
-    doubles. Logging a day again takes back all later days, which are then loaded anew.
+    doubles. Logging a day again takes back all later days, which are then loaded anew. There is one writer at a
+    time.
 
     Parts are never rewritten by later days. A customer batch writes the rows it expired next to all rows
     current after it, in parts by ``current_flag``; the customer table is the expired rows of all days plus the

@@ -81,6 +81,12 @@ def test_stats_are_those_of_pandas(spark):
     assert [got["d"][k] for k in ("count", "min", "p50", "max")] == [1, 86400.0, 86400.0, 86400.0]
 
 
+def test_stats_of_times_take_the_wall_clock(spark):
+    df = spark.sql("select timestamp_ntz'1970-01-02 01:02:03.5' as a, timestamp'1970-01-01 00:00:07' as b, date'1970-01-03' as c")
+    got = {r.column_name: r.p50 for r in profile.basic_stats(df).collect()}
+    assert got == {"a": 86400 + 3723.5, "b": 7.0, "c": 2 * 86400.0}
+
+
 def test_correlations_are_those_of_pandas(spark):
     pdf = pd.DataFrame({"a": [1, 2, 3, 5], "b": [2.0, NAN, 1.0, 0.0], "c": [1.0, 1.0, 1.0, 1.0]})
     want = pdf.corr()

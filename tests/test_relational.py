@@ -49,6 +49,13 @@ def test_aggregates_drop_null_keys_and_sum_nothing_to_zero(spark):
     assert rows(got) == [("a", 0, 2), ("b", 7, 4)]
 
 
+def test_several_aggregates_of_a_column(spark):
+    df = spark.createDataFrame([("a", None), ("a", 2), ("a", 4), ("b", 7)], "k string, v int")
+    got = aggregations(df, "k", {"v": ["count", "size", "median", "nunique", "max"]})
+    assert got.columns == ["k", "v_count", "v_size", "v_median", "v_nunique", "v_max"]
+    assert rows(got) == [("a", 2, 3, 3.0, 2, 4), ("b", 1, 1, 7.0, 1, 7)]
+
+
 def test_first_and_last_skip_nulls(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 6, 3), ("a", None, 4)], "k string, v int, o int")
     assert rows(aggregations(df, ["k"], {"v": "first"}, ["o"])) == [("a", 5)]

@@ -151,5 +151,5 @@ def test_reports_may_ignore_case(spark, tables):
     assert got == {r.customer_id: r.total_policy_amt for r in reports.amounts_by_customer(tables).collect()}
     auto = reports.amounts_by_type(reports.with_collation(tables), "AUTO")
     assert auto.count() == reports.amounts_by_type(tables, "Auto").count() > 0
-    for report in (reports.changed_policy_type, reports.changed_policy_details, reports.marital_history, reports.full_listing, reports.address_history, reports.amounts_by_term):
+    for report in reports.REPORTS.values():
         report(reports.with_collation(tables)).collect()
