@@ -611,7 +611,7 @@ def src_zip_csv(spark, sf):
     text = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nnext'))
     rows = c.select(F.col("c_custkey").alias("Customer ID"), text.alias("Name"))
     archives = rows.mapInPandas(pack, "path string, content binary")
-    return _customer_rows(files.read_members(archives, ["customer_id", "name"]))
+    return _customer_rows(files.read_members(archives, {"Customer ID": "customer_id", "Name": "name"}))
 
 
 @query

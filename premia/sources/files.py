@@ -8,8 +8,9 @@ import itertools
 import logging
 import re
 import zipfile
+import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatchcase
 from urllib.parse import unquote
@@ -104,19 +105,39 @@ def read_files(spark: SparkSession, paths: Sequence[str], **options) -> DataFram
     return union_outer(frames) if frames else None
 
 
-def _members(content: bytes, path: str, pattern: str) -> Iterator[tuple[str, Iterator[list[str]]]]:
-    """Names and record streams of the delimited files in an archive; a bad archive is logged and gives none."""
-    try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
-    except zipfile.BadZipFile as error:
-        log.error("failed to unzip %s: %s", path, error)
-        return
-    with archive:
-        for name in archive.namelist():
-            # Files in sub-folders of an archive are no files of the folder it lies in.
-            if "/" not in name and name.endswith(".csv") and fnmatchcase(name, pattern):
-                with archive.open(name) as member:
-                    yield name, csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""))
+Records = Iterator[tuple[str, Iterator[list[str]]]]
+
+
+def _member_reader(pattern: str) -> Callable[[bytes, str], Records]:
+    """A function that gives names and record streams of the delimited files in an archive.
+
+    It is nested so that it travels to the tasks by value: executors need no copy of this package.
+    """
+
+    csv_limit = 2**31 - 1
+    unreadable = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError)
+
+    def records(archive: zipfile.ZipFile, path: str, name: str) -> Iterator[list[str]]:
+        csv.field_size_limit(csv_limit)
+        try:
+            with archive.open(name) as member:
+                yield from csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""))
+        except unreadable as error:
+            log.error("failed to read %s of %s: %s", name, path, error)
+
+    def members(content: bytes, path: str) -> Records:
+        try:
+            archive = zipfile.ZipFile(io.BytesIO(content))
+        except zipfile.BadZipFile as error:
+            log.error("failed to unzip %s: %s", path, error)
+            return
+        with archive:
+            for name in archive.namelist():
+                # Files in sub-folders of an archive are no files of the folder it lies in.
+                if "/" not in name and name.endswith(".csv") and fnmatchcase(name, pattern):
+                    yield name, records(archive, path, name)
+
+    return members
 
 
 def archives_in(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,41 +147,45 @@ def archives_in(spark: SparkSession, folder: str) -> DataFrame:
 
 def archive_headers(archives: DataFrame, pattern: str = "*") -> DataFrame:
     """``(path, member, header)`` of the delimited files in archives."""
+    members = _member_reader(pattern)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                for name, records in _members(content, path, pattern):
+                for name, records in members(content, path):
                     yield pd.DataFrame({"path": [path], "member": [name], "header": [next(records, [])]})
 
     return archives.mapInPandas(scan, "path string, member string, header array<string>")
 
 
 def read_members(
-    archives: DataFrame, columns: Sequence[str], pattern: str = "*", taken_from: Mapping[str, str] | None = None
+    archives: DataFrame, names: Mapping[str, str], pattern: str = "*", taken_from: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """The rows of the delimited files in archives, as the given snake-case text columns plus ``source_file``.
+    """The rows of the delimited files in archives, as text columns plus ``source_file``.
 
-    Archives spread over the tasks. Each is read record by record and passed on in chunks, and nothing is
-    written next to the input. ``taken_from`` names the archive to use for a member that several hold.
+    ``names`` gives the column for each spelling a header may use; of spellings for one column that a header
+    has, the first counts. Archives spread over the tasks. Each is read record by record and passed on in
+    chunks, and nothing is written next to the input. ``taken_from`` names the archive to use for a member that
+    several hold.
     """
-    names = list(columns)
-    schema = _texts([*names, "source_file"])
+    members, column_of = _member_reader(pattern), dict(names)
+    columns = list(dict.fromkeys(column_of.values()))
+    per_chunk = ROWS_PER_CHUNK
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                for name, records in _members(content, path, pattern):
+                for name, records in members(content, path):
                     if taken_from is not None and taken_from[name] != path:
                         continue
-                    header = [snake_case(c) for c in next(records, [])]
-                    at = {c: header.index(c) for c in names if c in header}
+                    header = [column_of.get(c) for c in next(records, [])]
+                    at = {c: header.index(c) for c in columns if c in header}
                     filled = (r for r in records if r)
-                    while rows := list(itertools.islice(filled, ROWS_PER_CHUNK)):
-                        cells = {c: [r[at[c]] if c in at and at[c] < len(r) else None for r in rows] for c in names}
+                    while rows := list(itertools.islice(filled, per_chunk)):
+                        cells = {c: [r[at[c]] if c in at and at[c] < len(r) else None for r in rows] for c in columns}
                         yield pd.DataFrame({**cells, "source_file": name}, dtype=object)
 
-    return blank_cells(archives.mapInPandas(scan, schema))
+    return blank_cells(archives.mapInPandas(scan, _texts([*columns, "source_file"])))
 
 
 def read_archives(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame | None:
@@ -172,8 +197,8 @@ def read_archives(spark: SparkSession, folder: str, pattern: str = "*") -> DataF
     found = sorted(archive_headers(archives, pattern).collect())  # one row per member file
     if not found:
         return None
-    columns = dict.fromkeys(snake_case(c) for row in found for c in row["header"])
-    return read_members(archives, list(columns), pattern, {row["member"]: row["path"] for row in found})
+    names = {c: snake_case(c) for row in found for c in row["header"]}
+    return read_members(archives, names, pattern, {row["member"]: row["path"] for row in found})
 
 
 def _member_names(spark: SparkSession, folder: str, pattern: str) -> list[str]:

@@ -78,6 +78,17 @@ def test_last_archive_wins_and_odd_records_survive(spark, tmp_path):
     assert got == [("1", 'two\nlines, "quoted"'), ("2", None), ("3", "c"), ("4", None)]
 
 
+def test_long_cells_and_damaged_members(spark, tmp_path):
+    long = "x" * 300_000
+    folder = feeds.write_zip(tmp_path, "a.zip", {"a_day1.csv": f"Id,Note\n1,{long}\n", "b_day1.csv": "Id,Note\n" + "2,y\n" * 50_000})
+    whole = (tmp_path / "a.zip").read_bytes()
+    at = whole.index(b"b_day1.csv") + len(b"b_day1.csv") + 200_000
+    (tmp_path / "a.zip").write_bytes(whole[:at] + b"#" + whole[at + 1 :])
+    df = files.read_folder(spark, folder)
+    assert [len(r.note) for r in df.filter("source_file = 'a_day1.csv'").collect()] == [300_000]
+    assert 0 < df.filter("source_file = 'b_day1.csv'").count() <= 50_000
+
+
 def test_folder_written_by_spark_counts_as_one_file(spark, tmp_path):
     df = spark.range(10).selectExpr("id as `Customer ID`", "'a \"b\", c' as Note").repartition(3)
     df.write.options(header=True, escape='"').csv(str(tmp_path / "Feed_X_day4.csv"))
