@@ -18,15 +18,15 @@ WHOLE = ["Customer ID", "Customer Name"]
 
 def line(who, status, kind, policy, start, due, paid, country, region, postal, premium="5000", segment="Corporate") -> list[str]:
     return [
-        *who, segment, status, "Male", "2/5/1980", "6/30/2011", "", kind, f"Kind{kind}", f"About {kind}", policy,
-        f"Plan {kind}", premium, "Quarterly", start, "1/1/2112", due, paid, country, region, f"{region} State", "Town",
+        *who, segment, status, "Male", "7/9/1980", "5/31/2011", "", kind, f"Kind{kind}", f"About {kind}", policy,
+        f"Plan {kind}", premium, "Quarterly", start, "1/1/2101", due, paid, country, region, f"{region} State", "Town",
         postal, "500000", "60000",
     ]
 
 
 DAY1_CENTRAL = [
-    line(["1", "Mr.", "ANNA", "", "o'hara"], "Single", "10", "10_1", "12/30/2009", "3/30/2013", "9/24/2013", "US", "Central", "01234"),
-    line([" 2 ", "Mrs.", "bea", "q", "Lund"], "Married", "10", "10_1", "12/30/2009", "3/30/2013", "4/4/2013", "U.S.A", "Central", "64133"),
+    line(["1", "Mr.", "ANNA", "", "o'hara"], "Single", "10", "10_1", "11/20/2008", "3/10/2013", "9/4/2013", "US", "Central", "01234"),
+    line([" 2 ", "Mrs.", "bea", "q", "Lund"], "Married", "10", "10_1", "11/20/2008", "3/10/2013", "3/20/2013", "U.S.A", "Central", "65210"),
 ]
 DAY1_EAST = [
     line(["3", "cARL dOE"], "Single", "11", "11_1", "1/5/2012", "4/5/2013", "10/6/2013", "United States", "East", "10001", "$6,000"),
@@ -34,8 +34,8 @@ DAY1_EAST = [
 ]
 # Customer 1 marries and moves, 2 is as before, 3 is missing, 4 changes the segment, 5 is new.
 DAY2_CENTRAL = [
-    line(["1", "Mr.", "ANNA", "", "o'hara"], "Married", "10", "10_1", "12/30/2009", "6/30/2013", "2/10/2014", "US", "Central", "64999"),
-    line(["2", "Mrs.", "bea", "q", "Lund"], "Married", "12", "12_1", "2/2/2013", "6/30/2013", "7/5/2013", "USA", "Central", "64133"),
+    line(["1", "Mr.", "ANNA", "", "o'hara"], "Married", "10", "10_1", "11/20/2008", "6/25/2013", "2/10/2014", "US", "Central", "65299"),
+    line(["2", "Mrs.", "bea", "q", "Lund"], "Married", "12", "12_1", "2/2/2013", "6/25/2013", "7/5/2013", "USA", "Central", "65210"),
 ]
 DAY2_EAST = [
     line(["4", "Dora Fox"], "Divorced", "11", "11_2", "2/6/2013", "7/5/2013", "8/4/2014", "N/A", "East", "10002", "5000", "Consumer"),
