@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from premia.session import shared_dir
+from premia.session import shared_dir, tune
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,3 +56,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         used.add(n.lower())
         out.append(n)
     return out
+
+
+#: Documents can be long: batches for Python are bounded by rows and by bytes.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings that the operators count on."""
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return tune(spark)

@@ -5,11 +5,10 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from premia.llm import block_naming, curriculum, url_rules
-from premia.llm.common import table
-from premia.session import tune
+from premia.llm import block_naming, curriculum, simhash, url_rules
+from premia.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,7 +18,7 @@ ORACLE: dict[str, str] = {}
 def query(run: Query) -> Query:
     @functools.wraps(run)
     def tuned(spark: SparkSession, sf: str) -> DataFrame:
-        return run(tune(spark), sf)
+        return run(prepare(spark), sf)
 
     QUERIES[run.__name__] = tuned
     return run
@@ -92,6 +91,15 @@ ORACLE["op3_curriculum_mix"] = r"""
     from placed"""
 
 
+# --- 6: SimHash near-dedup -----------------------------------------------------------------------------------
+
+
+@query
+def op6_simhash_groups(spark, sf):
+    found = simhash.grouped(table(spark, sf, "documents"), words=4, radius=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 # --- 10: URL filters -----------------------------------------------------------------------------------------
 
 URL_RULES = (
