@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from premia.session import shared_dir, tune
@@ -71,3 +74,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return tune(spark)
+
+
+def ship(module: str) -> None:
+    """Send a module's functions along with the tasks that call them, so that executors need no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

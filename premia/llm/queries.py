@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from premia.llm import block_naming, curriculum, simhash, url_rules
+from premia.llm import block_naming, curriculum, packing, simhash, url_rules
 from premia.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,14 @@ ORACLE["op3_curriculum_mix"] = r"""
     from placed"""
 
 
+# --- 5: packing ----------------------------------------------------------------------------------------------
+
+
+@query
+def op5_mixture_packing(spark, sf):
+    return packing.digested(packing.pieces(table(spark, sf, "documents")))
+
+
 # --- 6: SimHash near-dedup -----------------------------------------------------------------------------------
 
 

@@ -23,7 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from premia.llm.common import fresh, staged, text_or_empty
+from premia.llm.common import fresh, ship, staged, text_or_empty
+
+ship(__name__)
 
 SEED = 42
 CHUNK = 4096

@@ -17,7 +17,9 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from premia.llm.common import ascii_lower
+from premia.llm.common import ascii_lower, ship
+
+ship(__name__)
 
 MAX_RULE_CHARS = 64_000_000
 TOKEN = r"[0-9a-z]+"
