@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from premia.llm import block_naming, curriculum, packing, simhash, url_rules
+from premia.llm import block_naming, byte_cnn, curriculum, packing, simhash, url_rules
 from premia.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,14 @@ def op6_simhash_groups(spark, sf):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# --- 9: quality classifier -----------------------------------------------------------------------------------
+
+
+@query
+def op9_byte_cnn_quality(spark, sf):
+    return byte_cnn.classified(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 # --- 10: URL filters -----------------------------------------------------------------------------------------
 
 URL_RULES = (
