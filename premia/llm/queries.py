@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from premia.llm import block_naming, byte_cnn, curriculum, packing, simhash, url_rules
+from premia.llm import block_naming, byte_cnn, context_mixing, curriculum, packing, simhash, url_rules
 from premia.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def query(run: Query) -> Query:
     return run
 
 
+# --- 1: language-model scoring -------------------------------------------------------------------------------
+
+
+@query
+def op1_context_mixing(spark, sf):
+    return context_mixing.scores(table(spark, sf, "documents"))
+
+
 # --- 2: exact dedup ------------------------------------------------------------------------------------------
 
 
