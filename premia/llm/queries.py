@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from premia.llm import block_naming, byte_cnn, context_mixing, curriculum, packing, simhash, suffix_dedup, url_rules
+from premia.llm import block_naming, byte_cnn, context_mixing, curriculum, packing, simhash, suffix_dedup, syncmers, url_rules
 from premia.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,14 @@ def op6_simhash_groups(spark, sf):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# --- 7: document fingerprints --------------------------------------------------------------------------------
+
+
+@query
+def op7_closed_syncmers(spark, sf):
+    return syncmers.digested(syncmers.compared(table(spark, sf, "documents")))
+
+
 # --- 8: suffix-array dedup -----------------------------------------------------------------------------------
 
 
