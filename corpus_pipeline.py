@@ -4,26 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from premia.llm import block_naming, curriculum
-from premia.llm.common import staged, table
-from premia.session import tune
+from premia.llm import block_naming, byte_cnn, curriculum, packing, simhash
+from premia.llm.common import prepare, staged, table
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    return byte_cnn.accepted(docs, table(prepare(spark), sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    prepare(spark)
     return block_naming.deduplicated(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of SimHash fingerprints: shingles of 4 words, up to 4 differing bits."""
+    prepare(spark)
+    return simhash.representatives(docs, words=4, radius=4)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target asks, in training order."""
+    prepare(spark)
     return curriculum.mixed(docs)
 
 
-STAGES = [("dedup", dedup), ("mix", mix)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 4096 tokens."""
+    prepare(spark)
+    return packing.digested(packing.pieces(docs))
+
+
+STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packed)]
+#: SQL can express neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each written and reread before the next."""
-    docs = table(tune(spark), sf_dir, "documents")
+    docs = table(prepare(spark), sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

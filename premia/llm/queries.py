@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from premia.llm import block_naming, byte_cnn, context_mixing, curriculum, packing, simhash, suffix_dedup, syncmers, url_rules
+from premia.llm import block_naming, byte_cnn, context_mixing, curriculum, packing, personal_data, simhash, suffix_dedup, syncmers, url_rules
 from premia.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,14 @@ ORACLE["op3_curriculum_mix"] = r"""
     from placed"""
 
 
+# --- 4: personal data ----------------------------------------------------------------------------------------
+
+
+@query
+def op4_weak_supervision_pii(spark, sf):
+    return personal_data.digested(personal_data.spans(table(spark, sf, "documents")))
+
+
 # --- 5: packing ----------------------------------------------------------------------------------------------
 
 
