@@ -17,6 +17,7 @@ of their own. An empty table gives no pieces. Other columns are not read. The dr
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -35,8 +36,26 @@ END_ID = 2
 CACHED_WORDS = 600_000
 
 
+#: What the pre-tokenizer makes of a lower-case word whose characters all lie below U+0180.
+_LETTERS = "a-zªµºß-öø-ſ"
+PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9²³¹¼½¾]|[^{_LETTERS}0-9²³¹¼½¾]+")
+#: Characters outside that range, white space within it, a letter that changes its length, and marks of special tokens.
+UNUSUAL = re.compile("[^\x00-\u017f]|[\x85\xa0\u0130]|<\\|")
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next from U+0100."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class WordIds(dict):
-    """Ids, as little-endian bytes, of white-space separated words. The vocabulary's words never cross white space."""
+    """Ids, as little-endian bytes, of white-space separated words. The vocabulary's words never cross white space.
+
+    Words seen for the first time are split into the pre-tokenizer's pieces, which are remembered as well, so that
+    case and punctuation cost little; unusual words go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,17 +63,34 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
+        self.pieces: dict[str, bytes] = {}
+        self.letters = dict(enumerate(byte_letters()))
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def of_piece(self, piece: str) -> bytes:
+        spelt = piece.encode().decode("latin-1").translate(self.letters)
+        out = self.pieces[piece] = self.packed([t.id for t in self.model.tokenize(spelt)])
+        return out
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        out = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+            self.pieces.clear()
+        text = word.decode()
+        if UNUSUAL.search(text):
+            out = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        else:
+            known = self.pieces
+            out = b"".join([known.get(p) or self.of_piece(p) for p in PIECES.findall(text.lower())])
         self[word] = out
         return out
 
     def of(self, text: bytes) -> bytes:
-        return b"".join([self[w] for w in text.split()])
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
