@@ -1,27 +1,30 @@
 """Exact quantiles without gathering the values of a group.
 
-A sketch first brackets the wanted ranks: its rank error is bounded, so the exact value lies between the
-sketched values a little below and a little above. A second pass counts the values by group, where all
-values below the bracket count as one, and so do all above. What is left per group is the bracket, a share
-of about ``4 * SLACK / ACCURACY`` of its rows, and a running count over it finds the rank. Groups of up to
-``WHOLE`` rows are their own bracket. Should a bracket ever miss, the job fails instead of giving a near value.
+The wanted ranks are enclosed in a bracket of two values that shrinks round by round: the values strictly inside are
+sketched into ``CUTS`` slices, and the bracket closes in on the slices around the ranks, with one slice to spare on
+either side. The sketch's rank error is far below a slice; should a bracket miss its ranks all the same, the counts of
+the next round show it, and the step is taken back and repeated with more to spare. Once at most ``INSIDE`` values lie
+strictly inside, they and the two ends are counted by value, everything below and above as one, and a running count
+finds the ranks. Each round leaves about ``4 / CUTS`` of the values, and groups of up to ``INSIDE`` rows need none.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ACCURACY = 100_000
-SLACK = 3
-# Below this size a share of SLACK / ACCURACY is too few ranks to be sure of the neighbours on both sides.
-WHOLE = 300_000
+from premia.session import shared_dir
 
+CUTS = 1024
+ACCURACY = 20 * CUTS
+INSIDE = 10_000
 
-def _bracket(prob: float) -> list[float]:
-    margin = SLACK / ACCURACY
-    return [max(0.0, prob - margin), min(1.0, prob + margin)]
+
+def _slices() -> list[float]:
+    return [i / CUTS for i in range(CUTS + 1)]
 
 
 def _at_rank(rank: Column) -> Column:
@@ -44,28 +47,79 @@ def _pick(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     low, high = F.col("_low._value"), F.col("_high._value")
     share = F.col("_target") - F.floor("_target")
-    exact = (F.col("_low._zone") == 0) & (F.col("_high._zone") == 0)
     # The form low + share * (high - low) gives the value itself when both neighbours agree.
-    return found.withColumn(
-        "_quantile",
-        F.when(exact, low + share * (high - low)).otherwise(F.raise_error(F.lit("quantile bracket missed its rank"))),
-    )
+    return found.withColumn("_quantile", low + share * (high - low))
 
 
 def _zone(value: Column, low: Column, high: Column) -> Column:
     return F.when(value < low, -1).when(value > high, 1).otherwise(0)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back, so that rounds do not pile up."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _closer(rank: Column, spare: Column, up: bool) -> Column:
+    """The cut that leaves ``spare`` slices beside a rank among the sketched values, null if that is beyond them."""
+    at = rank / F.col("_inside") * CUTS
+    index = (F.ceil(at) + spare) if up else (F.floor(at) - spare)
+    return F.when((index >= 0) & (index <= CUTS), F.try_element_at(F.col("_cuts"), (index + 1).cast("int")))
+
+
+def _brackets(rows: DataFrame, keys: Sequence[str], prob: float) -> DataFrame:
+    """keys, _low, _high: per group a bracket of the wanted ranks with at most ``INSIDE`` values strictly inside."""
+    spans = rows.groupBy(*keys).agg(
+        F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.count("*").alias("_total")
+    )
+    ends = ["_low", "_high"]
+    if not spans.where(F.col("_total") > INSIDE).limit(1).count():
+        return spans.select(*keys, *ends)
+    spans = _kept(spans)
+    done = spans.where(F.col("_total") <= INSIDE).select(*keys, *ends)
+    open_ones = spans.where(F.col("_total") > INSIDE).select(
+        *keys, *ends, "_total", F.col("_low").alias("_low0"), F.col("_high").alias("_high0"), F.lit(1).alias("_spare")
+    )
+    value, low, high = F.col("_value"), F.col("_low"), F.col("_high")
+    first, last = (f(F.lit(prob) * (F.col("_total") - 1)) for f in (F.floor, F.ceil))
+    state = ["_low", "_high", "_total", "_low0", "_high0", "_spare"]
+    while not open_ones.isEmpty():
+        seen = rows.join(open_ones, list(keys)).groupBy(*keys, *state).agg(
+            F.count_if(value < low).alias("_under"),
+            F.count_if(value <= low).alias("_upto_low"),
+            F.count_if(value <= high).alias("_upto_high"),
+            F.count_if((value > low) & (value < high)).alias("_inside"),
+            F.approx_percentile(F.when((value > low) & (value < high), value), _slices(), ACCURACY).alias("_cuts"),
+        )
+        seen = _kept(seen)
+        holds = (F.col("_under") <= first) & (last < F.col("_upto_high"))
+        # With all slices to spare a bracket cannot shrink; it is then counted as it is.
+        finished = holds & ((F.col("_inside") <= INSIDE) | (F.col("_spare") > CUTS))
+        done = done.unionByName(seen.where(finished).select(*keys, *ends))
+        spare = F.col("_spare")
+        # Ranks at or below the lower end, or at the upper one, need no further values on that side.
+        new_high = F.when(last < F.col("_upto_low"), low).otherwise(F.coalesce(_closer(last - F.col("_upto_low"), spare, True), high))
+        new_low = F.when(first < F.col("_upto_low"), low).otherwise(F.coalesce(_closer(first - F.col("_upto_low"), spare, False), low))
+        step = seen.where(holds & ~finished).select(
+            *keys, new_low.alias("_low"), F.greatest(new_low, new_high).alias("_high"), "_total",
+            low.alias("_low0"), high.alias("_high0"), "_spare",
+        )
+        back = seen.where(~holds).select(
+            *keys, F.col("_low0").alias("_low"), F.col("_high0").alias("_high"), "_total", "_low0", "_high0", (spare * 4).alias("_spare")
+        )
+        open_ones = _kept(step.unionByName(back))
+    return done
+
+
 def grouped_medians(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
     """Exact median of a numeric column per group; nulls do not count."""
     value = F.col(col).cast("double")
     rows = df.select(*keys, value.alias("_value")).filter(value.isNotNull() & ~F.isnan(value))
-    sketched = F.approx_percentile("_value", _bracket(0.5), ACCURACY)
-    all_of_it = F.array(F.min("_value"), F.max("_value"))
-    sketch = rows.groupBy(*keys).agg(F.when(F.count("*") > WHOLE, sketched).otherwise(all_of_it).alias("_ends"))
-    zone = _zone(F.col("_value"), F.col("_ends")[0], F.col("_ends")[1])
+    zone = _zone(F.col("_value"), F.col("_low"), F.col("_high"))
     counts = (
-        rows.join(sketch, list(keys))
+        rows.join(_brackets(rows, keys, 0.5), list(keys))
         .select(*keys, zone.alias("_zone"), F.when(zone == 0, F.col("_value")).alias("_value"))
         .groupBy(*keys, "_zone", "_value")
         .agg(F.count("*").alias("_n"))
@@ -74,51 +128,86 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], col: str, out: str | Non
     return _pick(counts, keys).select(*keys, F.col("_quantile").alias(out or col))
 
 
+@dataclass
+class _Bracket:
+    """Ends around the ranks of one quantile of one column, those of the step before, and the slices to spare."""
+
+    col: str
+    prob: float
+    total: int
+    low: float
+    high: float
+    before: tuple[float, float]
+    spare: int = 1
+    below: int = 0
+    above: int = 0
+
+    def ranks(self) -> tuple[int, int]:
+        target = self.prob * (self.total - 1)
+        return math.floor(target), math.ceil(target)
+
+
+def _shrink(df: DataFrame, values: dict[str, Column], brackets: list[_Bracket]) -> None:
+    """Close all brackets in, a pass over the data per round; a few numbers per bracket and round reach the driver."""
+    pending = list(brackets)
+    while pending:
+        aggs = []
+        for i, b in enumerate(pending):
+            v = values[b.col]
+            inside = (v > b.low) & (v < b.high)
+            aggs.append(
+                F.struct(
+                    F.count_if(v < b.low).alias("under"), F.count_if(v <= b.low).alias("upto_low"), F.count_if(v <= b.high).alias("upto_high"),
+                    F.count_if(inside).alias("inside"), F.approx_percentile(F.when(inside, v), _slices(), ACCURACY).alias("cuts"),
+                ).alias(f"b{i}")
+            )
+        still = []
+        for b, seen in zip(pending, df.agg(*aggs).first(), strict=True):
+            first, last = b.ranks()
+            if not (seen.under <= first and last < seen.upto_high):
+                b.low, b.high = b.before
+                b.spare *= 4
+                still.append(b)
+            elif seen.inside <= INSIDE or b.spare > CUTS:
+                b.below, b.above = seen.under, b.total - seen.upto_high
+            else:
+                b.before = (b.low, b.high)
+                down = math.floor((first - seen.upto_low) / seen.inside * CUTS) - b.spare
+                up = math.ceil((last - seen.upto_low) / seen.inside * CUTS) + b.spare
+                low, high = b.low, b.high
+                if first >= seen.upto_low and 0 <= down <= CUTS:
+                    low = seen.cuts[down]
+                if last < seen.upto_low:
+                    high = b.low
+                elif 0 <= up <= CUTS:
+                    high = seen.cuts[up]
+                b.low, b.high = low, max(low, high)
+                still.append(b)
+        pending = still
+
+
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles of numeric columns over the whole frame: ``(column_name, prob, quantile)``.
 
-    Per column and quantile four numbers go through the driver: the ends of the bracket and the row counts on
-    either side. Only rows within a bracket are grouped by value.
+    Only rows within a bracket are grouped by value.
     """
     spark = df.sparkSession
     values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
-    spans = df.agg(
-        *[
-            F.struct(
-                F.count(values[c]).alias("n"),
-                F.array(F.min(values[c]), F.max(values[c])).alias("all"),
-                F.approx_percentile(values[c], [e for p in probs for e in _bracket(p)], ACCURACY).alias("sketched"),
-            ).alias(f"c{i}")
-            for i, c in enumerate(cols)
-        ]
-    ).first()
+    spans = df.agg(*[F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(f"c{i}") for i, v in enumerate(values.values())])
     brackets = [
-        (c, float(p), *(span.sketched[2 * j : 2 * j + 2] if span.n > WHOLE else span.all))
-        for c, span in zip(cols, spans, strict=True)
-        if span.n > 0
-        for j, p in enumerate(probs)
+        _Bracket(c, float(p), s.n, s.low, s.high, (s.low, s.high)) for c, s in zip(values, spans.first(), strict=True) if s.n for p in probs
     ]
     if not brackets:
         return spark.createDataFrame([], "column_name string, prob double, quantile double")
-    outside = df.agg(
-        *[
-            F.count_if(test).alias(f"{side}{k}")
-            for k, (c, _, low, high) in enumerate(brackets)
-            for side, test in (("below", values[c] < low), ("above", values[c] > high))
-        ]
-    ).first()
+    _shrink(df, values, [b for b in brackets if b.total > INSIDE])
     schema = "column_name string, _prob double, _zone int, _value double, _n bigint"
-    ends_rows = [
-        (c, p, zone, None, outside[f"{side}{k}"])
-        for k, (c, p, _, _) in enumerate(brackets)
-        for side, zone in (("below", -1), ("above", 1))
-    ]
+    ends_rows = [(b.col, b.prob, zone, None, n) for b in brackets for zone, n in ((-1, b.below), (1, b.above))]
     cells = [
         F.when(
-            values[c].between(low, high),
-            F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("_prob"), F.lit(0).alias("_zone"), values[c].alias("_value")),
+            values[b.col].between(b.low, b.high),
+            F.struct(F.lit(b.col).alias("column_name"), F.lit(b.prob).alias("_prob"), F.lit(0).alias("_zone"), values[b.col].alias("_value")),
         )
-        for c, p, low, high in brackets
+        for b in brackets
     ]
     inside = (
         df.select(F.explode(F.array_compact(F.array(*cells))).alias("_cell"))

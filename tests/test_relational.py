@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from premia.operators import quantiles
 from premia.operators.quantiles import column_quantiles, grouped_medians
@@ -101,16 +102,28 @@ def test_quantiles_are_those_of_pandas(spark, xs):
     assert dict(grouped_medians(df, ["k"], "x").collect()) == pytest.approx(want)
 
 
-def test_quantiles_of_many_rows_with_a_hot_group(spark, monkeypatch):
-    """A third of the rows in one group and a third on one value; the sketch no longer holds every row."""
-    monkeypatch.setattr(quantiles, "WHOLE", 150_000)
-    n = 600_000
-    df = spark.range(n).selectExpr(
-        "if(id % 3 = 0, 0, id % 50) as k", "if(id % 3 = 1, 7D, pmod(xxhash64(id), 1000003) / 10D) as x"
-    )
-    pdf = df.toPandas()
-    got = dict(grouped_medians(df, ["k"], "x").collect())
-    assert got == pytest.approx(pdf.groupby("k")["x"].median().to_dict())
-    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+def test_quantiles_of_groups_of_any_size(spark):
+    """Groups of 1, 1,000 and 1,000,000 rows, half of the large one a single value, and outliers."""
+    ids = spark.range(1_001_001)
+    key = F.when(F.col("id") == 0, 1).when(F.col("id") <= 1000, 1000).otherwise(1_000_000)
+    noise = F.pmod(F.xxhash64("id"), F.lit(1 << 40)).cast("double") / 1000
+    x = F.when(F.col("id") % 2 == 0, 77.0).when(F.col("id") % 1001 == 3, noise * 1e250).otherwise(noise)
+    df = ids.select(key.alias("k"), x.alias("x"))
+    exact = lambda c, p: F.expr(f"percentile({c}, {p})")
+    want = {r.k: r.m for r in df.groupBy("k").agg(exact("x", 0.5).alias("m")).collect()}
+    assert dict(grouped_medians(df, ["k"], "x").collect()) == pytest.approx(want)
+    probs = [0.0, 0.25, 0.4999, 0.5, 0.501, 0.75, 1.0]
+    want = dict(zip(probs, df.select(F.expr(f"percentile(x, array({', '.join(map(str, probs))}))")).first()[0]))
     got = {r.prob: r.quantile for r in column_quantiles(df, ["x"], probs).collect()}
-    assert got == pytest.approx({p: pdf["x"].quantile(p) for p in probs})
+    assert got == pytest.approx(want)
+
+
+def test_brackets_that_miss_are_taken_back(spark, monkeypatch):
+    """With a sketch far too coarse for its slices, steps miss their ranks; the result stays exact."""
+    monkeypatch.setattr(quantiles, "ACCURACY", 5)
+    monkeypatch.setattr(quantiles, "INSIDE", 500)
+    df = spark.range(4000).select((F.col("id") % 2).alias("k"), F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("double").alias("x"))
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.expr("percentile(x, 0.5)").alias("m")).collect()}
+    assert dict(grouped_medians(df, ["k"], "x").collect()) == pytest.approx(want)
+    got = {r.prob: r.quantile for r in column_quantiles(df, ["x"], [0.1, 0.9]).collect()}
+    assert got == pytest.approx(dict(zip([0.1, 0.9], df.select(F.expr("percentile(x, array(0.1, 0.9))")).first()[0])))
