@@ -268,6 +268,17 @@ def std_currency(spark, sf):
     return as_double(standardize.clean_currency(rows, ["price", "absent"]), "price")
 
 
+@query
+def std_dates_formats(spark, sf):
+    """Dates in several formats, and text that is none."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey") % 5
+    text = F.when(k == 0, F.date_format("o_orderdate", "M/d/yyyy")).when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    text = text.when(k == 2, F.date_format("o_orderdate", "M/d/yyyy H:mm")).when(k == 3, F.date_format("o_orderdate", "dd.MM.yyyy")).otherwise("soon")
+    formats = ("M/d/yyyy", "yyyy-MM-dd", "M/d/yyyy H:mm", "dd.MM.yyyy")
+    return standardize.parse_dates(o.select("o_orderkey", text.alias("day")), ["day"], formats)
+
+
 @query
 def std_dates(spark, sf):
     o = table(spark, sf, "orders")
@@ -526,7 +537,18 @@ def pipe_batch(spark, sf):
     """Row counts of all warehouse tables after one batch of the whole feed."""
     warehouse = tables.Warehouse(spark, shared_dir(spark))
     daily_load.load_day(warehouse, views.raw_feed(spark, sf), 1, as_of(1), LOADED_AT)
-    return tables.table_counts(spark, {name: warehouse.read(name) for name in TABLES})
+    return tables.table_counts(spark, {name: warehouse.read(name) for name in TABLES if name != "rejects"})
+
+
+@query
+def load_rejects(spark, sf):
+    """What a load leaves out: cells that are no dates, rows without a customer version, a damaged file."""
+    warehouse = tables.Warehouse(spark, shared_dir(spark))
+    raw = views.raw_feed(spark, sf)
+    paid = F.when(F.col("City").endswith("7"), "31/31/2012").otherwise(F.col("Actual_Premium_Paid_Dt"))
+    raw = raw.withColumn("Actual_Premium_Paid_Dt", paid)
+    daily_load.load_day(warehouse, raw, 1, as_of(1), LOADED_AT, rejected=[("a.zip/x_day1.csv", "BadZipFile: damaged")])
+    return warehouse.read("rejects")
 
 
 SPLIT_NAME = ["Customer Title", "Customer First Name", "Customer Middle Name", "Customer Last Name"]

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-FEED_DATE_FORMAT = "M/d/yyyy"
+#: Tried in this order.
+FEED_DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "M/d/yy")
 OPEN_END = dt.date(9999, 12, 31)
 EARLIEST_START = dt.date(1900, 1, 1)
 
 
-def parse_date(c: Column, fmt: str = FEED_DATE_FORMAT) -> Column:
-    """Parse a date; text that does not fit the format becomes null."""
-    return F.try_to_date(c, fmt)
+def parse_date(c: Column, formats: str | Sequence[str] = FEED_DATE_FORMATS) -> Column:
+    """Parse a date by the first format that fits; text that fits none becomes null."""
+    tried = [formats] if isinstance(formats, str) else formats
+    return F.coalesce(*[F.try_to_date(c, f) for f in tried])
 
 
 def date_key(c: Column) -> Column:

@@ -36,17 +36,16 @@ def scd_type_1(source: DataFrame, target: DataFrame, key: str, check_unique: boo
     """
     if check_unique:
         assert_unique(source, [key])
-    s = source.toDF(*[f"s_{c}" for c in source.columns])
-    joined = target.join(s, target[key].eqNullSafe(s[f"s_{key}"]), "left")
-    updated = joined.select(
-        [
-            F.coalesce(F.col(f"s_{c}"), target[c]).alias(c) if c in source.columns and c != key else target[c]
-            for c in target.columns
-        ]
-    )
-    known = target.select(F.col(key).alias("_known")).distinct()
-    new = source.join(known, source[key].eqNullSafe(known["_known"]), "left_anti")
-    return updated.unionByName(new, allowMissingColumns=True)
+    s_names = {c: f"s{i}" for i, c in enumerate(source.columns)}
+    t_names = {c: f"t{i}" for i, c in enumerate(target.columns)}
+    given = source.toDF(*s_names.values()).withColumn("given", F.lit(True))
+    known = target.toDF(*t_names.values()).withColumn("known", F.lit(True))
+    joined = known.join(given, known[t_names[key]].eqNullSafe(given[s_names[key]]), "full")
+    kept = [
+        (F.coalesce(s_names[c], t) if c in s_names else F.col(t)).alias(c) for c, t in t_names.items()
+    ]
+    added = [F.when(F.col("known").isNull(), F.col(n)).alias(c) for c, n in s_names.items() if c not in t_names]
+    return joined.select(*kept, *added)
 
 
 def _starts(new: DataFrame, as_of: dt.date, new_key_start: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from premia.functions import parse_date
-from premia.functions.dates import FEED_DATE_FORMAT
+from premia.functions.dates import FEED_DATE_FORMATS
 
 
 def is_missing(df: DataFrame, name: str) -> Column:
@@ -91,11 +91,11 @@ def check_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return unpivot(counts, {r: {"failed_rows": F.col(f"n{i}")} for i, r in enumerate(rules)}, "rule")
 
 
-def check_dates(raw: DataFrame, cols: Sequence[str], fmt: str = FEED_DATE_FORMAT) -> DataFrame:
+def check_dates(raw: DataFrame, cols: Sequence[str], formats: str | Sequence[str] = FEED_DATE_FORMATS) -> DataFrame:
     """``(column_name, bad_rows)``: cells that hold text which is no date."""
     counts = raw.agg(
         *[
-            F.count_if(F.col(c).isNotNull() & parse_date(F.col(c), fmt).isNull()).alias(f"n{i}")
+            F.count_if(F.col(c).isNotNull() & parse_date(F.col(c), formats).isNull()).alias(f"n{i}")
             for i, c in enumerate(cols)
         ]
     )

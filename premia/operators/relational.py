@@ -38,8 +38,8 @@ def join_tables(
     Keys of the same name on both sides come out once. A cross join takes no keys and is not offered.
 
     Adaptive execution splits a hot key on both sides of an inner join, but only on the side that an outer join
-    keeps whole, and not at all in a full join. A full join is therefore put together from parts that can be
-    split, and with ``hot_keys`` so is a left or right join, at the price of reading the inputs twice.
+    keeps whole, and not at all in a full join. With ``hot_keys`` an outer join is put together from parts that can
+    be split, at the price of reading the inputs more than once; they then have to give the same rows each time.
     """
     if how not in _JOIN_KINDS:
         raise ValueError(f"join kind {how!r}: use one of {_JOIN_KINDS}")
@@ -56,7 +56,7 @@ def join_tables(
         return kept.join(keys, same_keys(kept, keys, kept_on, other_on), "left_anti")
 
     on = same_keys(lhs, rhs, l_on, r_on)
-    if hot_keys or how == "outer":
+    if hot_keys:
         parts = [lhs.join(rhs, on, "inner")]
         if how in ("left", "outer"):
             parts.append(unmatched(lhs, l_on, rhs, r_on))
@@ -64,7 +64,7 @@ def join_tables(
             parts.append(unmatched(rhs, r_on, lhs, l_on))
         joined = union_outer(parts)
     else:
-        joined = lhs.join(rhs, on, how)
+        joined = lhs.join(rhs, on, "full" if how == "outer" else how)
 
     def left_column(c: str) -> Column:
         col = F.coalesce(l_names[c], r_names[c]) if c in shared else F.col(l_names[c])
@@ -138,7 +138,7 @@ def split_dataframe(df: DataFrame, columns: Sequence[str], drop_duplicates: bool
     """The listed columns that exist, without duplicate rows."""
     have = [c for c in columns if c in df.columns]
     if len(have) < len(columns):
-        log.warning("columns missing for split: %s", sorted(set(columns) - set(have)))
+        log.warning("split passes over absent columns: %s", sorted(set(columns) - set(have)))
     subset = df.select(have)
     return subset.distinct() if drop_duplicates else subset
 

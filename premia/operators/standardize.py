@@ -18,7 +18,7 @@ from premia.functions import (
     postal_text,
     strip_space,
 )
-from premia.functions.dates import FEED_DATE_FORMAT
+from premia.functions.dates import FEED_DATE_FORMATS
 from premia.schemas import DATE_COLUMNS, FEED_RENAMES, ID_COLUMNS, MONEY_COLUMNS
 
 
@@ -73,10 +73,12 @@ def clean_country(df: DataFrame, col: str = "country", spellings: Sequence[str]
     return _replace(df, {c: country_name(F.col(c), spellings) for c in _present(df, [col])})
 
 
-def parse_dates(df: DataFrame, cols: Sequence[str] = DATE_COLUMNS, fmt: str = FEED_DATE_FORMAT) -> DataFrame:
+def parse_dates(
+    df: DataFrame, cols: Sequence[str] = DATE_COLUMNS, formats: str | Sequence[str] = FEED_DATE_FORMATS
+) -> DataFrame:
     texts = _text_columns(df)
     return _replace(
-        df, {c: parse_date(F.col(c), fmt) if c in texts else F.col(c).cast("date") for c in _present(df, cols)}
+        df, {c: parse_date(F.col(c), formats) if c in texts else F.col(c).cast("date") for c in _present(df, cols)}
     )
 
 

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from premia.functions.dates import FEED_DATE_FORMATS
 from premia.operators.history import apply_customer_batch
 from premia.operators.links import late_fee_bands
 from premia.operators.policies import calculate_late_fees, construct_customer_name
-from premia.operators.quality import has_any
+from premia.operators.quality import check_dates, has_any
 from premia.operators.relational import split_dataframe
 from premia.operators.standardize import (
     add_feed_defaults,
+    blank_cells,
     clean_country,
     clean_currency,
     normalize_ids,
@@ -27,8 +29,8 @@ from premia.operators.standardize import (
 )
 from premia.plans.dimensions import addresses, calendar, customers, only_absent, policies, policy_types
 from premia.plans.fact import build_fact
-from premia.schemas import FEED, TABLES
-from premia.sources.files import find_days, read_day, read_folder
+from premia.schemas import DATE_COLUMNS, FEED, TABLES
+from premia.sources.files import day_of, find_days, read_day, read_folder, rejected_files, scan_archives
 from premia.sources.tables import Warehouse
 
 log = logging.getLogger(__name__)
@@ -36,14 +38,14 @@ log = logging.getLogger(__name__)
 STAGING = ("stg_customers", "stg_policy", "stg_address", "stg_transactions")
 
 
-def clean_feed(raw: DataFrame, ingested_at: Column) -> DataFrame:
-    """A raw feed of text columns to the cleaned feed."""
+def clean_feed(raw: DataFrame, ingested_at: Column, date_formats: Sequence[str] = FEED_DATE_FORMATS) -> DataFrame:
+    """A raw feed of text columns to the cleaned feed. Dates are read by the first format that fits."""
     df = standardize_columns(raw)
     if not has_any(df, "premium_amt", "premium_amount"):
         log.warning("the feed has no premium column and gets no late fees")
     df = construct_customer_name(df)
     df = normalize_postal(clean_country(trim_strings(normalize_ids(rename_columns(df)))))
-    df = calculate_late_fees(clean_currency(parse_dates(df)))
+    df = calculate_late_fees(clean_currency(parse_dates(df, formats=date_formats)))
     return project_to(add_feed_defaults(df, ingested_at), FEED)
 
 
@@ -53,17 +55,40 @@ def staging_rows(feed: DataFrame, table: str) -> DataFrame:
     return split_dataframe(named, TABLES[table].names)
 
 
-def load_day(warehouse: Warehouse, raw: DataFrame, day: int, as_of: dt.date, ingested_at: dt.datetime) -> None:
+def rejected_cells(raw: DataFrame, date_formats: Sequence[str]) -> DataFrame:
+    """``rejects`` rows: cells of date columns whose text is no date in any of the formats."""
+    named = rename_columns(standardize_columns(raw))
+    texts = {f.name for f in named.schema.fields if isinstance(f.dataType, T.StringType)}
+    dates = [c for c in DATE_COLUMNS if c in texts]
+    if not dates:
+        return raw.sparkSession.createDataFrame([], TABLES["rejects"])
+    return check_dates(blank_cells(named), dates, date_formats).filter("bad_rows > 0").select(
+        F.lit("cell").alias("kind"), F.col("column_name").alias("item"), F.lit("no date in the given formats").alias("reason"),
+        F.col("bad_rows").cast("bigint").alias("rows"),
+    )
+
+
+def load_day(
+    warehouse: Warehouse,
+    raw: DataFrame,
+    day: int,
+    as_of: dt.date,
+    ingested_at: dt.datetime,
+    date_formats: Sequence[str] = FEED_DATE_FORMATS,
+    rejected: Sequence[tuple[str, str]] = (),
+) -> None:
     """Load one batch. Repeating a day gives the same tables.
 
     The cleaned feed is written once and everything else reads the columns it needs from there. Links go to
-    the written dimensions.
+    the written dimensions. What the load leaves out goes to ``rejects``: the files given as ``rejected``, cells that
+    are no dates, and feed rows without a customer version on their day, which get no fact.
     """
     now = F.lit(ingested_at)
     earlier = warehouse.finished(before=day)
     after = [*earlier, day]
 
-    warehouse.write("feed", clean_feed(raw, now), day)
+    warehouse.begin(day)
+    warehouse.write("feed", clean_feed(raw, now, date_formats), day)
     feed = warehouse.read("feed", [day])
     for table in STAGING:
         warehouse.write(table, staging_rows(feed, table), day)
@@ -88,6 +113,12 @@ def load_day(warehouse: Warehouse, raw: DataFrame, day: int, as_of: dt.date, ing
         warehouse.read("dim_late_fee", after),
     )
     warehouse.write("fact_policy_txn", fact, day)
+    spark, schema = warehouse.spark, TABLES["rejects"]
+    without_fact = feed.count() - warehouse.read("fact_policy_txn", [day]).count()
+    listed = [("file", file, reason, None) for file, reason in rejected]
+    if without_fact:
+        listed.append(("row", "fact_policy_txn", "no customer version on the day", without_fact))
+    warehouse.write("rejects", spark.createDataFrame(listed, schema).unionByName(rejected_cells(raw, date_formats)), day)
     warehouse.finish(day, as_of)
 
 
@@ -98,22 +129,31 @@ def load_folder(
     as_of: Callable[[int], dt.date],
     ingested_at: dt.datetime,
     days: list[int] | None = None,
+    date_formats: Sequence[str] = FEED_DATE_FORMATS,
+    on_damage: str = "skip",
+    **options,
 ) -> Warehouse:
     """Load the daily files of a folder in the order of their days; without daily files, all files as day 0.
 
+    Options go to the reader. Damaged files in archives are left out whole and listed in ``rejects``, or stop the load
+    with ``on_damage='fail'``.
+
     ``as_of`` gives the date on which the changes of a day take effect. The order matters, since every day
     builds on the customer versions of the day before.
     """
     warehouse = Warehouse(spark, root)
-    found = find_days(spark, folder)
+    members = scan_archives(spark, folder, **options)
+    found = find_days(spark, folder, members)
     if found:
         wanted = [d for d in found if days is None or d in days]
     else:
         wanted = [0]
     for day in wanted:
-        raw = read_day(spark, folder, day) if found else read_folder(spark, folder)
+        how = {"members": members, "on_damage": on_damage, **options}
+        raw = read_day(spark, folder, day, **how) if found else read_folder(spark, folder, **how)
+        mine = [m for m in members if not found or m.name is None or day_of(m.name) == day]
         if raw is None or raw.isEmpty():
             log.warning("no rows for day %s", day)
             continue
-        load_day(warehouse, raw, day, as_of(day), ingested_at)
+        load_day(warehouse, raw, day, as_of(day), ingested_at, date_formats, rejected_files(mine))
     return warehouse

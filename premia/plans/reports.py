@@ -32,6 +32,12 @@ def _links(fact: DataFrame) -> DataFrame:
     return fact.filter(given).groupBy("customer_sk", "policy_sk").agg(F.count("*").alias("txns"))
 
 
+def _of_several(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys with more than one value. Hashes the pairs, where least and greatest texts would have to be sorted."""
+    pairs = rows.select(key, value).filter(F.col(value).isNotNull()).distinct()
+    return pairs.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key)
+
+
 def _policy_changes(tables: Tables, customers: DataFrame, details: Sequence[str]) -> DataFrame:
     """Later and earlier policy versions of one policy id with different types, for customers with facts on the later.
 
@@ -41,9 +47,10 @@ def _policy_changes(tables: Tables, customers: DataFrame, details: Sequence[str]
     policy, type and reported detail before they meet.
     """
     policy, kept = tables["dim_policy"], ["policy_id", "policy_type", *details]
-    kinds = policy.groupBy("policy_id").agg(F.min("policy_type").alias("low"), F.max("policy_type").alias("high"))
-    policy = policy.join(kinds.filter("low <> high"), "policy_id", "left_semi")
-    previous = policy.groupBy(*kept).agg(F.min("policy_start_dt").alias("first_start"))
+    spans = policy.groupBy(*kept).agg(F.min("policy_start_dt").alias("first_start"))
+    several = _of_several(spans, "policy_id", "policy_type")
+    policy = policy.join(several, "policy_id", "left_semi")
+    previous = spans.join(several, "policy_id", "left_semi")
     previous = previous.toDF(*[f"previous_{c}" for c in previous.columns])
     who = ["customer_id", "customer_name"]
     current = (
@@ -169,11 +176,7 @@ def amounts_by_term(
 def marital_history(tables: Tables) -> DataFrame:
     """Report f: all versions of customers who had more than one marital status, by customer and start."""
     versions = tables["dim_customer"]
-    # More than one distinct status: the least differs from the greatest.
-    changed = versions.groupBy("customer_id").agg(
-        F.min("marital_status").alias("low"), F.max("marital_status").alias("high")
-    )
-    changed = changed.filter("low <> high").select("customer_id")
+    changed = _of_several(versions, "customer_id", "marital_status")
     return (
         versions.join(changed, "customer_id", "left_semi")
         .select(

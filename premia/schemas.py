@@ -6,21 +6,13 @@ from pyspark.sql import types as T
 
 from premia.functions.money import MONEY
 
-_TYPES = {
-    "str": T.StringType(),
-    "int": T.IntegerType(),
-    "date": T.DateType(),
-    "ts": T.TimestampType(),
-    "money": T.DecimalType(18, 2),
-    "rate": T.DecimalType(5, 4),
-}
-assert _TYPES["money"].simpleString() == MONEY
+TEXT, INT, DAY, TIME = T.StringType(), T.IntegerType(), T.DateType(), T.TimestampType()
+AMOUNT, RATE = T.DecimalType(18, 2), T.DecimalType(5, 4)
+assert AMOUNT.simpleString() == MONEY
 
 
-def _table(text: str) -> T.StructType:
-    """``name:type`` words to a schema; a word without a type is text."""
-    pairs = (word.partition(":") for word in text.split())
-    return T.StructType([T.StructField(name, _TYPES[kind or "str"]) for name, _, kind in pairs])
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 # Names the feed spells in its own way, after conversion to snake case.
@@ -29,6 +21,7 @@ FEED_RENAMES = {
     "state_or_province": "state_province",
     "maritial_status": "marital_status",
 }
+# Feed columns by kind, in feed order.
 NAME_PARTS = ("customer_title", "customer_first_name", "customer_middle_name", "customer_last_name")
 ID_COLUMNS = ("policy_id", "policy_type_id", "customer_id")
 DATE_COLUMNS = (
@@ -51,49 +44,66 @@ FEED = T.StructType(
     [
         T.StructField(
             name,
-            _TYPES["date"] if name in DATE_COLUMNS else _TYPES["money"] if name in MONEY_COLUMNS else _TYPES["str"],
+            DAY if name in DATE_COLUMNS else AMOUNT if name in MONEY_COLUMNS else TEXT,
         )
         for name in FEED_COLUMNS
         if name not in NAME_PARTS
     ]
     + list(
         _table(
-            "txn_date:date premium_amount:money premium_paid_tilldate:money late_duration_days:int "
-            "late_duration_months:int late_fee_amount:money total_amount_to_pay:money source_file ingestion_date:ts"
-        )
+        txn_date=DAY, premium_amount=AMOUNT, premium_paid_tilldate=AMOUNT, late_duration_days=INT,
+        late_duration_months=INT, late_fee_amount=AMOUNT, total_amount_to_pay=AMOUNT, source_file=TEXT,
+        ingestion_date=TIME,
+    )
     )
 )
 
-# Each warehouse table is a folder with one ``batch_day=N`` part per load; the part is not listed here.
+# The warehouse tables. Each is a folder with parts by day and attempt, which are not listed here.
 TABLES = {
     "stg_customers": _table(
-        "customer_id customer_name customer_segment marital_status gender dob:date effective_start_dt:date "
-        "effective_end_dt:date region ingestion_date:ts source_file"
+        customer_id=TEXT, customer_name=TEXT, customer_segment=TEXT, marital_status=TEXT, gender=TEXT, dob=DAY,
+        effective_start_dt=DAY, effective_end_dt=DAY, region=TEXT, ingestion_date=TIME, source_file=TEXT,
     ),
     "stg_policy": _table(
-        "policy_id policy_name policy_type_id policy_type policy_type_desc policy_term policy_start_dt:date "
-        "policy_end_dt:date total_policy_amt:money premium_amt:money next_premium_dt:date "
-        "actual_premium_paid_dt:date premium_amt_paid_tilldate:money customer_id region ingestion_date:ts source_file"
+        policy_id=TEXT, policy_name=TEXT, policy_type_id=TEXT, policy_type=TEXT, policy_type_desc=TEXT,
+        policy_term=TEXT, policy_start_dt=DAY, policy_end_dt=DAY, total_policy_amt=AMOUNT, premium_amt=AMOUNT,
+        next_premium_dt=DAY, actual_premium_paid_dt=DAY, premium_amt_paid_tilldate=AMOUNT, customer_id=TEXT,
+        region=TEXT, ingestion_date=TIME, source_file=TEXT,
+    ),
+    "stg_address": _table(
+        customer_id=TEXT, country=TEXT, region=TEXT, state_province=TEXT, city=TEXT, postal_code=TEXT,
+        ingestion_date=TIME, source_file=TEXT,
     ),
-    "stg_address": _table("customer_id country region state_province city postal_code ingestion_date:ts source_file"),
     "stg_transactions": _table(
-        "policy_id customer_id txn_date:date premium_amount:money premium_paid_tilldate:money "
-        "total_policy_amt:money region ingestion_date:ts source_file"
+        policy_id=TEXT, customer_id=TEXT, txn_date=DAY, premium_amount=AMOUNT, premium_paid_tilldate=AMOUNT,
+        total_policy_amt=AMOUNT, region=TEXT, ingestion_date=TIME, source_file=TEXT,
     ),
     "dim_customer": _table(
-        "customer_sk customer_id customer_name customer_segment marital_status gender dob:date eff_start_dt:date "
-        "eff_end_dt:date current_flag:int region created_at:ts"
+        customer_sk=TEXT, customer_id=TEXT, customer_name=TEXT, customer_segment=TEXT, marital_status=TEXT,
+        gender=TEXT, dob=DAY, eff_start_dt=DAY, eff_end_dt=DAY, current_flag=INT, region=TEXT, created_at=TIME,
+    ),
+    "dim_policy_type": _table(
+        policy_type_id=TEXT, policy_type_name=TEXT, policy_type_desc=TEXT,
     ),
-    "dim_policy_type": _table("policy_type_id policy_type_name policy_type_desc"),
     "dim_policy": _table(
-        "policy_sk policy_id policy_name policy_type_id policy_type policy_term policy_start_dt:date "
-        "policy_end_dt:date total_policy_amt:money created_at:ts"
+        policy_sk=TEXT, policy_id=TEXT, policy_name=TEXT, policy_type_id=TEXT, policy_type=TEXT,
+        policy_term=TEXT, policy_start_dt=DAY, policy_end_dt=DAY, total_policy_amt=AMOUNT, created_at=TIME,
+    ),
+    "dim_address": _table(
+        address_sk=TEXT, customer_id=TEXT, country=TEXT, region=TEXT, state_province=TEXT, city=TEXT,
+        postal_code=TEXT, created_at=TIME,
+    ),
+    "dim_date": _table(
+        date_sk=INT, dt=DAY, year=INT, month=INT, day=INT, quarter=INT,
+    ),
+    "dim_late_fee": _table(
+        late_fee_sk=INT, duration_months=INT, penalty_percent=RATE, description=TEXT, created_at=TIME,
     ),
-    "dim_address": _table("address_sk customer_id country region state_province city postal_code created_at:ts"),
-    "dim_date": _table("date_sk:int dt:date year:int month:int day:int quarter:int"),
-    "dim_late_fee": _table("late_fee_sk:int duration_months:int penalty_percent:rate description created_at:ts"),
     "fact_policy_txn": _table(
-        "customer_sk policy_sk address_sk late_fee_sk:int date_sk:int premium_amt:money "
-        "premium_paid_tilldate:money total_policy_amt:money late_fee:money region ingestion_date:ts"
+        customer_sk=TEXT, policy_sk=TEXT, address_sk=TEXT, late_fee_sk=INT, date_sk=INT, premium_amt=AMOUNT,
+        premium_paid_tilldate=AMOUNT, total_policy_amt=AMOUNT, late_fee=AMOUNT, region=TEXT,
+        ingestion_date=TIME,
     ),
+    # Per load: files, cells and rows that were left out, and why.
+    "rejects": _table(kind=TEXT, item=TEXT, reason=TEXT, rows=T.LongType()),
 }

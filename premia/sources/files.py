@@ -9,18 +9,18 @@ import logging
 import re
 import zipfile
 import zlib
-from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from fnmatch import fnmatchcase
+from types import MappingProxyType
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from premia.operators.relational import union_outer
-from premia.operators.standardize import blank_cells, snake_case, standardize_columns
+from premia.operators.standardize import blank_cells, snake_case
 
 log = logging.getLogger(__name__)
 
@@ -69,22 +69,22 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive:
     return [p for p in paths if _logical(p).rsplit("/", 1)[0].endswith(here)]
 
 
-def _headers(spark: SparkSession, paths: Sequence[str], options: dict) -> dict[tuple[str, ...], list[str]]:
-    """Paths by header. Spark reads a single line per file for this; a file it cannot read is left out."""
+def _csv_options(options: Mapping) -> dict[str, str]:
+    """What a plain csv parser needs to know of reader options."""
+    return {"delimiter": options.get("sep", options.get("delimiter", ",")), "quotechar": options.get("quote", '"')}
 
-    def header(path: str) -> tuple[str, ...] | None:
-        try:
-            return tuple(read_csv(spark, path, **options).columns)
-        except PySparkException as error:
-            log.error("failed to read %s: %s", path, error)
-            return None
 
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(16) as pool:
-        for path, columns in zip(paths, pool.map(header, paths)):
-            if columns:
-                by_header[columns].append(path)
-    return dict(sorted(by_header.items()))
+def _headers(spark: SparkSession, paths: Sequence[str], options: Mapping) -> dict[tuple[str, ...], list[str]]:
+    """Paths by header, from the first lines of all files in one job; empty files are left out."""
+    lines = spark.read.text(list(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.filter("file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
+    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("paths")).collect()):
+        columns = next(csv.reader([row["header"].lstrip("\ufeff")], **_csv_options(options)), [])
+        if columns:
+            found.setdefault(tuple(columns), []).extend(unquote(p) for p in row["paths"])
+    return found
 
 
 def source_name(path: Column) -> Column:
@@ -95,47 +95,42 @@ def source_name(path: Column) -> Column:
 def read_files(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame | None:
     """Files with any headers as one frame of snake-case text columns plus ``source_file``.
 
-    One scan per distinct header, and columns meet by name. Spelled-out missing values become null.
+    One scan per distinct header, with columns taken by position; columns of all files meet by name. Spelled-out
+    missing values become null. A file that cannot be read to its end stops the job.
     """
     frames = []
     for columns, group in _headers(spark, paths, options).items():
-        scan = read_csv(spark, group, _texts(columns), ignoreCorruptFiles=True, **options)
-        named = scan.select(*[f"`{c}`" for c in columns], source_name(F.col("_metadata.file_path")).alias("source_file"))
-        frames.append(blank_cells(standardize_columns(named)))
+        by_place = _texts(f"c{i}" for i in range(len(columns)))
+        scan = read_csv(spark, group, by_place, enforceSchema=True, **options)
+        placed = scan.select(*by_place.names, source_name(F.col("_metadata.file_path")).alias("source_file"))
+        names = [snake_case(c) for c in columns]
+        kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in names[:i]]
+        frames.append(blank_cells(placed.select(*kept, "source_file")))
     return union_outer(frames) if frames else None
 
 
 Records = Iterator[tuple[str, Iterator[list[str]]]]
 
 
-def _member_reader(pattern: str) -> Callable[[bytes, str], Records]:
+def _member_reader(pattern: str, parser: Mapping[str, str]) -> Callable[[bytes], Records]:
     """A function that gives names and record streams of the delimited files in an archive.
 
     It is nested so that it travels to the tasks by value: executors need no copy of this package.
     """
 
     csv_limit = 2**31 - 1
-    unreadable = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError)
 
-    def records(archive: zipfile.ZipFile, path: str, name: str) -> Iterator[list[str]]:
+    def records(archive: zipfile.ZipFile, name: str) -> Iterator[list[str]]:
         csv.field_size_limit(csv_limit)
-        try:
-            with archive.open(name) as member:
-                yield from csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""))
-        except unreadable as error:
-            log.error("failed to read %s of %s: %s", name, path, error)
-
-    def members(content: bytes, path: str) -> Records:
-        try:
-            archive = zipfile.ZipFile(io.BytesIO(content))
-        except zipfile.BadZipFile as error:
-            log.error("failed to unzip %s: %s", path, error)
-            return
-        with archive:
+        with archive.open(name) as member:
+            yield from csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""), **parser)
+
+    def members(content: bytes) -> Records:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for name in archive.namelist():
                 # Files in sub-folders of an archive are no files of the folder it lies in.
                 if "/" not in name and name.endswith(".csv") and fnmatchcase(name, pattern):
-                    yield name, records(archive, path, name)
+                    yield name, records(archive, name)
 
     return members
 
@@ -145,38 +140,61 @@ def archives_in(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
 
 
-def archive_headers(archives: DataFrame, pattern: str = "*") -> DataFrame:
-    """``(path, member, header)`` of the delimited files in archives."""
-    members = _member_reader(pattern)
+def archive_members(archives: DataFrame, pattern: str = "*", parser: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
+    """``(path, member, header, problem)`` of the delimited files in archives, each read to its end.
+
+    ``problem`` says why a member, or an archive with a null member, cannot be read; it is null for the others.
+    """
+    members = _member_reader(pattern, dict(parser))
+    unreadable = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, UnicodeError, csv.Error)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def row(path: str, name: str | None, header: list[str], problem: str | None) -> pd.DataFrame:
+            return pd.DataFrame({"path": [path], "member": [name], "header": [header], "problem": [problem]})
+
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                for name, records in members(content, path):
-                    yield pd.DataFrame({"path": [path], "member": [name], "header": [next(records, [])]})
+                try:
+                    for name, records in members(content):
+                        try:
+                            header = next(records, [])
+                            for _ in records:
+                                pass
+                            yield row(path, name, header, None)
+                        except unreadable as error:
+                            yield row(path, name, [], f"{type(error).__name__}: {error}")
+                except zipfile.BadZipFile as error:
+                    yield row(path, None, [], f"{type(error).__name__}: {error}")
 
-    return archives.mapInPandas(scan, "path string, member string, header array<string>")
+    return archives.mapInPandas(scan, "path string, member string, header array<string>, problem string")
 
 
 def read_members(
-    archives: DataFrame, names: Mapping[str, str], pattern: str = "*", taken_from: Mapping[str, str] | None = None
+    archives: DataFrame,
+    names: Mapping[str, str],
+    pattern: str = "*",
+    taken_from: Mapping[str, str] | None = None,
+    parser: Mapping[str, str] = MappingProxyType({}),
 ) -> DataFrame:
     """The rows of the delimited files in archives, as text columns plus ``source_file``.
 
     ``names`` gives the column for each spelling a header may use; of spellings for one column that a header
     has, the first counts. Archives spread over the tasks. Each is read record by record and passed on in
-    chunks, and nothing is written next to the input. ``taken_from`` names the archive to use for a member that
-    several hold.
+    chunks, and nothing is written next to the input. ``taken_from`` names the members to read, and for each the
+    archive to use where several hold it. A damaged member stops the job.
     """
-    members, column_of = _member_reader(pattern), dict(names)
+    members, column_of = _member_reader(pattern, dict(parser)), dict(names)
     columns = list(dict.fromkeys(column_of.values()))
     per_chunk = ROWS_PER_CHUNK
+    sources = None if taken_from is None else set(taken_from.values())
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                for name, records in members(content, path):
-                    if taken_from is not None and taken_from[name] != path:
+                if sources is not None and path not in sources:
+                    continue
+                for name, records in members(content):
+                    if taken_from is not None and taken_from.get(name) != path:
                         continue
                     header = [column_of.get(c) for c in next(records, [])]
                     at = {c: header.index(c) for c in columns if c in header}
@@ -188,39 +206,70 @@ def read_members(
     return blank_cells(archives.mapInPandas(scan, _texts([*columns, "source_file"])))
 
 
-def read_archives(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame | None:
-    """The delimited files in the zip archives of a folder, with the columns of all their headers.
+@dataclass(frozen=True)
+class Member:
+    """A file in an archive, or an archive that cannot be opened (without a name)."""
 
-    A member that several archives hold is taken from the last archive by name.
-    """
-    archives = archives_in(spark, folder)
-    found = sorted(archive_headers(archives, pattern).collect())  # one row per member file
-    if not found:
-        return None
-    names = {c: snake_case(c) for row in found for c in row["header"]}
-    return read_members(archives, names, pattern, {row["member"]: row["path"] for row in found})
+    path: str
+    name: str | None
+    header: tuple[str, ...]
+    problem: str | None
+
+
+_ARCHIVE_OPTIONS = {"sep", "delimiter", "quote", "header"}
 
 
-def _member_names(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+def scan_archives(spark: SparkSession, folder: str, **options) -> list[Member]:
+    """All delimited files in the archives of a folder, in one job; a row per member reaches the driver.
+
+    Give the result to the functions below to read the archives once more only, for their rows.
+    """
     if not list_files(spark, folder, "*.zip"):
         return []
-    return [r["member"] for r in archive_headers(archives_in(spark, folder), pattern).select("member").collect()]
+    unknown = set(options) - _ARCHIVE_OPTIONS
+    if unknown:
+        raise ValueError(f"options {sorted(unknown)} do not apply to files in archives")
+    found = archive_members(archives_in(spark, folder), parser=_csv_options(options)).collect()
+    return sorted((Member(r["path"], r["member"], tuple(r["header"]), r["problem"]) for r in found), key=lambda m: (m.path, m.name or ""))
+
+
+def rejected_files(members: Iterable[Member]) -> list[tuple[str, str]]:
+    """``(file, reason)`` of archives and members that cannot be read."""
+    return [(f"{_base(m.path)}/{m.name}" if m.name else _base(m.path), m.problem) for m in members if m.problem]
 
 
 def read_folder(
-    spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False, **options
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*",
+    recursive: bool = False,
+    on_damage: str = "skip",
+    members: Sequence[Member] | None = None,
+    wanted: Callable[[str], bool] = lambda name: True,
+    **options,
 ) -> DataFrame | None:
     """Delimited files of a folder, plain or in zip archives, as one frame; None if there are none.
 
-    A file that lies there both plain and in an archive is read from the archive.
+    A file that lies there both plain and in an archive is read from the archive, and one that several archives hold
+    from the last by name. A damaged member or archive is left out whole, see :func:`rejected_files`, or with
+    ``on_damage='fail'`` stops the read; a plain file that cannot be read always does. ``wanted`` chooses among names.
     """
-    zipped = set(_member_names(spark, folder, pattern))
+    if on_damage not in ("skip", "fail"):
+        raise ValueError(f"on_damage {on_damage!r}: use 'skip' or 'fail'")
+    members = scan_archives(spark, folder, **options) if members is None else members
+    damaged = rejected_files(members)
+    if damaged and on_damage == "fail":
+        raise ValueError(f"cannot be read: {damaged}")
+    for file, reason in damaged:
+        log.warning("left out %s: %s", file, reason)
+    zipped = [m for m in members if not m.problem and fnmatchcase(m.name, pattern) and wanted(m.name)]
+    taken_from = {m.name: m.path for m in zipped}
     paths = [p for p in list_files(spark, folder, pattern, recursive) if _logical(p).endswith(".csv")]
-    plain = sorted({f for p in paths if _base(f := _logical(p)) not in zipped})
-    frames = [
-        read_files(spark, plain, **options) if plain else None,
-        read_archives(spark, folder, pattern) if zipped else None,
-    ]
+    plain = sorted({f for p in paths if _base(f := _logical(p)) not in taken_from and wanted(_base(f))})
+    frames = [read_files(spark, plain, **options) if plain else None]
+    if zipped:
+        names = {c: snake_case(c) for m in zipped for c in m.header}
+        frames.append(read_members(archives_in(spark, folder), names, pattern, taken_from, _csv_options(options)))
     frames = [f for f in frames if f is not None]
     return union_outer(frames) if frames else None
 
@@ -230,13 +279,19 @@ def batch_day(source_file: Column) -> Column:
     return F.regexp_extract(source_file, DAY_OF_FILE, 1).try_cast("int")
 
 
-def find_days(spark: SparkSession, folder: str) -> list[int]:
+def day_of(name: str) -> int | None:
+    """The same for a name on the driver."""
+    found = re.search(DAY_OF_FILE, name)
+    return int(found.group(1)) if found else None
+
+
+def find_days(spark: SparkSession, folder: str, members: Sequence[Member] | None = None) -> list[int]:
     """Days that the files of a folder belong to, in ascending order."""
-    pattern = "*_day*.csv"
-    names = [_logical(p) for p in list_files(spark, folder, pattern)] + _member_names(spark, folder, pattern)
-    return sorted({int(m.group(1)) for n in names if (m := re.search(DAY_OF_FILE, n))})
+    members = scan_archives(spark, folder) if members is None else members
+    names = [_base(_logical(p)) for p in list_files(spark, folder, "*_day*.csv")] + [m.name for m in members if m.name and not m.problem]
+    return sorted({d for n in names if "_day" in n and (d := day_of(n)) is not None})
 
 
 def read_day(spark: SparkSession, folder: str, day: int, **options) -> DataFrame | None:
-    """The files of one day."""
-    return read_folder(spark, folder, f"*day{day}.csv", **options)
+    """The files of one day, whatever way its number is written."""
+    return read_folder(spark, folder, "*_day*.csv", wanted=lambda name: day_of(name) == day, **options)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -67,7 +68,7 @@ def named_tables(spark: SparkSession, names: Sequence[str]) -> dict[str, DataFra
         try:
             found[name] = spark.table(name)
         except AnalysisException as error:
-            log.error("failed to read %s: %s", name, error)
+            log.error("no table %s: %s", name, error)
             found[name] = None
     return found
 
@@ -89,12 +90,12 @@ def preview(df: DataFrame, order_by: Sequence[str], limit: int = 5) -> DataFrame
 
 
 class Warehouse:
-    """A folder with one sub-folder per table and ``batch_day=N`` parts in it.
+    """A folder with one sub-folder per table and parts ``batch_day=N/attempt=K`` in it.
 
-    A load overwrites the parts of its own day only and is then entered in the ``loads`` log. Readers see the
-    parts of logged days, so a load that was cut off stays invisible, and one that is repeated leaves no
-    doubles. Logging a day again takes back all later days, which are then loaded anew. There is one writer at a
-    time.
+    Every load of a day writes an attempt of its own, and the ``loads`` log names the attempt that counts. Readers see
+    the parts of logged attempts, so a load or a reload that is cut off leaves the tables as they were, and a repeated
+    one leaves no doubles. Logging a day again takes back all later days, which are then loaded anew. There is one
+    writer at a time; :meth:`clean` removes the parts that no longer count.
 
     Parts are never rewritten by later days. A customer batch writes the rows it expired next to all rows
     current after it, in parts by ``current_flag``; the customer table is the expired rows of all days plus the
@@ -102,11 +103,12 @@ class Warehouse:
     """
 
     LOG = "loads"
-    LOG_SCHEMA = "seq int, batch_day int, as_of date"
+    LOG_SCHEMA = "seq int, batch_day int, as_of date, attempt string"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._open: dict[int, str] = {}
 
     def _scan(self, folder: str, schema: T.StructType | str) -> DataFrame:
         try:
@@ -116,30 +118,44 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def finished(self, before: int | None = None) -> list[int]:
-        """Days with a finished load, ascending. The log has one row per load."""
-        days: list[int] = []
+    def _logged(self) -> dict[int, str]:
+        """Attempts by day, of the days with a finished load. The log has one row per load."""
+        days: dict[int, str] = {}
         for row in sorted(self._scan(self.LOG, self.LOG_SCHEMA).collect()):
-            days = [d for d in days if d < row["batch_day"]] + [row["batch_day"]]
-        return [d for d in days if before is None or d < before]
+            days = {**{d: a for d, a in days.items() if d < row["batch_day"]}, row["batch_day"]: row["attempt"]}
+        return days
+
+    def finished(self, before: int | None = None) -> list[int]:
+        """Days with a finished load, ascending."""
+        return [d for d in sorted(self._logged()) if before is None or d < before]
+
+    def begin(self, day: int) -> None:
+        """Start a load of a day; what is written for it stays out of sight until :meth:`finish`."""
+        self._open = {day: f"a{uuid.uuid4().hex}"}
 
     def finish(self, day: int, as_of: dt.date) -> None:
         seq = self._scan(self.LOG, self.LOG_SCHEMA).count() + 1
-        entry = self.spark.createDataFrame([(seq, day, as_of)], self.LOG_SCHEMA)
+        entry = self.spark.createDataFrame([(seq, day, as_of, self._open.pop(day))], self.LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(f"{self.root}/{self.LOG}")
 
     def write(self, table: str, df: DataFrame, day: int) -> None:
         writer = df.write.mode("overwrite")
         if table == "dim_customer":
             writer = writer.partitionBy("current_flag")
-        writer.parquet(f"{self.root}/{table}/batch_day={day}")
+        writer.parquet(f"{self.root}/{table}/batch_day={day}/attempt={self._open[day]}")
 
     def read(self, table: str, days: Sequence[int] | None = None) -> DataFrame:
-        """A table after the given days, by default all finished ones; without rows if never written."""
+        """A table after the given days, by default all finished ones; without rows if never written.
+
+        A day whose load is under way is read from what that load has written, if it is among the given days.
+        """
         schema = FEED if table == "feed" else TABLES[table]
-        days = self.finished() if days is None else list(days)
-        part = T.StructField("batch_day", T.IntegerType())
-        rows = self._scan(table, T.StructType([*schema.fields, part])).filter(F.col("batch_day").isin(days))
+        logged = self._logged()
+        days = sorted(logged) if days is None else list(days)
+        attempts = [a for a in ({**logged, **self._open}.get(d) for d in days) if a] if days else []
+        parts = [T.StructField("batch_day", T.IntegerType()), T.StructField("attempt", T.StringType())]
+        rows = self._scan(table, T.StructType([*schema.fields, *parts]))
+        rows = rows.filter(F.col("batch_day").isin(days) & F.col("attempt").isin(attempts))
         if table == "dim_customer":
             rows = rows.filter((F.col("current_flag") == 0) | (F.col("batch_day") == F.lit(max(days, default=None))))
         return rows.select(*schema.names)
@@ -147,3 +163,15 @@ class Warehouse:
     def current_customers(self, days: Sequence[int]) -> DataFrame:
         """The current customer versions after the given days: one part of the table."""
         return self.read("dim_customer", days).filter("current_flag = 1")
+
+    def clean(self) -> list[str]:
+        """Delete the parts of attempts that do not count; their paths. Not while a load is under way elsewhere."""
+        keep = {*self._logged().values(), *self._open.values()}
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(conf)
+        parts = [f.getPath() for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/*/batch_day=*/attempt=*"))]
+        gone = [p for p in parts if p.getName().partition("=")[2] not in keep]
+        for path in gone:
+            fs.delete(path, True)
+        return sorted(p.toString() for p in gone)

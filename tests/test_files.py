@@ -85,8 +85,60 @@ def test_long_cells_and_damaged_members(spark, tmp_path):
     at = whole.index(b"b_day1.csv") + len(b"b_day1.csv") + 200_000
     (tmp_path / "a.zip").write_bytes(whole[:at] + b"#" + whole[at + 1 :])
     df = files.read_folder(spark, folder)
-    assert [len(r.note) for r in df.filter("source_file = 'a_day1.csv'").collect()] == [300_000]
-    assert 0 < df.filter("source_file = 'b_day1.csv'").count() <= 50_000
+    assert [(r.source_file, len(r.note)) for r in df.collect()] == [("a_day1.csv", 300_000)]
+    ((file, reason),) = files.rejected_files(files.scan_archives(spark, folder))
+    assert file == "a.zip/b_day1.csv" and reason
+    with pytest.raises(ValueError, match="b_day1.csv"):
+        files.read_folder(spark, folder, on_damage="fail")
+
+
+def test_broken_archives_are_listed(spark, tmp_path):
+    (tmp_path / "broken.zip").write_bytes(b"no archive")
+    assert [f for f, _ in files.rejected_files(files.scan_archives(spark, str(tmp_path)))] == ["broken.zip"]
+    assert files.read_folder(spark, str(tmp_path)) is None
+
+
+def test_headers_by_position(spark, tmp_path):
+    """Names that repeat up to case, hold a backtick or lack text."""
+    (tmp_path / "a_day1.csv").write_text("Customer ID,Customer Name,customer name,No`te\n1,A,B,c\n")
+    feeds.write_zip(tmp_path, "z.zip", {"b_day1.csv": "Customer ID,Customer Name,customer name,No`te\n2,A,B,c\n"})
+    df = files.read_folder(spark, str(tmp_path))
+    assert sorted(df.columns) == ["customer_id", "customer_name", "no_te", "source_file"]
+    assert rows(df.select("customer_id", "customer_name", "no_te")) == [("1", "A", "c"), ("2", "A", "c")]
+
+
+def test_padded_days_are_read(spark, tmp_path):
+    (tmp_path / "x_day01.csv").write_text("Id\n1\n")
+    (tmp_path / "x_day11.csv").write_text("Id\n2\n")
+    feeds.write_zip(tmp_path, "z.zip", {"y_day001.csv": "Id\n3\n"})
+    assert files.find_days(spark, str(tmp_path)) == [1, 11]
+    assert rows(files.read_day(spark, str(tmp_path), 1).select("id")) == [("1",), ("3",)]
+
+
+def test_options_reach_archive_members(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Customer ID;Name\n1;A\n")
+    feeds.write_zip(tmp_path, "z.zip", {"b.csv": "Customer ID;Name\n2;B\n"})
+    df = files.read_folder(spark, str(tmp_path), sep=";")
+    assert rows(df.select("customer_id", "name")) == [("1", "A"), ("2", "B")]
+    with pytest.raises(ValueError, match="encoding"):
+        files.read_folder(spark, str(tmp_path), sep=";", encoding="latin1")
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    def jobs(n: int) -> int:
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"f{i}.csv").write_text("Id\n1\n")
+        group = f"files {n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            assert files.read_folder(spark, str(folder)).count() == n
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(2) == jobs(30) > 0
 
 
 def test_folder_written_by_spark_counts_as_one_file(spark, tmp_path):

@@ -27,6 +27,15 @@ def test_scd1_overwrites_with_what_is_given(spark):
     ]
 
 
+def test_scd1_is_one_join_and_takes_any_column_names(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, s_v string")
+    source = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    out = scd_type_1(source, target, "k")
+    assert rows(out) == [(1, "a", "x"), (2, "c", "y"), (3, "d", None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
 def test_scd1_wants_unique_source_keys(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     with pytest.raises(ValueError, match="duplicate"):

@@ -137,6 +137,61 @@ def test_a_load_cut_off_stays_out_of_sight(spark, tmp_path, monkeypatch):
     assert snapshot(warehouse) == before
 
 
+@pytest.mark.parametrize("cut_at", ["feed", "stg_policy", "dim_customer", "dim_policy", "dim_late_fee", "fact_policy_txn"])
+def test_a_reload_cut_off_leaves_the_old_tables(spark, two_days, monkeypatch, cut_at, tmp_path):
+    before = {t: rows(two_days.read(t)) for t in ("stg_customers", "dim_customer", "dim_policy", "fact_policy_txn")}
+    less = read_day(spark, feeds.write(tmp_path / "in", ["Feed_East_day1.csv"]), 1)
+    write = Warehouse.write
+
+    def fail(self, table, df, day):
+        if table == cut_at:
+            raise OSError("cut off")
+        write(self, table, df, day)
+
+    monkeypatch.setattr(Warehouse, "write", fail)
+    again = Warehouse(spark, two_days.root)
+    with pytest.raises(OSError, match="cut off"):
+        load_day(again, less, 1, as_of(1), NOW)
+    fresh = Warehouse(spark, two_days.root)
+    assert fresh.finished() == [1, 2]
+    assert {t: rows(fresh.read(t)) for t in before} == before
+
+
+def test_clean_removes_what_does_not_count(spark, two_days):
+    before = snapshot(two_days)
+    fresh = Warehouse(spark, two_days.root)
+    fresh.begin(1)
+    fresh.write("dim_policy_type", fresh.read("dim_policy_type"), 1)
+    other = Warehouse(spark, two_days.root)
+    gone = other.clean()
+    assert any("dim_policy_type" in p for p in gone)
+    assert other.clean() == []
+    assert snapshot(other) == before
+
+
+def test_types_of_all_tables(two_days):
+    for name, schema in TABLES.items():
+        assert [(f.name, f.dataType) for f in two_days.read(name).schema] == [(f.name, f.dataType) for f in schema]
+
+
+def test_iso_dates_and_rejects(spark, tmp_path):
+    """Dates in another format give facts, and what a load leaves out is listed."""
+    east = feeds.FILES["Feed_East_day1.csv"]
+    folder = feeds.write_zip(tmp_path / "in", "a.zip", {"Feed_East_day1.csv": east, "Feed_Far_day1.csv": east})
+    whole = (tmp_path / "in" / "a.zip").read_bytes()
+    at = whole.rindex(b"Feed_Far_day1.csv", 0, whole.index(b"PK\x01\x02")) + 60
+    (tmp_path / "in" / "a.zip").write_bytes(whole[:at] + bytes([whole[at] ^ 255]) + whole[at + 1 :])
+    warehouse = load_folder(spark, folder, str(tmp_path / "out"), as_of, NOW)
+    assert warehouse.read("fact_policy_txn").count() == 2
+    assert [(r.kind, r.item) for r in warehouse.read("rejects").collect()] == [("file", "a.zip/Feed_Far_day1.csv")]
+    raw = read_day(spark, folder, 1)
+    iso = raw.withColumn("actual_premium_paid_dt", F.when(F.col("customer_id") == "4", "soon").otherwise("2013-04-05"))
+    other = Warehouse(spark, str(tmp_path / "other"))
+    load_day(other, iso, 1, as_of(1), NOW)
+    assert [r.date_sk for r in other.read("fact_policy_txn").collect()] == [20130405]
+    assert rows(other.read("rejects").select("kind", "item", "rows")) == [("cell", "actual_premium_paid_dt", 1), ("row", "fact_policy_txn", 1)]
+
+
 def test_files_without_a_day_are_one_batch(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "all.csv").write_text(feeds.FILES["Feed_East_day1.csv"])

@@ -61,10 +61,10 @@ def test_dates(spark):
     texts = ["3/8/1996", "12/31/2099", "31/12/2012", "2012-01-02", "soon", "", None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], ["i", "dob"])
     got = [r[1] for r in rows(std.parse_dates(df))]
-    assert got == [dt.date(1996, 3, 8), dt.date(2099, 12, 31)] + [None] * 5
+    assert got == [dt.date(1996, 3, 8), dt.date(2099, 12, 31), None, dt.date(2012, 1, 2), None, None, None]
     again = std.parse_dates(std.parse_dates(df))
     assert [r[1] for r in rows(again)] == got
-    iso = std.parse_dates(df, fmt="yyyy-MM-dd")
+    iso = std.parse_dates(df, formats="yyyy-MM-dd")
     assert [r[1] for r in rows(iso)][3] == dt.date(2012, 1, 2)
 
 
