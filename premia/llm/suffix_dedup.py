@@ -8,8 +8,8 @@ hash among its runs of ``RUN`` bytes, and equal strings have equal anchors; so
 2. strings with such anchors go to their anchor's shard, neighbours with the same anchor as one text, each distinct text
    once per block. A shard lays the texts out so that anchors stand at multiples of ``PERIOD``, ranks the positions of a
    difference cover modulo ``PERIOD`` by the ``SAMPLE`` bytes that follow, and sorts one suffix bucket (first byte) at a
-   time: by the first 16 bytes, ties by the rank of the next cover position, then by the last bytes. Equal strings stand
-   at equal residues, so one cover position settles a tie, and no more than a bucket is sorted at once;
+   time: by the first 8 bytes, ties by the rank of the next cover position, then by the last 8. Equal strings stand at
+   equal residues, so one cover position settles a tie, and no more than a bucket is sorted at once;
 3. blocks hear the smallest document of every string and cut.
 
 Shards grow in number with the corpus and hold a bounded number of anchors each; a passage that many documents share is
@@ -37,7 +37,8 @@ LENGTH = 50
 RUN = 24
 PERIOD = 13
 COVER = (0, 1, 3, 9)
-SAMPLE = 38
+#: From the first cover position (at most 5 on) these bytes reach the last eight of a string.
+SAMPLE = LENGTH - 8
 #: Bytes of a text's place in a shard: at most PERIOD - 1 of padding, 2 * LENGTH - RUN of text, a multiple of PERIOD.
 PLACE = 8 * PERIOD
 BLOCK_BYTES = 4 << 20
@@ -208,7 +209,7 @@ def smallest(bodies: list[bytes], anchors: np.ndarray, ids: np.ndarray) -> tuple
     sample = (np.arange(n)[:, None] * PLACE + cover).ravel()
     home = np.repeat(np.arange(n), len(cover))
     sample = sample[(sample >= begin[home]) & (sample + SAMPLE <= (begin + size)[home])]
-    keys = [word[sample + k].astype(np.uint64) for k in (0, 8, 16, 24, SAMPLE - 8)]
+    keys = [word[sample + k].astype(np.uint64) for k in (0, 8, 16, 24, 32, SAMPLE - 8)]
     order = np.lexsort(keys[::-1])
     new = np.zeros(len(sample), bool)
     for k in keys:
@@ -229,10 +230,8 @@ def smallest(bodies: list[bytes], anchors: np.ndarray, ids: np.ndarray) -> tuple
         here = by_bucket[s:e]
         i = at[here]
         residue = i % PERIOD
-        keys = [
-            word[i].astype(np.uint64), word[i + 8].astype(np.uint64), residue, rank[i + next_cover[residue]],
-            word[i + SAMPLE].astype(np.uint64), word[i + LENGTH - 8].astype(np.uint64),
-        ]
+        named = rank[i + next_cover[residue]].astype(np.int64) * PERIOD + residue
+        keys = [word[i].astype(np.uint64), named, word[i + LENGTH - 8].astype(np.uint64)]
         order = np.lexsort(keys[::-1])
         new = np.zeros(len(order), bool)
         new[0] = True
@@ -303,18 +302,25 @@ def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int =
 
     def sort(table: pa.Table) -> pa.Table:
         parts = [unpacked(d) for d in table.column("data").to_pylist()]
-        body = pa.concat_tables(parts)
-        ids = body.column("id").to_numpy()
-        owner, least = smallest(body.column("body").to_pylist(), body.column("anchor").to_numpy(), ids)
+        every = pa.concat_tables(parts)
+        bodies, anchors, ids = every.column("body").to_pylist(), every.column("anchor").to_numpy(), every.column("id").to_numpy()
+        # Texts that several blocks sent are sorted once, under their smallest id.
+        seen: dict[tuple[int, bytes], int] = {}
+        which = np.array([seen.setdefault(k, len(seen)) for k in zip(anchors.tolist(), bodies)])
+        smallest_id = np.full(len(seen), NO_ID)
+        np.minimum.at(smallest_id, which, ids)
+        owner, least = smallest([body for _, body in seen], np.array([a for a, _ in seen]), smallest_id)
         # Strings of one text whose smallest document is the same are told as one.
         new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])))
-        told = pa.table({"body": owner[new], "strings": np.diff(np.append(new, len(owner))), "id": least[new]})
-        answers, first = [], 0
+        strings, told = np.diff(np.append(new, len(owner))), least[new]
+        first = np.searchsorted(owner[new], np.arange(len(seen) + 1))
+        answers, done = [], 0
         for p in parts:
-            s, e = np.searchsorted(owner[new], (first, first + len(p)))
-            mine = told.slice(s, e - s)
-            answers.append(packed(mine.set_column(0, "body", pa.array(owner[new][s:e] - first))))
-            first += len(p)
+            mine = which[done : done + len(p)]
+            size = first[mine + 1] - first[mine]
+            at = np.repeat(first[mine], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            answers.append(packed(pa.table({"body": np.repeat(np.arange(len(p)), size), "strings": strings[at], "id": told[at]})))
+            done += len(p)
         return table.select(["block", "shard"]).append_column("data", pa.array(answers, pa.binary()))
 
     sent = packs.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send, schema)
