@@ -1,7 +1,7 @@
 """Language-model scoring by logistic context mixing.
 
 The model predicts the bytes of a normalised text (A-Z lower-cased, a space after each word, an end byte) bit by bit.
-For each order a hashed table holds how often either bit followed the last bytes and the bits of the current byte so
+For each of several orders a hashed table holds how often either bit followed the last bytes and the bits of the current byte so
 far. The tables' logits are mixed by a weight set that a gate picks from the bit's place and the highest order that has
 seen the context; an adaptive map then refines the mixed probability. The bits' costs add up to the bytes' and tokens'.
 Within a document the byte model is mixed online with the corpus frequency of the next whole word: the mixing weight is
@@ -12,8 +12,8 @@ up, and tables, weights and map are made from all distinct runs with their count
 batches, by each task on its share and then averaged; a run predicts itself from the counts without one occurrence of
 its own. The tables have a fixed size and are broadcast; everything that grows with the corpus stays distributed.
 
-The baseline is a unigram model with add-one smoothing. Texts are kept in blocks; a block asks for the corpus counts of
-its own distinct words, so that only blocks' vocabularies are shuffled, once per block and word.
+The baseline is a unigram model with add-one smoothing. Texts are kept in blocks; a block sends its distinct words and
+runs to shards, whose number grows with the corpus, and hears the corpus counts of its own words.
 
 Null texts are empty and consist of the end alone. Null ids count as empty text in the split. Repeated rows are
 documents of their own. Without training documents every bit has probability one half. An empty table gives an empty
@@ -22,6 +22,7 @@ result. Other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,19 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from premia.llm.common import bucket, ship, staged, text_or_empty
-from premia.llm.text_blocks import blocks, unpacked
+from premia.llm.text_blocks import blocks, packed, unpacked
 
 ship(__name__)
 
 ORDER = 5
-#: log2 of the slots of each order's table.
-SLOT_BITS = (8, 16, 20, 20, 21, 22)
+#: Orders of the predictors, and log2 of the slots of each one's table.
+ORDERS = (1, 2, 3, 4, 5)
+SLOT_BITS = (16, 20, 20, 21, 22)
 PIECE_BITS = 16
-GATES = ORDER + 1
+GATES = len(ORDERS) + 1
 SETS = 8 * GATES
 STEPS = 33
 PRIOR = 0.4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Bytes of text for each shard of words and runs.
+SHARD_BYTES = 8 << 20
 BATCH = 2048
 SPLIT, SPLIT_HELD_OUT = 7, 2
 START = b"\n" * ORDER
@@ -89,184 +93,205 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     tables: list[np.ndarray]  # per order: uint16 (slots, 2), how often bit 0 and bit 1 came
-    weights: np.ndarray  # (SETS, orders)
-    refine: np.ndarray  # (SETS, STEPS)
+    weights: np.ndarray  # (SETS, orders), float32
+    refine: np.ndarray  # (SETS, STEPS), float32
 
     @staticmethod
     def start() -> Model:
         grid = np.linspace(-8, 8, STEPS)
         return Model(
             [np.zeros((1 << b, 2), np.uint16) for b in SLOT_BITS],
-            np.full((SETS, ORDER + 1), 0.3),
-            np.tile(1 / (1 + np.exp(-grid)), (SETS, 1)),
+            np.full((SETS, len(ORDERS)), 0.3, np.float32),
+            np.tile(1 / (1 + np.exp(-grid)), (SETS, 1)).astype(np.float32),
         )
 
+    def logits(self) -> list[np.ndarray]:
+        """The tables as logits; 0 only where the context was never seen."""
+        out = []
+        for t in self.tables:
+            x = np.log((t[:, 1] + np.float32(PRIOR)) / (t[:, 0] + np.float32(PRIOR))).astype(np.float32)
+            x[(x == 0) & t.any(axis=1)] = 1e-6
+            out.append(x)
+        return out
 
-def slots(keys: np.ndarray, order: int, node: np.ndarray) -> np.ndarray:
-    """Slot of the context of an order and the bits of the byte so far."""
-    context = (keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
-    at = (context << np.uint64(8)) | node
-    if order < 2:
-        return at.astype(np.int64)
-    at = (at ^ (at >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
-    return (at >> np.uint64(64 - SLOT_BITS[order])).astype(np.int64)
+
+def contexts(keys: np.ndarray) -> list[np.ndarray]:
+    """A hash of the bytes before the last one, for each order."""
+    out = []
+    for order in ORDERS:
+        h = ((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) * np.uint64(0x9E3779B97F4A7C15)
+        out.append((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
+    return out
 
 
 def steps(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each of the last byte's bits: its place, the bits before it with a leading 1, the bit."""
+    """For each of the last byte's bits: its place, a hash of the place and the bits before it, the bit."""
     byte = keys & np.uint64(255)
     for place in range(8):
-        yield place, np.uint64(1 << place) | (byte >> np.uint64(8 - place)), ((byte >> np.uint64(7 - place)) & np.uint64(1)).astype(np.int64)
+        node = np.uint64(1 << place) | (byte >> np.uint64(8 - place))
+        yield place, node * np.uint64(0x94D049BB133111EB), ((byte >> np.uint64(7 - place)) & np.uint64(1)).astype(np.int64)
+
+
+def slot(context: np.ndarray, node: np.ndarray, which: int) -> np.ndarray:
+    return ((context ^ node) >> np.uint64(64 - SLOT_BITS[which])).view(np.int64)
+
+
+def seen(logits: list[np.ndarray], hashes: list[np.ndarray], place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of all orders, and the weight set: of the bit's place and the highest order that knows the context."""
+    x = np.empty((len(node), len(ORDERS)), np.float32)
+    gate = np.zeros(len(node), np.int64)
+    for i, h in enumerate(hashes):
+        x[:, i] = logits[i][slot(h, node, i)]
+        gate[x[:, i] != 0] = i + 1
+    return x, gate + place * GATES
 
 
-def inputs(model: Model, keys: np.ndarray, place: int, node: np.ndarray, bit: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Logits of all orders, and the weight set."""
-    x = np.empty((len(keys), ORDER + 1))
-    gate = np.zeros(len(keys), np.int64)
-    rows = np.arange(len(keys))
-    for order in range(ORDER + 1):
-        n = model.tables[order][slots(keys, order, node)].astype(np.float64)
-        if leave_out:
-            n[rows, bit] = np.maximum(n[rows, bit] - 1, 0)
-        x[:, order] = np.log((n[:, 1] + PRIOR) / (n[:, 0] + PRIOR))
-        gate[n.sum(axis=1) > 0] = order
-    return x, place * GATES + gate
+def left_out(tables: list[np.ndarray], hashes: list[np.ndarray], place: int, node: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the counts without one occurrence of the run itself."""
+    x = np.zeros((len(node), len(ORDERS)), np.float32)
+    gate = np.zeros(len(node), np.int64)
+    one = bit == 1
+    for i, h in enumerate(hashes):
+        n = tables[i][slot(h, node, i)].astype(np.float32)
+        zeros, ones = np.maximum(n[:, 0] - ~one, 0), np.maximum(n[:, 1] - one, 0)
+        x[:, i] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
+        gate[zeros + ones > 0] = i + 1
+    return x, gate + place * GATES
 
 
-def mix(model: Model, x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    return np.clip((x * model.weights[chosen]).sum(axis=1), -12, 12)
+def mix(weights: np.ndarray, x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    return np.clip(np.einsum("ij,ij->i", x, weights[chosen]), -12, 12)
 
 
 def on_grid(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower grid point and how far the logit lies above it."""
-    at = (np.clip(logit, -8, 8) + 8) * (STEPS - 1) / 16
+    at = (np.clip(logit, -8, 8) + 8) * ((STEPS - 1) / 16)
     low = np.minimum(at.astype(np.int64), STEPS - 2)
-    return low, at - low
+    return low, (at - low).astype(np.float32)
 
 
-def bits(model: Model, keys: np.ndarray) -> np.ndarray:
+def bits(model: Model, keys: np.ndarray, logits: list[np.ndarray] | None = None) -> np.ndarray:
     """Cost in bits of each run's last byte after the bytes before it."""
-    total = np.zeros(len(keys))
+    logits, hashes, total = logits or model.logits(), contexts(keys), np.zeros(len(keys))
+    flat = model.refine.ravel()
     for place, node, bit in steps(keys):
-        x, chosen = inputs(model, keys, place, node, bit, False)
-        logit = mix(model, x, chosen)
+        x, chosen = seen(logits, hashes, place, node)
+        logit = mix(model.weights, x, chosen)
         low, above = on_grid(logit)
-        refined = model.refine[chosen, low] * (1 - above) + model.refine[chosen, low + 1] * above
-        p = np.clip((1 / (1 + np.exp(-logit)) + refined) / 2, 1e-6, 1 - 1e-6)
+        at = chosen * STEPS + low
+        refined = flat[at] * (1 - above) + flat[at + 1] * above
+        p = np.clip((1 / (1 + np.exp(-logit)) + refined) / 2, 1e-6, 1 - 1e-6).astype(np.float64)
         total -= np.log2(np.where(bit == 1, p, 1 - p))
     return total
 
 
-def learn(model: Model, keys: np.ndarray, counts: np.ndarray, rounds: int = 2, rate: float = 0.04) -> np.ndarray:
-    """Weights after online steps over the runs, in small batches, each run as often as it came."""
-    weights = model.weights.copy()
-    current = Model(model.tables, weights, model.refine)
-    squares = np.full_like(weights, 1e-6)
-    order = np.random.default_rng(len(keys)).permutation(len(keys))
-    for _ in range(rounds):
-        for s in range(0, len(order), BATCH):
-            pick = order[s : s + BATCH]
-            k, n = keys[pick], counts[pick].astype(np.float64)
-            for place, node, bit in steps(k):
-                x, chosen = inputs(model, k, place, node, bit, True)
-                wrong = n * (bit - 1 / (1 + np.exp(-mix(current, x, chosen))))
-                mass = np.bincount(chosen, n, SETS)
-                met = mass > 0
-                for i in range(ORDER + 1):
-                    g = np.bincount(chosen, wrong * x[:, i], SETS)[met] / mass[met]
-                    squares[met, i] += g * g
-                    weights[met, i] += rate * g / np.sqrt(squares[met, i])
-    return weights
-
-
-def _count_tables(keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(order, piece, slots and bits within the piece, counts): what these runs add to the tables."""
-    for order in range(ORDER + 1):
-        cells = np.concatenate([slots(keys, order, node) * 2 + bit for _, node, bit in steps(keys)])
-        unique, inverse = np.unique(cells, return_inverse=True)
-        total = np.bincount(inverse, np.tile(counts, 8), len(unique))
-        piece = unique >> (PIECE_BITS + 1)
-        edges = np.flatnonzero(np.diff(piece, prepend=-1, append=-1))
-        for s, e in zip(edges, edges[1:]):
-            if e > s:
-                yield order, int(piece[s]), (unique[s:e] & ((1 << PIECE_BITS + 1) - 1)).astype(np.uint32), total[s:e]
-
-
-def _as_keys(b: pa.RecordBatch | pa.Table) -> np.ndarray:
-    return b.column("run").to_numpy().astype(np.uint64)
-
-
-def train(run_counts: DataFrame) -> Model:
-    """The model of a table of byte runs and their counts (run, n); see :func:`count_runs`."""
+def learn(tables: list[np.ndarray], weights: np.ndarray, squares: np.ndarray, keys: np.ndarray, counts: np.ndarray, rounds: int = 2, rate: float = 0.05) -> None:
+    """Online steps of the weights over the runs, in small batches, each run as often as it came.
+
+    ``squares`` holds the sums of squared gradients that scale the steps.
+    """
+    rng = np.random.default_rng(len(keys))
+    order = np.concatenate([rng.permutation(len(keys)) for _ in range(rounds)])
+    for s in range(0, len(order), BATCH):
+        pick = order[s : s + BATCH]
+        k, n = keys[pick], counts[pick].astype(np.float64)
+        hashes = contexts(k)
+        for place, node, bit in steps(k):
+            x, chosen = left_out(tables, hashes, place, node, bit)
+            wrong = n * (bit - 1 / (1 + np.exp(-mix(weights, x, chosen))))
+            mass = np.bincount(chosen, n, SETS)
+            met = mass > 0
+            for i in range(len(ORDERS)):
+                g = np.bincount(chosen, wrong * x[:, i], SETS)[met] / mass[met]
+                squares[met, i] += g * g
+                weights[met, i] += rate * g / np.sqrt(squares[met, i])
+
+
+def add_counts(tables: list[np.ndarray], keys: np.ndarray, counts: np.ndarray) -> None:
+    """Add what the runs say to dense tables of counts."""
+    hashes = contexts(keys)
+    for _, node, bit in steps(keys):
+        for i, h in enumerate(hashes):
+            np.add.at(tables[i].reshape(-1), slot(h, node, i) * 2 + bit, counts)
+
+
+def train(runs_by_shard: DataFrame) -> Model:
+    """The model of byte runs and their counts; see :func:`merged_runs`."""
     model = Model.start()
-    spark = run_counts.sparkSession
-    # Runs of one context of order 3 meet in one task, so that tasks share few slots of the large tables.
-    near = staged(run_counts.repartition(F.shiftright("run", 8).bitwiseAND(F.lit(0xFFFFFF))))
+    spark = runs_by_shard.sparkSession
 
-    def gathered(batches: Iterator[pa.RecordBatch], size: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        keys, counts = [], []
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for b in batches:
-            keys.append(_as_keys(b))
-            counts.append(b.column("n").to_numpy())
-            if sum(map(len, keys)) >= size:
-                yield np.concatenate(keys), np.concatenate(counts)
-                keys, counts = [], []
-        if keys and sum(map(len, keys)):
-            yield np.concatenate(keys), np.concatenate(counts)
+            for data in b.column("data").to_pylist():
+                t = unpacked(data)
+                keys, counts = t.column("run").to_numpy().view(np.uint64), t.column("n").to_numpy().astype(np.float64)
+                for s in range(0, len(keys), 1 << 18):
+                    yield keys[s : s + (1 << 18)], counts[s : s + (1 << 18)]
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, counts in gathered(batches):
-            for order, piece, cell, n in _count_tables(keys, counts):
-                arrays = [pa.array([order], pa.int32()), pa.array([piece], pa.int32()), pa.array([cell.tobytes()]), pa.array([n.astype("<f8").tobytes()])]
-                yield pa.RecordBatch.from_arrays(arrays, ["order", "piece", "cell", "n"])
-
-    def merged(table: pa.Table) -> pa.Table:
-        order = table.column("order")[0].as_py()
-        size = min(1 << PIECE_BITS, 1 << SLOT_BITS[order])
+        dense = [np.zeros((1 << b, 2), np.float32) for b in SLOT_BITS]
+        for keys, counts in unpack(batches):
+            add_counts(dense, keys, counts.astype(np.float32))
+        for which, table in enumerate(dense):
+            for s in range(0, len(table), 1 << PIECE_BITS):
+                part = table[s : s + (1 << PIECE_BITS)].ravel()
+                cell = np.flatnonzero(part)
+                if len(cell):
+                    arrays = [pa.array([which], pa.int32()), pa.array([s >> PIECE_BITS], pa.int32()), pa.array([packed(pa.table({"cell": cell.astype(np.uint32), "n": part[cell]}))])]
+                    yield pa.RecordBatch.from_arrays(arrays, ["which", "piece", "data"])
+
+    def summed(table: pa.Table) -> pa.Table:
+        which = table.column("which")[0].as_py()
+        size = min(1 << PIECE_BITS, 1 << SLOT_BITS[which])
         total = np.zeros(size * 2)
-        for cell, n in zip(table.column("cell").to_pylist(), table.column("n").to_pylist()):
-            total[np.frombuffer(cell, np.uint32)] += np.frombuffer(n, "<f8")
+        for data in table.column("data").to_pylist():
+            t = unpacked(data)
+            total[t.column("cell").to_numpy()] += t.column("n").to_numpy()
         total = total.reshape(size, 2)
         # Counters are 16 bits wide; larger pairs keep their ratio.
         total *= np.minimum(1, 65_535 / np.maximum(total.max(axis=1, keepdims=True), 1))
         short = np.ceil(total).astype("<u2").tobytes()
-        return pa.table({"order": pa.array([order], pa.int32()), "piece": table.column("piece")[:1], "counts": pa.array([short])})
+        return pa.table({"which": pa.array([which], pa.int32()), "piece": table.column("piece")[:1], "counts": pa.array([short])})
 
-    parts = near.mapInArrow(tables, "order int, piece int, cell binary, n binary")
     # One row per piece of the tables, whose size is fixed.
-    for r in parts.groupBy("order", "piece").applyInArrow(merged, "order int, piece int, counts binary").collect():
+    parts = runs_by_shard.mapInArrow(tables, "which int, piece int, data binary").groupBy("which", "piece")
+    for r in parts.applyInArrow(summed, "which int, piece int, counts binary").toLocalIterator():
         at = r["piece"] << PIECE_BITS
         counts = np.frombuffer(r["counts"], "<u2").reshape(-1, 2)
-        model.tables[r["order"]][at : at + len(counts)] = counts
-    counted = spark.sparkContext.broadcast(model)
+        model.tables[r["which"]][at : at + len(counts)] = counts
+    counted = spark.sparkContext.broadcast(model.tables)
+    start = Model([], model.weights, model.refine)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, counts in gathered(batches):
-            w = learn(counted.value, keys, counts)
-            at = np.arange(w.size)
-            mass = float(counts.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w.ravel() * mass), pa.array(np.full(w.size, mass))], ["at", "w", "mass"])
-
-    sums = near.mapInArrow(weigh, "at long, w double, mass double").groupBy("at").agg(F.sum("w").alias("w"), F.sum("mass").alias("mass"))
+        weights, mass = start.weights.copy(), 0.0
+        squares = np.full(weights.shape, 1e-6)
+        for keys, counts in unpack(batches):
+            learn(counted.value, weights, squares, keys, counts)
+            mass += float(counts.sum())
+        if mass:
+            at = np.arange(weights.size)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weights.ravel().astype(float) * mass), pa.array(np.full(len(at), mass))], ["at", "w", "mass"])
+
+    sums = runs_by_shard.mapInArrow(weigh, "at long, w double, mass double").groupBy("at").agg(F.sum("w").alias("w"), F.sum("mass").alias("mass"))
     for r in sums.collect():
         model.weights.ravel()[r["at"]] = r["w"] / r["mass"]
     weighed = model.weights
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = Model(counted.value.tables, weighed, counted.value.refine)
-        for keys, counts in gathered(batches):
-            seen = np.zeros((2, SETS * STEPS))
+        tally = np.zeros((2, SETS * STEPS))
+        for keys, counts in unpack(batches):
+            hashes = contexts(keys)
             for place, node, bit in steps(keys):
-                x, chosen = inputs(now, keys, place, node, bit, True)
-                low, above = on_grid(mix(now, x, chosen))
+                x, chosen = left_out(counted.value, hashes, place, node, bit)
+                low, above = on_grid(mix(weighed, x, chosen))
                 for point, share in ((low, 1 - above), (low + 1, above)):
                     cell = chosen * STEPS + point
-                    seen[0] += np.bincount(cell, counts * share, SETS * STEPS)
-                    seen[1] += np.bincount(cell, counts * share * bit, SETS * STEPS)
-            at = np.flatnonzero(seen[0])
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[0][at]), pa.array(seen[1][at])], ["at", "n", "ones"])
+                    tally[0] += np.bincount(cell, counts * share, SETS * STEPS)
+                    tally[1] += np.bincount(cell, counts * share * bit, SETS * STEPS)
+        at = np.flatnonzero(tally[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(tally[0][at]), pa.array(tally[1][at])], ["at", "n", "ones"])
 
-    cells = near.mapInArrow(measure, "at long, n double, ones double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
+    cells = runs_by_shard.mapInArrow(measure, "at long, n double, ones double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
     flat = model.refine.ravel()
     for r in cells.collect():
         flat[r["at"]] = (r["ones"] + 20 * flat[r["at"]]) / (r["n"] + 20)
@@ -278,43 +303,90 @@ def train(run_counts: DataFrame) -> Model:
 # --- counting and scoring ------------------------------------------------------------------------------------
 
 
-def count_runs(packed: DataFrame) -> DataFrame:
-    """run, n: all byte runs of the training documents."""
+def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+    for s, e in zip(edges, edges[1:]):
+        yield int(shard[s]), int(s), int(e)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def merged_runs(blocks_of_text: DataFrame, shards: int) -> DataFrame:
+    """shard, data: the distinct byte runs of the training documents with their counts, by shard.
+
+    Runs with the same three bytes before the last share a shard, so that shards share few slots of large tables.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for payload in b.column("payload").to_pylist():
                 docs = unpacked(payload)
                 texts = [t for t, h in zip(docs.column("text").to_pylist(), docs.column("held_out").to_pylist()) if not h]
-                if texts:
-                    codes, unique = pd.factorize(runs(texts)[0])
-                    n = np.bincount(codes, minlength=len(unique))
-                    yield pa.RecordBatch.from_arrays([pa.array(unique.astype(np.int64)), pa.array(n)], ["run", "n"])
-
-    return packed.mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
-
-
-def block_words(packed: DataFrame) -> DataFrame:
-    """block, place (of the word in the block's vocabulary), word, n (its training tokens in the block).
-
-    Each block also has a row with a null word for the ends of its training documents.
+                if not texts:
+                    continue
+                codes, unique = pd.factorize(runs(texts)[0])
+                n = np.bincount(codes, minlength=len(unique))
+                context = ((unique >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+                shard = ((context >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+                order = np.lexsort((unique, shard))
+                unique, n, shard = unique[order].view(np.int64), n[order].astype(np.int32), shard[order]
+                parts = list(_by_shard(shard))
+                data = [packed(pa.table({"run": np.diff(unique[s:e], prepend=0), "n": n[s:e]})) for _, s, e in parts]
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int64()), pa.array(data, pa.binary())], ["shard", "data"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        parts = [unpacked(d) for d in table.column("data").to_pylist()]
+        run = np.concatenate([np.cumsum(p.column("run").to_numpy()) for p in parts])
+        codes, unique = pd.factorize(run)
+        n = np.bincount(codes, np.concatenate([p.column("n").to_numpy() for p in parts]), len(unique)).astype(np.int64)
+        return pa.table({"shard": table.column("shard")[:1], "data": pa.array([packed(pa.table({"run": unique, "n": n}))], pa.binary())})
+
+    schema = "shard long, data binary"
+    return blocks_of_text.mapInArrow(ask, schema).groupBy("shard").applyInArrow(meet, schema)
+
+
+def _word_order(known: dict[bytes, int], shards: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """A block's words by shard and then as they appeared, their numbers, their shards."""
+    words = list(known)
+    shard = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % shards
+    order = np.argsort(shard, kind="stable")
+    return [words[i] for i in order], order, shard[order]
+
+
+def word_counts(blocks_of_text: DataFrame, shards: int) -> DataFrame:
+    """block, shard, data, tokens, words: for each block its words' counts in all training documents, by shard.
+
+    Rows without a block tell how many training tokens and distinct training words a shard has.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, payload in zip(b.column("block").to_pylist(), b.column("payload").to_pylist()):
                 docs = unpacked(payload)
                 known, numbers = vocabulary(docs.column("text").to_pylist())
                 learnt = [x for x, h in zip(numbers, docs.column("held_out").to_pylist()) if not h]
                 n = np.bincount(np.concatenate(learnt), minlength=len(known)) if learnt else np.zeros(len(known), np.int64)
-                words = pa.array([*known, None], pa.binary())
-                counts = pa.array(np.append(n, len(learnt)), pa.int64())
-                place = pa.array(np.append(np.arange(len(known)), -1), pa.int32())
-                out = pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int64()), place, words, counts], ["block", "place", "word", "n"])
-                for s in range(0, len(out), 50_000):
-                    yield out.slice(s, 50_000)
+                words, order, shard = _word_order(known, shards)
+                n = n[order].astype(np.int32)
+                parts = list(_by_shard(shard))
+                data = [packed(pa.table({"word": pa.array(words[s:e], pa.binary()), "n": n[s:e]})) for _, s, e in parts]
+                rows = [pa.array([block] * len(parts), pa.int64()), pa.array([p[0] for p in parts], pa.int64()), pa.array(data, pa.binary())]
+                yield pa.RecordBatch.from_arrays(rows, ["block", "shard", "data"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        known: dict[bytes, int] = {}
+        number = known.setdefault
+        parts = [unpacked(d) for d in table.column("data").to_pylist()]
+        which = [np.array([number(w, len(known)) for w in p.column("word").to_pylist()], np.int64) for p in parts]
+        c = np.bincount(np.concatenate(which), np.concatenate([p.column("n").to_numpy() for p in parts]), len(known)).astype(np.int64)
+        answers = [packed(pa.table({"c": c[w]})) for w in which]
+        shard = table.column("shard").to_pylist()
+        return pa.table(
+            {"block": pa.array([*table.column("block").to_pylist(), None], pa.int64()), "shard": pa.array([*shard, shard[0]], pa.int64()),
+             "data": pa.array([*answers, None], pa.binary()), "tokens": pa.array([None] * len(parts) + [int(c.sum())], pa.int64()),
+             "words": pa.array([None] * len(parts) + [int((c > 0).sum())], pa.int64())}
+        )
 
-    return packed.mapInArrow(run, "block long, place int, word binary, n long")
+    asked = blocks_of_text.mapInArrow(ask, "block long, shard long, data binary")
+    return asked.groupBy("shard").applyInArrow(meet, "block long, shard long, data binary, tokens long, words long")
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -324,50 +396,56 @@ def scores(docs: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     held_out = (bucket(F.col("doc_id"), SPLIT) == SPLIT_HELD_OUT).alias("held_out")
-    packed = staged(blocks(docs.select("doc_id", held_out, text_or_empty().cast("binary").alias("text")), BLOCK_BYTES))
-    words = staged(block_words(packed))
-    counts = staged(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")))
-    totals = counts.agg(F.sum("c").alias("all"), F.count("*").alias("distinct"), F.sum(F.when(F.col("word").isNull(), F.col("c"))).alias("ends")).first()
-    total, distinct, ends = totals["all"] or 0, totals["distinct"], totals["ends"] or 0
-    known = counts.where("word is not null")
-    asked = words.where("word is not null").join(known, "word", "left")
-    replies = asked.select("block", "place", F.coalesce("c", F.lit(0)).alias("c"))
-    model = docs.sparkSession.sparkContext.broadcast(train(count_runs(packed)))
+    text = text_or_empty().cast("binary").alias("text")
+    rows = docs.select("doc_id", held_out, text)
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("ends")).first()
+    shards, ends = max(16, -(-(size["bytes"] or 0) // SHARD_BYTES)), size["ends"]
+    texts_in_blocks = staged(blocks(rows, BLOCK_BYTES))
+    counts = staged(word_counts(texts_in_blocks, shards))
+    told = counts.agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).first()
+    total, distinct = (told["tokens"] or 0) + ends, (told["words"] or 0) + (ends > 0)
+    replies = counts.where("block is not null").select("block", "shard", "data")
+    model = docs.sparkSession.sparkContext.broadcast(train(staged(merged_runs(texts_in_blocks, shards))))
+    ready: list[list[np.ndarray]] = []
 
     def score(block: pa.Table, reply: pa.Table) -> pa.Table:
+        if not ready:
+            ready.append(model.value.logits())
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
-        tables = [unpacked(p) for p in block.column("payload").to_pylist()]
-        for t in tables:
-            texts = t.column("text").to_pylist()
-            known, numbers = vocabulary(texts)
-            c = np.zeros(reply.num_rows, np.int64)
-            c[reply.column("place").to_numpy()] = reply.column("c").to_numpy()
-            gain, floor = np.log10(c + 1), np.log10(total + distinct + 1)
-            for x in numbers:
-                out["n_tokens"].append(len(x) + 1)
-                out["n_known"].append(int((c[x] > 0).sum()) + (ends > 0))
-                out["base_score"].append(float(gain[x].sum() + np.log10(ends + 1) - (len(x) + 1) * floor))
-            keys, first = runs(texts)
-            codes, unique = pd.factorize(keys)
-            cost = np.concatenate([bits(model.value, unique[s : s + (1 << 16)]) for s in range(0, len(unique), 1 << 16)])
-            # Tokens: each word with its space, then the end; number len(known) is the end.
-            every = np.concatenate([y for x in numbers for y in (x, [len(known)])])
-            length = np.append(np.array([len(w) + 1 for w in known], np.int64), 1)[every]
-            spelt = np.exp2(-np.minimum(np.add.reduceat(cost[codes], np.cumsum(length) - length), 1000))
-            of_word = (np.append(c, ends) / max(total, 1))[every]
-            starts = np.cumsum(out["n_tokens"][-len(texts) :]) - out["n_tokens"][-len(texts) :]
-            sums = [np.add.reduceat(np.log(a * of_word + (1 - a) * spelt), starts) for a in WORD_SHARES]
-            out["score"] += ((np.logaddexp.reduce(sums) - np.log(len(sums))) / np.log(10)).tolist()
-            out["n_bytes"] += np.diff(np.append(first, len(keys))).tolist()
-        ids = pa.concat_tables([t.select(["doc_id", "held_out"]) for t in tables])
+        answers = dict(zip(reply.column("shard").to_pylist(), reply.column("data").to_pylist()))
+        (docs_here,) = [unpacked(p) for p in block.column("payload").to_pylist()]
+        texts = docs_here.column("text").to_pylist()
+        known, numbers = vocabulary(texts)
+        words, order, shard = _word_order(known, shards)
+        c = np.zeros(len(known), np.int64)
+        if words:
+            c[order] = np.concatenate([unpacked(answers[s]).column("c").to_numpy() for s, _, _ in _by_shard(shard)])
+        gain, floor = np.log10(c + 1), np.log10(total + distinct + 1)
+        for x in numbers:
+            out["n_tokens"].append(len(x) + 1)
+            out["n_known"].append(int((c[x] > 0).sum()) + (ends > 0))
+            out["base_score"].append(float(gain[x].sum() + np.log10(ends + 1) - (len(x) + 1) * floor))
+        keys, first = runs(texts)
+        codes, unique = pd.factorize(keys)
+        del keys
+        cost = np.concatenate([bits(model.value, unique[s : s + (1 << 15)], ready[0]) for s in range(0, len(unique), 1 << 15)])
+        # Tokens: each word with its space, then the end; number len(known) is the end.
+        every = np.concatenate([y for x in numbers for y in (x, [len(known)])])
+        length = np.append(np.array([len(w) + 1 for w in known], np.int64), 1)[every]
+        spelt = np.exp2(-np.minimum(np.add.reduceat(cost[codes], np.cumsum(length) - length), 1000))
+        of_word = (np.append(c, ends) / max(total, 1))[every]
+        starts = np.cumsum(out["n_tokens"]) - out["n_tokens"]
+        sums = [np.add.reduceat(np.log(a * of_word + (1 - a) * spelt), starts) for a in WORD_SHARES]
+        out["score"] = ((np.logaddexp.reduce(sums) - np.log(len(sums))) / np.log(10)).tolist()
+        out["n_bytes"] = np.diff(np.append(first, len(codes))).tolist()
         return pa.table(
-            {"doc_id": ids.column("doc_id"), "held_out": ids.column("held_out"), "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-             "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([total] * len(ids), pa.int64()),
+            {"doc_id": docs_here.column("doc_id"), "held_out": docs_here.column("held_out"), "n_tokens": pa.array(out["n_tokens"], pa.int64()),
+             "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([total] * len(texts), pa.int64()),
              "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64()),
              "n_bytes": pa.array(out["n_bytes"], pa.int64())}
         )
 
-    out = packed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+    out = texts_in_blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         score,
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long",
     )
