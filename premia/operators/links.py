@@ -83,14 +83,14 @@ def link_late_fee(facts: DataFrame, bands: DataFrame) -> DataFrame:
     return facts.join(b, facts["late_duration_months"] == b["_months"], "left").drop("_months")
 
 
-def left_join_nullable(left: DataFrame, right: DataFrame, fk: str, key: str, spread: int = 64) -> DataFrame:
+def left_join_nullable(left: DataFrame, right: DataFrame, fk: str, key: str) -> DataFrame:
     """Left join where many foreign keys may be null.
 
-    Null keys match nothing but would all hash to one task. A second join column is 0 on the right and 1 to
-    ``spread`` for null keys, which sends them to as many tasks without giving them a match.
+    Null keys match nothing but would all hash to one task. A second join column is 0 on the right and, for null
+    keys, a positive hash of the row, which spreads them over all tasks without giving them a match.
     """
     other = [c for c in left.columns if c != fk]
-    spread_null = 1 + F.pmod(F.xxhash64(*other), F.lit(spread)) if other else F.lit(1)
+    spread_null = F.shiftrightunsigned(F.xxhash64(*other), 1).bitwiseOR(F.lit(1)) if other else F.lit(1)
     lhs = left.withColumn("_spread", F.when(F.col(fk).isNull(), spread_null).otherwise(F.lit(0)).cast("bigint"))
     # Not a literal: the optimizer would fold a constant out of the join keys.
     rhs = right.withColumn("_zero", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("bigint"))

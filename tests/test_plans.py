@@ -11,6 +11,7 @@ from conftest import SF
 
 import __spark_entry__ as entry
 from bindings import views
+from bindings.queries import QUERIES
 from premia.operators.relational import keep_first
 from premia.plans import reports
 from premia.session import RUNTIME_CONF, shared_dir, tune
@@ -32,7 +33,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-LAZY = [n for n in entry.queries() if not n.startswith(("pipe_", "src_", "sink_"))]
+LAZY = [n for n in QUERIES if not n.startswith(("pipe_", "src_", "sink_", "load_"))]
 
 
 @pytest.mark.parametrize("name", LAZY)
