@@ -176,9 +176,10 @@ def test_service_in_closed_form(totals, window, even):
     state = packing.served(np.arange(n + 1), totals, rates, window)
     assert (np.diff(state, axis=0) >= 0).all() and (state[-1] == totals).all()
     assert (state.sum(axis=1) == np.minimum(np.arange(n + 1) * window, totals.sum())).all()
-    # While every queue has tokens, no source is more than a token off its share.
+    # While every queue has tokens, deficits stay within the rounding of the sources' own and the others' tokens.
     busy = (state < totals).all(axis=1)
-    assert (np.abs(state - np.arange(n + 1)[:, None] * rates)[busy] < 1 + 1e-6).all()
+    off = np.abs(state - np.arange(n + 1)[:, None] * rates)
+    assert (off[busy] <= 1.5 + len(totals) / 2 * rates / window + 1e-6).all()
 
 
 @pytest.mark.parametrize("even", [False, True])
