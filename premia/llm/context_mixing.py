@@ -432,10 +432,12 @@ def scores(docs: DataFrame) -> DataFrame:
         # Tokens: each word with its space, then the end; number len(known) is the end.
         every = np.concatenate([y for x in numbers for y in (x, [len(known)])])
         length = np.append(np.array([len(w) + 1 for w in known], np.int64), 1)[every]
-        spelt = np.exp2(-np.minimum(np.add.reduceat(cost[codes], np.cumsum(length) - length), 1000))
-        of_word = (np.append(c, ends) / max(total, 1))[every]
+        # Natural logarithms, as a long word's probability is below the least float.
+        spelt = np.add.reduceat(cost[codes], np.cumsum(length) - length) * -np.log(2)
+        with np.errstate(divide="ignore"):
+            of_word = np.log(np.append(c, ends) / max(total, 1))[every]
         starts = np.cumsum(out["n_tokens"]) - out["n_tokens"]
-        sums = [np.add.reduceat(np.log(a * of_word + (1 - a) * spelt), starts) for a in WORD_SHARES]
+        sums = [np.add.reduceat(np.logaddexp(np.log(a) + of_word, np.log(1 - a) + spelt), starts) for a in WORD_SHARES]
         out["score"] = ((np.logaddexp.reduce(sums) - np.log(len(sums))) / np.log(10)).tolist()
         out["n_bytes"] = np.diff(np.append(first, len(codes))).tolist()
         return pa.table(
