@@ -1,8 +1,8 @@
 """Language-model scoring by logistic context mixing.
 
 The model predicts the bytes of a normalised text (A-Z lower-cased, a space after each word, an end byte) bit by bit.
-For each of several orders a hashed table holds how often either bit followed the last bytes and the bits of the current byte so
-far. The tables' logits are mixed by a weight set that a gate picks from the bit's place and the highest order that has
+For each order a table holds how often either bit followed the last bytes and the bits of the current byte so far; the
+tables of orders 0 and 1 are exact, the others hashed. The tables' logits are mixed by a weight set that a gate picks from the bit's place and the highest order that has
 seen the context; an adaptive map then refines the mixed probability. The bits' costs add up to the bytes' and tokens'.
 Within a document the byte model is mixed online with the corpus frequency of the next whole word: the mixing weight is
 averaged over ``WORD_SHARES``, each as likely as it has predicted the document so far.
@@ -37,9 +37,10 @@ from premia.llm.text_blocks import blocks, packed, unpacked
 ship(__name__)
 
 ORDER = 5
-#: Orders of the predictors, and log2 of the slots of each one's table.
-ORDERS = (1, 2, 3, 4, 5)
-SLOT_BITS = (16, 20, 20, 21, 22)
+#: Orders of the predictors, and log2 of the slots of each one's table; orders below ``HASHED`` have a slot for each case.
+ORDERS = (0, 1, 2, 3, 4, 5)
+SLOT_BITS = (8, 16, 20, 20, 21, 22)
+HASHED = 2
 PIECE_BITS = 16
 GATES = len(ORDERS) + 1
 SETS = 8 * GATES
@@ -116,32 +117,39 @@ class Model:
 
 
 def contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """A hash of the bytes before the last one, for each order."""
+    """The bytes before the last one, for each order: hashed, or in place for the bits of the last one below them."""
     out = []
     for order in ORDERS:
-        h = ((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) * np.uint64(0x9E3779B97F4A7C15)
+        before = (keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
+        if order < HASHED:
+            out.append(before << np.uint64(8))
+            continue
+        h = before * np.uint64(0x9E3779B97F4A7C15)
         out.append((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
     return out
 
 
 def steps(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each of the last byte's bits: its place, a hash of the place and the bits before it, the bit."""
+    """For each of the last byte's bits: its place, the bits before it with a leading 1, the bit."""
     byte = keys & np.uint64(255)
     for place in range(8):
         node = np.uint64(1 << place) | (byte >> np.uint64(8 - place))
-        yield place, node * np.uint64(0x94D049BB133111EB), ((byte >> np.uint64(7 - place)) & np.uint64(1)).astype(np.int64)
+        yield place, node, ((byte >> np.uint64(7 - place)) & np.uint64(1)).astype(np.int64)
 
 
-def slot(context: np.ndarray, node: np.ndarray, which: int) -> np.ndarray:
-    return ((context ^ node) >> np.uint64(64 - SLOT_BITS[which])).view(np.int64)
+def slots(found: list[np.ndarray], node: np.ndarray) -> Iterator[np.ndarray]:
+    """Slots of the contexts and the bits of the byte so far, for each order."""
+    mixed = node * np.uint64(0x94D049BB133111EB)
+    for order, size, context in zip(ORDERS, SLOT_BITS, found):
+        yield (context | node if order < HASHED else (context ^ mixed) >> np.uint64(64 - size)).view(np.int64)
 
 
 def seen(logits: list[np.ndarray], hashes: list[np.ndarray], place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Logits of all orders, and the weight set: of the bit's place and the highest order that knows the context."""
     x = np.empty((len(node), len(ORDERS)), np.float32)
     gate = np.zeros(len(node), np.int64)
-    for i, h in enumerate(hashes):
-        x[:, i] = logits[i][slot(h, node, i)]
+    for i, at in enumerate(slots(hashes, node)):
+        x[:, i] = logits[i][at]
         gate[x[:, i] != 0] = i + 1
     return x, gate + place * GATES
 
@@ -151,8 +159,8 @@ def left_out(tables: list[np.ndarray], hashes: list[np.ndarray], place: int, nod
     x = np.zeros((len(node), len(ORDERS)), np.float32)
     gate = np.zeros(len(node), np.int64)
     one = bit == 1
-    for i, h in enumerate(hashes):
-        n = tables[i][slot(h, node, i)].astype(np.float32)
+    for i, at in enumerate(slots(hashes, node)):
+        n = tables[i][at].astype(np.float32)
         zeros, ones = np.maximum(n[:, 0] - ~one, 0), np.maximum(n[:, 1] - one, 0)
         x[:, i] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
         gate[zeros + ones > 0] = i + 1
@@ -211,8 +219,8 @@ def add_counts(tables: list[np.ndarray], keys: np.ndarray, counts: np.ndarray) -
     """Add what the runs say to dense tables of counts."""
     hashes = contexts(keys)
     for _, node, bit in steps(keys):
-        for i, h in enumerate(hashes):
-            np.add.at(tables[i].reshape(-1), slot(h, node, i) * 2 + bit, counts)
+        for i, at in enumerate(slots(hashes, node)):
+            np.add.at(tables[i].reshape(-1), at * 2 + bit, counts)
 
 
 def train(runs_by_shard: DataFrame) -> Model:

@@ -39,3 +39,25 @@ def test_a_long_word_costs_the_sum_of_its_bytes(spark):
     assert cost.sum() > 20_000
     # The mixture with whole words adds at most the price of its least weight for the word and for the end.
     assert math.isclose(got.score, -cost.sum() * math.log10(2), rel_tol=1e-3)
+
+
+def counted(keys):
+    """A model of starting weights whose tables hold these runs."""
+    model = context_mixing.Model.start()
+    dense = [t.astype(np.float32) for t in model.tables]
+    context_mixing.add_counts(dense, keys, np.ones(len(keys), np.float32))
+    model.tables = [t.astype(np.uint16) for t in dense]
+    return model
+
+
+def test_unknown_contexts_fall_back_on_the_bytes_alone():
+    model = counted(context_mixing.runs([b"eee see tree " * 20])[0])
+    after = np.uint64(int.from_bytes(b"\xe6\xbc\xa2\xe5\xad") << 8)
+    often, never = context_mixing.bits(model, after | np.array([ord("e"), 200], np.uint64))
+    assert often < 6 and never > 8  # without a prior, both cost 8 bits
+
+
+def test_order_one_keeps_every_context_apart():
+    pairs = np.arange(1 << 16, dtype=np.uint64)  # all contexts and bytes
+    model = counted(pairs)
+    assert np.count_nonzero(model.tables[context_mixing.ORDERS.index(1)].any(axis=1)) == 256 * 255
