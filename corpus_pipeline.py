@@ -32,9 +32,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
+    """Pieces of documents in sequences of 4096 tokens, in the order and proportions in which the mix was written."""
     prepare(spark)
-    return packing.digested(packing.pieces(docs))
+    return packing.digested(packing.pieces(docs, in_order=True))
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packed)]

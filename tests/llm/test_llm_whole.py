@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from premia.llm import common, context_mixing
+import corpus_pipeline
+from premia.llm import common, context_mixing, curriculum
 from premia.llm.text_blocks import blocks
 
 
@@ -61,3 +63,44 @@ def test_order_one_keeps_every_context_apart():
     pairs = np.arange(1 << 16, dtype=np.uint64)  # all contexts and bytes
     model = counted(pairs)
     assert np.count_nonzero(model.tables[context_mixing.ORDERS.index(1)].any(axis=1)) == 256 * 255
+
+
+# --- pipeline ------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_source_shares_of_sequences_follow_the_schedules(spark, parts):
+    docs = spark.createDataFrame([(i, f"word{i % 50} " * 120, "abc"[i % 3]) for i in range(3000)], "doc_id long, text string, source string")
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, parts)
+    mixed = common.staged(corpus_pipeline.mixing(spark, docs, ""))
+    spark.conf.set(setting, before)
+    rows = corpus_pipeline.packed(spark, mixed, "").collect()
+    assert Counter(r.doc_id for r in rows if r.start == 0) == Counter(r.doc_id for r in mixed.collect())
+    filled = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled[r.sequence_id]
+        filled[r.sequence_id] += r.length
+    assert all(n == 4096 for s, n in filled.items() if s < max(filled))
+    # Tokens of each source in the first and the last fifth of the windows, against its schedule over all sources'.
+    last = max(filled) // 16
+    tokens = {k: Counter() for k in ("all", "early", "late")}
+    for r in rows:
+        window, source = r.sequence_id // 16, "abc"[r.doc_id % 3]
+        tokens["all"][source] += r.length
+        if window < last / 5:
+            tokens["early"][source] += r.length
+        if window > last * 4 / 5:
+            tokens["late"][source] += r.length
+    share = lambda k, s: tokens[k][s] / tokens[k].total()
+    assert share("early", "a") > 1.25 * share("all", "a") and share("late", "a") < 0.8 * share("all", "a")
+    assert share("early", "c") < 0.85 * share("all", "c") and share("late", "c") > 1.1 * share("all", "c")
+    # Each source's documents come in the order of the plan.
+    planned = {(r.doc_id, i): p for r in curriculum.plan(docs).where("copies > 0").collect() for i, p in enumerate(r.positions)}
+    seen, last_position = Counter(), defaultdict(float)
+    for r in sorted((r for r in rows if r.start == 0), key=lambda r: (r.sequence_id, r.offset)):
+        source, position = "abc"[r.doc_id % 3], planned[r.doc_id, seen[r.doc_id]]
+        assert position >= last_position[source]
+        seen[r.doc_id] += 1
+        last_position[source] = position
