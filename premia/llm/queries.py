@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from premia.llm import block_naming, byte_cnn, context_mixing, curriculum, packing, personal_data, simhash, suffix_dedup, syncmers, url_rules
+from premia.llm import (
+    block_naming, byte_cnn, context_mixing, curriculum, filter_audit, packing, personal_data, simhash, suffix_dedup, syncmers, url_rules,
+)
 from premia.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,3 +186,62 @@ ORACLE["op10_url_rules"] = rf"""
                 when regexp_matches(host || path, '(?:^|[^0-9a-z])(?:{"|".join(URL_WORDS)})(?:[^0-9a-z]|$)') then 'block'
                 else 'allow' end as verdict
     from ruled"""
+
+
+# --- 11: filter interaction audit ----------------------------------------------------------------------------
+
+FILTERS: filter_audit.Filters = {
+    "A": filter_audit.fewer_words(200),
+    "B": filter_audit.repetitive(50),
+    "C": filter_audit.shouting(2),
+    "D": filter_audit.holding("#$%&*|"),
+    "E": None,
+}
+
+
+@query
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"), FILTERS)
+
+
+ORACLE["op11_filter_audit"] = r"""
+    with docs as (
+        select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+    marks as (
+        select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+        from labels group by doc_id),
+    failing as (
+        select part, len(w) < 200 as a, 100 * list_unique(w) < 50 * len(w) as b,
+               100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) as c, regexp_matches(t, '[#$%&*|]') as d,
+               coalesce(min(docs.doc_id) over (partition by t) < docs.doc_id, false) as e,
+               coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+        from docs left join marks on docs.doc_id = marks.doc_id),
+    cases as (
+        select part, a, b, c, d, e, good, toxic, count(*) as n from failing group by all),
+    letters(f) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+    orders as (
+        select l1.f || l2.f || l3.f || l4.f || l5.f as filter_order
+        from letters l1 join letters l2 on l2.f <> l1.f join letters l3 on l3.f not in (l1.f, l2.f)
+             join letters l4 on l4.f not in (l1.f, l2.f, l3.f) join letters l5 on l5.f not in (l1.f, l2.f, l3.f, l4.f)),
+    -- The letters that a case fails, as text; the first one in an order removes it.
+    spelled as (
+        select *, case when a then 'A' else '' end || case when b then 'B' else '' end || case when c then 'C' else '' end
+                  || case when d then 'D' else '' end || case when e then 'E' else '' end as fails
+        from cases),
+    placed as (
+        select part, n, good, toxic, fails, filter_order, s.step, filter_order[s.step] as f,
+               contains(fails, filter_order[s.step]) as hit,
+               len(translate(filter_order[1:s.step - 1], fails, '')) < s.step - 1 as gone_before,
+               len(translate(filter_order[1:s.step], fails, '')) < s.step as gone_after
+        from spelled, orders, (select unnest([1, 2, 3, 4, 5]) as step) s),
+    counted as (
+        select part, filter_order, cast(step as integer) as step, any_value(f) as f,
+               cast(sum(case when not gone_after then n else 0 end) as bigint) as kept,
+               cast(sum(case when hit and not gone_before then n else 0 end) as bigint) as removed,
+               cast(sum(case when hit and gone_before then n else 0 end) as bigint) as redundant,
+               cast(sum(case when fails = f then n else 0 end) as bigint) as unique_fails,
+               cast(sum(case when hit and not gone_before then n * good else 0 end) as bigint) as good_lost,
+               cast(sum(case when hit and not gone_before then n * toxic else 0 end) as bigint) as toxic_lost
+        from placed group by part, filter_order, step)
+    select * exclude (f), cast(sum(removed) over (partition by part, f) as bigint) as shapley from counted"""
