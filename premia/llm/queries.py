@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from premia.llm import (
-    block_naming, byte_cnn, chat_format, context_mixing, curriculum, filter_audit, packing, personal_data, simhash, suffix_dedup, syncmers,
-    url_rules,
+    block_naming, byte_cnn, chat_format, context_mixing, curriculum, filter_audit, packing, personal_data, simhash, spelling, suffix_dedup,
+    syncmers, url_rules,
 )
 from premia.llm.common import prepare, table
 
@@ -281,3 +281,53 @@ ORACLE["op12_chat_format"] = rf"""
                as loss_sha256,
            cast(sum(chars) as bigint) as formatted_chars, cast(0 as bigint) as n_unknown
     from sized group by conv_id"""
+
+
+# --- 13: spelling variant grouping ---------------------------------------------------------------------------
+
+
+@query
+def op13_spelling_variants(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
+
+
+ORACLE["op13_spelling_variants"] = r"""
+    with recursive crc(tab) as (  -- the remainders of crc32, a byte at a time
+        select list_transform(range(256), lambda b: list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end))),
+    runs as (
+        select doc_id, run, count(*) as times
+        from (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) as run from documents)
+        where len(run) >= 5 group by all),
+    bytes as (
+        select *, flatten(list_transform(string_split(coalesce(cast(doc_id as varchar), '') || ':' || run, ''), lambda c:
+                   case when unicode(c) < 128 then [cast(unicode(c) as bigint)]
+                        else [cast(192 + (unicode(c) >> 6) as bigint), cast(128 + (unicode(c) & 63) as bigint)] end)) as b
+        from runs),
+    hashed as (
+        select run, times, xor(list_reduce(list_prepend(4294967295, b),
+                   lambda h, x: xor(tab[(xor(h, x) & 255) + 1], h >> 8)), 4294967295) as h
+        from bytes, crc),
+    spoilt as (
+        select case when h % 97 = 0 then run[:h % len(run)] || run[h % len(run) + 2:] else run end as word, times from hashed),
+    words as (
+        select word, cast(sum(times) as bigint) as n from spoilt where len(word) >= 5 group by word having sum(times) >= 3),
+    cut as (
+        select word, i, word[:i - 1] || word[i + 1:] as rest from (select word, unnest(range(1, len(word) + 1)) as i from words)),
+    near as (
+        select a.word, b.word as near from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+        union select cut.word, words.word from cut join words on cut.rest = words.word
+        union select words.word, cut.word from cut join words on cut.rest = words.word),
+    best as (
+        select near.word, count(*) as n_near, max(w.n) as most, arg_min(near.near, (-w.n, near.near)) as form
+        from near join words w on near.near = w.word group by near.word),
+    formed as (
+        select words.word, words.n, coalesce(n_near, 0) as n_near, case when most >= 2 * words.n then form end as form,
+               case when most >= 2 * words.n then most end as form_n
+        from words left join best on words.word = best.word),
+    chain(word, root, step) as (
+        select word, word, 0 from formed
+        union all select chain.word, formed.form, step + 1 from chain join formed on chain.root = formed.word where form is not null)
+    select formed.word, form, root, n, n_near, form_n
+    from formed join (select word, arg_max(root, step) as root from chain group by word) c on formed.word = c.word"""
