@@ -358,6 +358,16 @@ QUERIES: dict[str, str] = {
         from feed where city like '%7' or actual_premium_paid_dt is null
         union all
         select 'file', 'a.zip/x_day1.csv', 'BadZipFile: damaged', null""",
+    "load_rules": """
+        select 'rule' as kind, 'premium_amt is positive' as item, 'failed' as reason, cast(count(*) as bigint) as "rows"
+        from feed where city like '%3'
+        union all select 'rule', 'policy_id is given', 'failed', cast(count(*) as bigint) from feed where city like '%4'
+        union all select 'column', 'loyalty_code', 'no column of the feed', null
+        union all select 'row', 'fact_policy_txn', 'no customer version on the day', cast(count(*) as bigint)
+        from feed where actual_premium_paid_dt is null
+        union all select 'table', 'feed', 'loaded', cast(count(*) as bigint) from feed""",
+    "std_dates_inferred": """
+        select o_orderkey, 'f' || (o_orderkey % 3) || '.csv' as source_file, cast(o_orderdate as date) + 7305 as "day" from orders""",
     "std_dates": """
         select o_orderkey, case when o_orderkey % 20 <> 0 then cast(o_orderdate as date) end as "day" from orders""",
     "std_trim": "select c_custkey, c_name as name from customer",

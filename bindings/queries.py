@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bindings import views
 from bindings.views import money, pick, table
@@ -286,6 +286,21 @@ def std_dates(spark, sf):
     return standardize.parse_dates(o.select("o_orderkey", text.alias("day")), ["day", "absent"])
 
 
+@query
+def std_dates_inferred(spark, sf):
+    """Files that write month or day first, some years in two digits: each file and column is read in one order."""
+    o = table(spark, sf, "orders")
+    day, two_digits = F.date_add(F.to_date("o_orderdate"), 7305), F.col("o_orderkey") % 2 == 0
+
+    def written(order: str) -> Column:
+        return F.when(two_digits, F.date_format(day, f"{order}/yy")).otherwise(F.date_format(day, f"{order}/yyyy"))
+
+    file = F.col("o_orderkey") % 3
+    text = F.when(file == 0, written("M/d")).when(file == 1, written("d/M")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+    rows = o.select("o_orderkey", F.concat(F.lit("f"), file.cast("string"), F.lit(".csv")).alias("source_file"), text.alias("day"))
+    return standardize.parse_dates_in_order(rows, standardize.date_orders(rows, ["day"]), ["day"])
+
+
 @query
 def std_trim(spark, sf):
     c = table(spark, sf, "customer")
@@ -551,6 +566,21 @@ def load_rejects(spark, sf):
     return warehouse.read("rejects")
 
 
+@query
+def load_rules(spark, sf):
+    """What a load warns of: rows that fail a rule, all of them loaded, and a column that no feed has."""
+    warehouse = tables.Warehouse(spark, shared_dir(spark))
+    city = F.col("City")
+    raw = views.raw_feed(spark, sf).withColumns({
+        "Premium_Amt": F.when(city.endswith("3"), "-$5.00").otherwise(F.col("Premium_Amt")),
+        "Policy_Id": F.when(city.endswith("4"), " ").otherwise(F.col("Policy_Id")),
+        "Loyalty  Code": F.lit("x"),
+    })
+    daily_load.load_day(warehouse, raw, 1, as_of(1), LOADED_AT)
+    loaded = warehouse.read("feed").agg(F.count("*").alias("rows")).select(F.lit("table").alias("kind"), F.lit("feed").alias("item"), F.lit("loaded").alias("reason"), "rows")
+    return warehouse.read("rejects").unionByName(loaded)
+
+
 SPLIT_NAME = ["Customer Title", "Customer First Name", "Customer Middle Name", "Customer Last Name"]
 
 

@@ -9,6 +9,12 @@ from pyspark.sql import Column, functions as F
 
 #: Tried in this order.
 FEED_DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "M/d/yy")
+# The two ways to order day and month, and formats that leave no doubt.
+PLAIN_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
+DATE_ORDERS = {
+    "month first": ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yy", *PLAIN_FORMATS),
+    "day first": ("d/M/yyyy", "d/M/yyyy H:mm", "d/M/yy", *PLAIN_FORMATS),
+}
 OPEN_END = dt.date(9999, 12, 31)
 EARLIEST_START = dt.date(1900, 1, 1)
 

@@ -18,7 +18,7 @@ from premia.functions import (
     postal_text,
     strip_space,
 )
-from premia.functions.dates import FEED_DATE_FORMATS
+from premia.functions.dates import DATE_ORDERS, FEED_DATE_FORMATS
 from premia.schemas import DATE_COLUMNS, FEED_RENAMES, ID_COLUMNS, MONEY_COLUMNS
 
 
@@ -82,6 +82,57 @@ def parse_dates(
     )
 
 
+def date_orders(df: DataFrame, cols: Sequence[str] = DATE_COLUMNS, by: str = "source_file") -> DataFrame:
+    """``(by, column_name, date_order, fits, other_fits, ambiguous)``: how each file orders day and month in each column.
+
+    Both orders compete over all cells of a column in a file; the one that reads more of them wins, month first if they
+    draw. ``ambiguous`` cells are dates in either order, but not the same ones. One pass, summed up within each task.
+    """
+    texts = [c for c in _present(df, cols) if c in _text_columns(df)]
+    if not texts:
+        return df.sparkSession.createDataFrame(
+            [], f"{by} string, column_name string, date_order string, fits bigint, other_fits bigint, ambiguous bigint"
+        )
+    month, day = ({c: parse_date(F.col(c), DATE_ORDERS[o]) for c in texts} for o in ("month first", "day first"))
+    counts = df.groupBy(by).agg(
+        *[
+            F.struct(F.count(month[c]).alias("m"), F.count(day[c]).alias("d"), F.count_if(month[c] != day[c]).alias("ambiguous")).alias(f"c{i}")
+            for i, c in enumerate(texts)
+        ]
+    )
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n")) for i, c in enumerate(texts)]))
+    n, day_first = F.col("n"), F.col("n.d") > F.col("n.m")
+    return counts.select(by, cells).select(
+        by,
+        "column_name",
+        F.when(day_first, "day first").otherwise("month first").alias("date_order"),
+        F.greatest(n["m"], n["d"]).alias("fits"),
+        F.least(n["m"], n["d"]).alias("other_fits"),
+        n["ambiguous"].alias("ambiguous"),
+    )
+
+
+def parse_dates_in_order(df: DataFrame, orders: DataFrame, cols: Sequence[str] = DATE_COLUMNS, by: str = "source_file") -> DataFrame:
+    """Parse dates with one order of day and month per file and column, as :func:`date_orders` found it.
+
+    The orders have a row per file once they are joined, and no cell is read in another order than its column.
+    """
+    texts = [c for c in _present(df, cols) if c in _text_columns(df)]
+    found = orders.groupBy(F.col(by).alias("_by")).agg(
+        F.collect_set(F.when(F.col("date_order") == "day first", F.col("column_name"))).alias("_day_first")
+    )
+    joined = df.join(found, F.col(by).eqNullSafe(F.col("_by")), "left")
+    read = {
+        c: F.when(F.array_contains("_day_first", c), parse_date(F.col(c), DATE_ORDERS["day first"])).otherwise(
+            parse_date(F.col(c), DATE_ORDERS["month first"])
+        )
+        if c in texts
+        else F.col(c).cast("date")
+        for c in _present(df, cols)
+    }
+    return _replace(joined, read).drop("_by", "_day_first")
+
+
 def clean_currency(df: DataFrame, cols: Sequence[str] = MONEY_COLUMNS) -> DataFrame:
     return _replace(df, {c: parse_money(F.col(c)) for c in _present(df, cols)})
 

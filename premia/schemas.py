@@ -30,6 +30,21 @@ DATE_COLUMNS = (
 )
 MONEY_COLUMNS = ("premium_amt", "total_policy_amt", "premium_amt_paid_tilldate", "payment_amount")
 
+# Canonical values of feed columns, and other ways to write them in lower case.
+FEED_SPELLINGS = {
+    "gender": {"Male": ("male", "m", "man"), "Female": ("female", "f", "woman")},
+    "marital_status": {
+        "Single": ("single", "unmarried", "never married"), "Married": ("married", "m"),
+        "Divorced": ("divorced", "separated"), "Widowed": ("widowed", "widow", "widower"),
+    },
+    "policy_term": {
+        "Monthly": ("monthly", "month", "per month"), "Quarterly": ("quarterly", "quarter", "per quarter"),
+        "Half Yearly": ("half yearly", "half-yearly", "semi-annual", "semi annual"),
+        "Yearly": ("yearly", "annual", "annually", "per year"),
+    },
+    "region": {"Central": ("central",), "East": ("east", "eastern"), "South": ("south", "southern"), "West": ("west", "western")},
+}
+
 # Every column a feed may bring, snake case and renamed, in feed order.
 FEED_COLUMNS = (
     "customer_id", "customer_name", *NAME_PARTS, "customer_segment", "marital_status", "gender", "dob",

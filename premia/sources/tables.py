@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -89,13 +91,22 @@ def preview(df: DataFrame, order_by: Sequence[str], limit: int = 5) -> DataFrame
     return df.orderBy(*order_by).limit(limit)
 
 
+class ConcurrentLoad(RuntimeError):
+    """Another load was logged meanwhile whose tables this one should have built on."""
+
+
 class Warehouse:
     """A folder with one sub-folder per table and parts ``batch_day=N/attempt=K`` in it.
 
     Every load of a day writes an attempt of its own, and the ``loads`` log names the attempt that counts. Readers see
     the parts of logged attempts, so a load or a reload that is cut off leaves the tables as they were, and a repeated
-    one leaves no doubles. Logging a day again takes back all later days, which are then loaded anew. There is one
-    writer at a time; :meth:`clean` removes the parts that no longer count.
+    one leaves no doubles. Logging a day again takes back all later days, which are then loaded anew. :meth:`clean`
+    removes the parts that no longer count.
+
+    The log has one file per load, named by its number. A load reads the log as it begins and works on that state. To end
+    it writes the next number, which succeeds only if no one else has; else it looks at what was logged meanwhile. Later
+    days are no obstacle, as logging an earlier day takes them back, and it tries the next number. The same or an earlier
+    day is: the load fails with :class:`ConcurrentLoad` and its attempt does not count.
 
     Parts are never rewritten by later days. A customer batch writes the rows it expired next to all rows
     current after it, in parts by ``current_flag``; the customer table is the expired rows of all days plus the
@@ -109,6 +120,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self._open: dict[int, str] = {}
+        self._seen: list | None = None
 
     def _scan(self, folder: str, schema: T.StructType | str) -> DataFrame:
         try:
@@ -118,10 +130,21 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _entries(self) -> list:
+        """The log, a row per load, in order; during a load as it was at its begin."""
+        if self._seen is not None:
+            return self._seen
+        try:
+            return sorted(self.spark.read.schema(self.LOG_SCHEMA).json(f"{self.root}/{self.LOG}/*.json").collect())
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
     def _logged(self) -> dict[int, str]:
-        """Attempts by day, of the days with a finished load. The log has one row per load."""
+        """Attempts by day, of the days with a finished load."""
         days: dict[int, str] = {}
-        for row in sorted(self._scan(self.LOG, self.LOG_SCHEMA).collect()):
+        for row in self._entries():
             days = {**{d: a for d, a in days.items() if d < row["batch_day"]}, row["batch_day"]: row["attempt"]}
         return days
 
@@ -131,12 +154,47 @@ class Warehouse:
 
     def begin(self, day: int) -> None:
         """Start a load of a day; what is written for it stays out of sight until :meth:`finish`."""
+        self._seen = None
+        self._seen = self._entries()
         self._open = {day: f"a{uuid.uuid4().hex}"}
 
+    def abandon(self) -> None:
+        """End a load without logging it."""
+        self._open, self._seen = {}, None
+
     def finish(self, day: int, as_of: dt.date) -> None:
-        seq = self._scan(self.LOG, self.LOG_SCHEMA).count() + 1
-        entry = self.spark.createDataFrame([(seq, day, as_of, self._open.pop(day))], self.LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/{self.LOG}")
+        base, attempt = self._seen or [], self._open[day]
+        self.abandon()
+        while True:
+            now = self._entries()
+            meanwhile = [r for r in now if r not in base]
+            if stale := [r["batch_day"] for r in meanwhile if r["batch_day"] <= day]:
+                raise ConcurrentLoad(f"day {day} was built without the load of day {stale[-1]} that was logged meanwhile")
+            seq = max((r["seq"] for r in now), default=0) + 1
+            entry = {"seq": seq, "batch_day": day, "as_of": as_of.isoformat(), "attempt": attempt}
+            if self._create(f"{self.LOG}/{seq:08d}.json", json.dumps(entry)):
+                return
+
+    def _create(self, name: str, text: str) -> bool:
+        """Put a file with all of its text in place unless there is one of that name."""
+        hadoop, conf = self.spark._jvm.org.apache.hadoop.fs, self.spark._jsparkSession.sessionState().newHadoopConf()
+        target = hadoop.Path(f"{self.root}/{name}")
+        draft = hadoop.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+        files = target.getFileSystem(conf)
+        out = files.create(draft, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        how = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        how[0] = hadoop.Options.Rename.NONE  # a file of that name is not replaced
+        try:
+            hadoop.FileContext.getFileContext(files.getUri(), conf).rename(draft, target, how)
+            return True
+        except Py4JJavaError as error:
+            if not error.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
+                raise
+            return False
+        finally:
+            files.delete(draft, False)
 
     def write(self, table: str, df: DataFrame, day: int) -> None:
         writer = df.write.mode("overwrite")

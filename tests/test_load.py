@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from premia.plans.daily_load import load_day, load_folder
 from premia.schemas import TABLES
 from premia.sources.files import read_day
-from premia.sources.tables import Warehouse
+from premia.sources.tables import ConcurrentLoad, Warehouse
 from premia.streaming.daily import load_arriving_days
 
 NOW = dt.datetime(2024, 1, 1)
@@ -216,3 +216,88 @@ def test_arriving_days_end_in_the_same_tables(spark, two_days, tmp_path):
         assert stream.exception() is None
     assert Warehouse(spark, out).finished() == [1, 2]
     assert snapshot(Warehouse(spark, out)) == snapshot(two_days)
+
+
+def test_raw_rows_are_read_once_and_rules_are_listed(spark, tmp_path):
+    folder = feeds.write(tmp_path / "in")
+    raw = read_day(spark, folder, 1)
+    kept = raw.toPandas()
+    kept.loc[kept.customer_id == "3", "premium_amt"] = "-1"
+    kept.loc[kept.customer_id == "4", "policy_id"] = " "
+    kept["loyalty"] = "gold"
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            passed.add(len(b))
+            yield b
+
+    rows_of = spark.createDataFrame(kept.where(kept.notna(), None), ", ".join(f"{c} string" for c in kept.columns))
+    warehouse = Warehouse(spark, str(tmp_path / "out"))
+    assert load_day(warehouse, rows_of.mapInPandas(counted, rows_of.schema), 1, as_of(1), NOW)
+    assert passed.value == len(kept) == 4
+    assert rows(warehouse.read("rejects")) == [
+        ("column", "loyalty", "no column of the feed", None),
+        ("rule", "policy_id is given", "failed", 1),
+        ("rule", "premium_amt is positive", "failed", 1),
+    ]
+    assert warehouse.read("fact_policy_txn").count() == 4
+
+
+def test_values_are_normalised(spark, tmp_path):
+    raw = read_day(spark, feeds.write(tmp_path / "in"), 1).withColumns(
+        {"gender": F.lit(" M "), "policy_term": F.lit("quarter"), "region": F.lit("nowhere"), "maritial_status": F.lit("Unmarried")}
+    )
+    warehouse = Warehouse(spark, str(tmp_path / "out"))
+    lookup = spark.createDataFrame([("Central State", "Central"), ("East State", "East")], "state_province string, region string")
+    load_day(warehouse, raw, 1, as_of(1), NOW, regions=lookup)
+    got = warehouse.read("dim_customer").select("customer_id", "gender", "marital_status", "region")
+    assert rows(got) == [(c, "Male", "Single", r) for c, r in (("1", "Central"), ("2", "Central"), ("3", "East"), ("4", "East"))]
+    assert {r.policy_term for r in warehouse.read("dim_policy").collect()} == {"Quarterly"}
+
+
+def test_dates_in_the_order_of_their_column(spark, tmp_path):
+    """5/1/2012 is a day of January where the column also has 13/1/2012; the doubt is counted."""
+    raw = read_day(spark, feeds.write(tmp_path / "in"), 1)
+    paid = F.when(F.col("customer_id") == "3", "13/9/2013").when(F.col("customer_id") == "4", "5/9/13").otherwise(F.col("actual_premium_paid_dt"))
+    warehouse = Warehouse(spark, str(tmp_path / "out"))
+    load_day(warehouse, raw.withColumn("actual_premium_paid_dt", paid), 1, as_of(1), NOW, date_formats=None)
+    got = {r.customer_id: r.txn_date for r in warehouse.read("feed").collect()}
+    assert (got["3"], got["4"]) == (dt.date(2013, 9, 13), dt.date(2013, 9, 5))  # the file from East
+    assert got["1"] == dt.date(2013, 9, 4)  # the file from Central
+    listed = {(r.item, r.reason): r.rows for r in warehouse.read("rejects").collect()}
+    assert listed["actual_premium_paid_dt", "day and month could be swapped"] == 2
+
+
+def test_an_empty_batch_is_not_logged(spark, two_days, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "out"))
+    raw = read_day(spark, feeds.write(tmp_path / "in"), 1)
+    assert not load_day(warehouse, raw.where("false"), 1, as_of(1), NOW)
+    assert warehouse.finished() == []
+
+
+def test_two_loads_at_once(spark, tmp_path):
+    """Of loads of one day one counts; a load of an earlier day goes on, and takes the later one back."""
+    root = str(tmp_path / "out")
+
+    def begun(day):
+        warehouse = Warehouse(spark, root)
+        warehouse.begin(day)
+        types = spark.createDataFrame([(str(day), "t", "d")], TABLES["dim_policy_type"])
+        warehouse.write("dim_policy_type", types, day)
+        return warehouse
+
+    one, two = begun(1), begun(1)
+    two.finish(1, as_of(1))
+    with pytest.raises(ConcurrentLoad):
+        one.finish(1, as_of(1))
+    late, later = begun(2), begun(3)
+    later.finish(3, as_of(3))
+    late.finish(2, as_of(2))
+    fresh = Warehouse(spark, root)
+    assert fresh.finished() == [1, 2]
+    assert rows(fresh.read("dim_policy_type").select("policy_type_id")) == [("1",), ("2",)]
+    built_on_2, again = begun(3), begun(2)
+    again.finish(2, as_of(2))
+    with pytest.raises(ConcurrentLoad, match="day 3 was built without the load of day 2"):
+        built_on_2.finish(3, as_of(3))
