@@ -58,8 +58,9 @@ def country_name(c: Column, spellings: Sequence[str] = USA_SPELLINGS, name: str
 
 def canonical_value(c: Column, spellings: Mapping[str, Sequence[str]]) -> Column:
     """Replace known spellings, given in lower case per canonical value; keep all other values."""
-    probe = F.lower(strip_space(c))
-    result = c
-    for name, variants in spellings.items():
-        result = F.when(probe.isin(*variants), F.lit(name)).otherwise(result)
-    return result
+    # One lookup: a chain of conditions would clean the text once per spelling.
+    canonical = {v: name for name, variants in spellings.items() for v in variants}
+    if not canonical:
+        return c
+    known = F.create_map(*[F.lit(x) for pair in canonical.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.lower(strip_space(c))), c)

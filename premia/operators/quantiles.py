@@ -1,11 +1,14 @@
 """Exact quantiles without gathering the values of a group.
 
-The wanted ranks are enclosed in a bracket of two values that shrinks round by round: the values strictly inside are
-sketched into ``CUTS`` slices, and the bracket closes in on the slices around the ranks, with one slice to spare on
-either side. The sketch's rank error is far below a slice; should a bracket miss its ranks all the same, the counts of
-the next round show it, and the step is taken back and repeated with more to spare. Once at most ``INSIDE`` values lie
-strictly inside, they and the two ends are counted by value, everything below and above as one, and a running count
-finds the ranks. Each round leaves about ``4 / CUTS`` of the values, and groups of up to ``INSIDE`` rows need none.
+One pass sketches every column or group: KLL sketches of ``K``, which tasks fill and merge, so that one sketch serves all
+wanted ranks. The values that the sketch gives a margin below and above a rank enclose it in a bracket. A second pass
+counts what lies below, at and inside the brackets. A bracket that holds its ranks and at most ``INSIDE`` values is done;
+one that holds more is sketched again, inside only, and one that misses its ranks, which the margin makes very unlikely, is
+taken up again with four times the margin. The last pass counts the values of the brackets one by one, everything below and
+above as one, and a running count finds the ranks.
+
+Three passes serve up to ``INSIDE / (2 * MARGIN)`` rows a group, and every further one some 1 / (2 * MARGIN) times as
+many. Groups of up to ``INSIDE`` rows are their own bracket and need no counts.
 """
 
 from __future__ import annotations
@@ -18,13 +21,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from premia.session import shared_dir
 
-CUTS = 1024
-ACCURACY = 20 * CUTS
-INSIDE = 10_000
-
-
-def _slices() -> list[float]:
-    return [i / CUTS for i in range(CUTS + 1)]
+#: The rank error of a sketch of this size is below 0.0015 with 99 % confidence; the margin is several times that.
+K = 2048
+MARGIN = 0.006
+GRID = 512
+INSIDE = 100_000
 
 
 def _at_rank(rank: Column) -> Column:
@@ -62,52 +63,65 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _closer(rank: Column, spare: Column, up: bool) -> Column:
-    """The cut that leaves ``spare`` slices beside a rank among the sketched values, null if that is beyond them."""
-    at = rank / F.col("_inside") * CUTS
-    index = (F.ceil(at) + spare) if up else (F.floor(at) - spare)
-    return F.when((index >= 0) & (index <= CUTS), F.try_element_at(F.col("_cuts"), (index + 1).cast("int")))
+def _ends(value: Column, ranks: list[Column]) -> Column:
+    """The sketched values at ranks from 0 to 1; null if there are no values."""
+    sketch = F.kll_sketch_agg_double(value, F.lit(K))
+    return F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*ranks)))
+
+
+def _grid(sketch: Column) -> Column:
+    """The sketched values at all multiples of 1 / GRID; the ranks of sketches have to be constants."""
+    return F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]))
+
+
+def _sketched(value: Column) -> Column:
+    return F.when(F.count(value) > 0, _grid(F.kll_sketch_agg_double(value, F.lit(K))))
 
 
 def _brackets(rows: DataFrame, keys: Sequence[str], prob: float) -> DataFrame:
     """keys, _low, _high: per group a bracket of the wanted ranks with at most ``INSIDE`` values strictly inside."""
+    value, low, high = F.col("_value"), F.col("_low"), F.col("_high")
+    around = [F.lit(max(prob - MARGIN, 0.0)), F.lit(min(prob + MARGIN, 1.0))]
     spans = rows.groupBy(*keys).agg(
-        F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.count("*").alias("_total")
+        F.min("_value").alias("_least"), F.max("_value").alias("_most"), F.count("*").alias("_total"), _ends(value, around).alias("_ends")
     )
-    ends = ["_low", "_high"]
-    if not spans.where(F.col("_total") > INSIDE).limit(1).count():
-        return spans.select(*keys, *ends)
     spans = _kept(spans)
-    done = spans.where(F.col("_total") <= INSIDE).select(*keys, *ends)
-    open_ones = spans.where(F.col("_total") > INSIDE).select(
-        *keys, *ends, "_total", F.col("_low").alias("_low0"), F.col("_high").alias("_high0"), F.lit(1).alias("_spare")
-    )
-    value, low, high = F.col("_value"), F.col("_low"), F.col("_high")
+    small = F.col("_total") <= INSIDE
+    done = spans.where(small).select(*keys, F.col("_least").alias("_low"), F.col("_most").alias("_high"))
+    # Ends that are the least or the greatest value cannot miss.
+    open_ones = spans.where(~small).select(
+        *keys,
+        (F.col("_least") if prob <= MARGIN else F.col("_ends")[0]).alias("_low"),
+        (F.col("_most") if prob >= 1 - MARGIN else F.col("_ends")[1]).alias("_high"),
+        "_total", F.col("_least").alias("_low0"), F.col("_most").alias("_high0"), F.lit(MARGIN).alias("_margin"),
+    )
     first, last = (f(F.lit(prob) * (F.col("_total") - 1)) for f in (F.floor, F.ceil))
-    state = ["_low", "_high", "_total", "_low0", "_high0", "_spare"]
+    state = ["_low", "_high", "_total", "_low0", "_high0", "_margin"]
     while not open_ones.isEmpty():
-        seen = rows.join(open_ones, list(keys)).groupBy(*keys, *state).agg(
+        inside = F.when((value > low) & (value < high), value)
+        counted = rows.join(open_ones, list(keys)).groupBy(*keys, *state).agg(
             F.count_if(value < low).alias("_under"),
             F.count_if(value <= low).alias("_upto_low"),
             F.count_if(value <= high).alias("_upto_high"),
-            F.count_if((value > low) & (value < high)).alias("_inside"),
-            F.approx_percentile(F.when((value > low) & (value < high), value), _slices(), ACCURACY).alias("_cuts"),
+            F.count(inside).alias("_inside"),
+            _sketched(inside).alias("_new"),
         )
-        seen = _kept(seen)
+        seen = _kept(counted)
         holds = (F.col("_under") <= first) & (last < F.col("_upto_high"))
-        # With all slices to spare a bracket cannot shrink; it is then counted as it is.
-        finished = holds & ((F.col("_inside") <= INSIDE) | (F.col("_spare") > CUTS))
-        done = done.unionByName(seen.where(finished).select(*keys, *ends))
-        spare = F.col("_spare")
-        # Ranks at or below the lower end, or at the upper one, need no further values on that side.
-        new_high = F.when(last < F.col("_upto_low"), low).otherwise(F.coalesce(_closer(last - F.col("_upto_low"), spare, True), high))
-        new_low = F.when(first < F.col("_upto_low"), low).otherwise(F.coalesce(_closer(first - F.col("_upto_low"), spare, False), low))
+        # A bracket whose margin is the whole cannot shrink; it is then counted as it is.
+        finished = holds & ((F.col("_inside") <= INSIDE) | (F.col("_margin") >= 1))
+        done = done.unionByName(seen.where(finished).select(*keys, "_low", "_high"))
+        # Places on the grid beside the ranks; beyond it, or at the ends themselves, the end stays.
+        share = {r: (rank - F.col("_upto_low")) / F.col("_inside") for r, rank in (("first", first), ("last", last))}
+        down, up = F.floor((share["first"] - F.col("_margin")) * GRID), F.ceil((share["last"] + F.col("_margin")) * GRID)
+        new_low = F.when((first < F.col("_upto_low")) | (down <= 0), low).otherwise(F.get("_new", down.cast("int")))
+        new_high = F.when(last < F.col("_upto_low"), low).when(up >= GRID, high).otherwise(F.get("_new", up.cast("int")))
         step = seen.where(holds & ~finished).select(
             *keys, new_low.alias("_low"), F.greatest(new_low, new_high).alias("_high"), "_total",
-            low.alias("_low0"), high.alias("_high0"), "_spare",
+            low.alias("_low0"), high.alias("_high0"), "_margin",
         )
         back = seen.where(~holds).select(
-            *keys, F.col("_low0").alias("_low"), F.col("_high0").alias("_high"), "_total", "_low0", "_high0", (spare * 4).alias("_spare")
+            *keys, F.col("_low0").alias("_low"), F.col("_high0").alias("_high"), "_total", "_low0", "_high0", (F.col("_margin") * 4).alias("_margin")
         )
         open_ones = _kept(step.unionByName(back))
     return done
@@ -130,7 +144,7 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], col: str, out: str | Non
 
 @dataclass
 class _Bracket:
-    """Ends around the ranks of one quantile of one column, those of the step before, and the slices to spare."""
+    """Ends around the ranks of one quantile of one column, those of the step before, and the margin."""
 
     col: str
     prob: float
@@ -138,7 +152,8 @@ class _Bracket:
     low: float
     high: float
     before: tuple[float, float]
-    spare: int = 1
+    margin: float = 0.0
+    wide: bool = False
     below: int = 0
     above: int = 0
 
@@ -148,17 +163,19 @@ class _Bracket:
 
 
 def _shrink(df: DataFrame, values: dict[str, Column], brackets: list[_Bracket]) -> None:
-    """Close all brackets in, a pass over the data per round; a few numbers per bracket and round reach the driver."""
+    """Count all brackets in one pass, and again those that are too wide; a few numbers each reach the driver."""
     pending = list(brackets)
     while pending:
         aggs = []
         for i, b in enumerate(pending):
             v = values[b.col]
-            inside = (v > b.low) & (v < b.high)
+            inside = F.when((v > b.low) & (v < b.high), v)
+            # Most brackets are narrow enough by the sketch; only wide ones are sketched inside.
+            b.wide = b.wide or 2 * b.margin * b.total > INSIDE
             aggs.append(
                 F.struct(
                     F.count_if(v < b.low).alias("under"), F.count_if(v <= b.low).alias("upto_low"), F.count_if(v <= b.high).alias("upto_high"),
-                    F.count_if(inside).alias("inside"), F.approx_percentile(F.when(inside, v), _slices(), ACCURACY).alias("cuts"),
+                    F.count(inside).alias("inside"), (_sketched(inside) if b.wide else F.lit(None).cast("array<double>")).alias("grid"),
                 ).alias(f"b{i}")
             )
         still = []
@@ -166,21 +183,25 @@ def _shrink(df: DataFrame, values: dict[str, Column], brackets: list[_Bracket])
             first, last = b.ranks()
             if not (seen.under <= first and last < seen.upto_high):
                 b.low, b.high = b.before
-                b.spare *= 4
+                b.margin *= 4
+                b.wide = True
                 still.append(b)
-            elif seen.inside <= INSIDE or b.spare > CUTS:
+            elif seen.inside <= INSIDE or b.margin >= 1:
                 b.below, b.above = seen.under, b.total - seen.upto_high
+            elif seen.grid is None:  # wider than the sketch said: sketch it
+                b.wide = True
+                still.append(b)
             else:
                 b.before = (b.low, b.high)
-                down = math.floor((first - seen.upto_low) / seen.inside * CUTS) - b.spare
-                up = math.ceil((last - seen.upto_low) / seen.inside * CUTS) + b.spare
                 low, high = b.low, b.high
-                if first >= seen.upto_low and 0 <= down <= CUTS:
-                    low = seen.cuts[down]
+                down = math.floor(((first - seen.upto_low) / seen.inside - b.margin) * GRID)
+                up = math.ceil(((last - seen.upto_low) / seen.inside + b.margin) * GRID)
+                if down > 0:
+                    low = seen.grid[down]
                 if last < seen.upto_low:
                     high = b.low
-                elif 0 <= up <= CUTS:
-                    high = seen.cuts[up]
+                elif up < GRID:
+                    high = seen.grid[up]
                 b.low, b.high = low, max(low, high)
                 still.append(b)
         pending = still
@@ -193,10 +214,21 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     """
     spark = df.sparkSession
     values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
-    spans = df.agg(*[F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(f"c{i}") for i, v in enumerate(values.values())])
-    brackets = [
-        _Bracket(c, float(p), s.n, s.low, s.high, (s.low, s.high)) for c, s in zip(values, spans.first(), strict=True) if s.n for p in probs
-    ]
+    around = [F.lit(min(max(p + side * MARGIN, 0.0), 1.0)) for p in probs for side in (-1, 1)]
+    spans = df.agg(
+        *[
+            F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), _ends(v, around).alias("ends")).alias(f"c{i}")
+            for i, v in enumerate(values.values())
+        ]
+    ).first()
+    brackets = []
+    for c, s in zip(values, spans, strict=True):
+        for i, p in enumerate(probs if s.n else ()):
+            b = _Bracket(c, float(p), s.n, s.low, s.high, (s.low, s.high))
+            if s.n > INSIDE:
+                b.margin = MARGIN
+                b.low, b.high = (s.low if p <= MARGIN else s.ends[2 * i]), (s.high if p >= 1 - MARGIN else s.ends[2 * i + 1])
+            brackets.append(b)
     if not brackets:
         return spark.createDataFrame([], "column_name string, prob double, quantile double")
     _shrink(df, values, [b for b in brackets if b.total > INSIDE])

@@ -119,11 +119,23 @@ def test_quantiles_of_groups_of_any_size(spark):
 
 
 def test_brackets_that_miss_are_taken_back(spark, monkeypatch):
-    """With a sketch far too coarse for its slices, steps miss their ranks; the result stays exact."""
-    monkeypatch.setattr(quantiles, "ACCURACY", 5)
+    """With a sketch far too coarse for its margin, steps miss their ranks; the result stays exact."""
+    monkeypatch.setattr(quantiles, "K", 8)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.001)
     monkeypatch.setattr(quantiles, "INSIDE", 500)
     df = spark.range(4000).select((F.col("id") % 2).alias("k"), F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("double").alias("x"))
     want = {r.k: r.m for r in df.groupBy("k").agg(F.expr("percentile(x, 0.5)").alias("m")).collect()}
     assert dict(grouped_medians(df, ["k"], "x").collect()) == pytest.approx(want)
     got = {r.prob: r.quantile for r in column_quantiles(df, ["x"], [0.1, 0.9]).collect()}
     assert got == pytest.approx(dict(zip([0.1, 0.9], df.select(F.expr("percentile(x, array(0.1, 0.9))")).first()[0])))
+
+
+def test_wide_brackets_are_sketched_again(spark, monkeypatch):
+    """Brackets of 1/80 of the rows, of which 100 may stay: two rounds for a million values."""
+    monkeypatch.setattr(quantiles, "INSIDE", 100)
+    df = spark.range(1_000_000).select((F.col("id") % 3).alias("k"), F.pmod(F.xxhash64("id"), F.lit(1 << 50)).cast("double").alias("x"))
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.expr("percentile(x, 0.5)").alias("m")).collect()}
+    assert dict(grouped_medians(df, ["k"], "x").collect()) == pytest.approx(want, rel=1e-15)
+    got = {r.prob: r.quantile for r in column_quantiles(df, ["x"], [0.0, 0.001, 0.3, 1.0]).collect()}
+    exact = df.select(F.expr("percentile(x, array(0.0, 0.001, 0.3, 1.0))")).first()[0]
+    assert got == pytest.approx(dict(zip([0.0, 0.001, 0.3, 1.0], exact)), rel=1e-15)
