@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bindings import views
@@ -19,6 +20,7 @@ from premia.plans import daily_load, dimensions, fact, reports
 from premia.schemas import TABLES
 from premia.session import shared_dir, tune
 from premia.sources import files, tables
+from premia.streaming.daily import load_arriving_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -605,6 +607,46 @@ def pipe_two_days(spark, sf):
     return _described_fact(warehouse)
 
 
+@query
+def pipe_stream(spark, sf):
+    """The same two days, started by their arrival: plain files of day 1, then a zip archive with those of day 2."""
+    folder = shared_dir(spark)
+    _write_feed(spark, sf, f"{folder}/all")
+
+    def arrive() -> None:
+        stream = load_arriving_days(spark, f"{folder}/in", f"{folder}/out", f"{folder}/seen", as_of, LOADED_AT)
+        stream.awaitTermination()
+        if stream.exception() is not None:
+            raise stream.exception()
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frames = list(batches)
+        if not frames:
+            return
+        lines, packed = pd.concat(frames), io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            for (name, header), its in lines.groupby(["name", "header"], sort=True):
+                archive.writestr(name, "\n".join([header, *its["value"]]) + "\n")
+        yield pd.DataFrame({"value": [packed.getvalue()]})
+
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    store.mkdirs(hadoop.Path(f"{folder}/in"))
+    for variant in ("Central", "East"):
+        store.rename(hadoop.Path(f"{folder}/all/Feed_{variant}_day1.csv"), hadoop.Path(f"{folder}/in/Feed_{variant}_day1.csv"))
+    arrive()
+    # Every file of day 2 becomes a member per file that Spark wrote, header and all.
+    lines = spark.read.text(f"{folder}/all/*.csv").select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    stem = F.regexp_extract("path", r"Feed_(\w+)_day2\.csv/part-(\d+)", 1), F.regexp_extract("path", r"/part-(\d+)", 1)
+    named = lines.join(first, "path").where(F.col("value") != F.col("header"))
+    named = named.select(F.concat(F.lit("Feed_"), stem[0], F.lit("_part"), stem[1], F.lit("_day2.csv")).alias("name"), "header", "value", "at")
+    spread = named.repartition(4, "name").sortWithinPartitions("name", "at")
+    _write_archives(spread.mapInPandas(pack, "value binary"), f"{folder}/in", "late")
+    arrive()
+    return _described_fact(tables.Warehouse(spark, f"{folder}/out"))
+
+
 # --- sources and sinks ---------------------------------------------------------------------------------------
 
 
@@ -648,22 +690,42 @@ def src_batch_select(spark, sf):
     return _customer_rows(files.read_day(spark, _write_customers(spark, sf), 1))
 
 
+def _write_archives(packed: DataFrame, folder: str, name: str) -> None:
+    """One row of bytes per task as files ``name<i>.zip``."""
+    spark = packed.sparkSession
+    # A text file takes the bytes of its rows as they are; what it adds stands behind the archive's end.
+    parts = shared_dir(spark)
+    packed.select(F.col("value").cast("string")).write.text(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    store.mkdirs(hadoop.Path(folder))
+    for i, part in enumerate(store.globStatus(hadoop.Path(f"{parts}/part-*"))):
+        if part.getLen():
+            store.rename(part.getPath(), hadoop.Path(f"{folder}/{name}{i}.zip"))
+
+
 @query
 def src_zip_csv(spark, sf):
-    """Customers packed into zip archives, one per Arrow batch, and read back."""
+    """Customers in zip archives, two members each, and read back with the folder they lie in."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("customers_day1.csv", batch.to_csv(index=False))
-            yield pd.DataFrame({"path": [f"{batch['Customer ID'].iloc[0]}.zip"], "content": [packed.getvalue()]})
+        frames = list(batches)
+        if not frames:
+            return
+        rows, packed = pd.concat(frames), io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            for part in (0, 1):
+                at = TaskContext.get().partitionId()
+                archive.writestr(f"customers{at}_{part}_day1.csv", rows[part::2].to_csv(index=False))
+        yield pd.DataFrame({"value": [packed.getvalue()]})
 
     c = table(spark, sf, "customer")
     text = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nnext'))
-    rows = c.select(F.col("c_custkey").alias("Customer ID"), text.alias("Name"))
-    archives = rows.mapInPandas(pack, "path string, content binary")
-    return _customer_rows(files.read_members(archives, {"Customer ID": "customer_id", "Name": "name"}))
+    rows = c.select(F.col("c_custkey").alias("Customer ID"), text.alias("Name")).repartition(4, "Customer ID")
+    folder = shared_dir(spark)
+    _write_archives(rows.mapInPandas(pack, "value binary"), folder, "customers")
+    read = files.read_folder(spark, folder)
+    return _customer_rows(read).select("customer_id", "name", F.lit("customers_day1.csv").alias("source_file"))
 
 
 @query

@@ -3,30 +3,24 @@
 from __future__ import annotations
 
 import csv
-import io
-import itertools
 import logging
 import re
-import zipfile
-import zlib
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
-from types import MappingProxyType
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from premia.operators.relational import union_outer
 from premia.operators.standardize import blank_cells, snake_case
+from premia.sources.archives import archives_in, read_members, scanned
 
 log = logging.getLogger(__name__)
 
 # Fixed value: how a file name tells its day.
 DAY_OF_FILE = r"(?i)day(\d+)\.csv$"
-ROWS_PER_CHUNK = 10_000
 
 
 def _texts(names: Iterable[str]) -> T.StructType:
@@ -109,103 +103,6 @@ def read_files(spark: SparkSession, paths: Sequence[str], **options) -> DataFram
     return union_outer(frames) if frames else None
 
 
-Records = Iterator[tuple[str, Iterator[list[str]]]]
-
-
-def _member_reader(pattern: str, parser: Mapping[str, str]) -> Callable[[bytes], Records]:
-    """A function that gives names and record streams of the delimited files in an archive.
-
-    It is nested so that it travels to the tasks by value: executors need no copy of this package.
-    """
-
-    csv_limit = 2**31 - 1
-
-    def records(archive: zipfile.ZipFile, name: str) -> Iterator[list[str]]:
-        csv.field_size_limit(csv_limit)
-        with archive.open(name) as member:
-            yield from csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""), **parser)
-
-    def members(content: bytes) -> Records:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            for name in archive.namelist():
-                # Files in sub-folders of an archive are no files of the folder it lies in.
-                if "/" not in name and name.endswith(".csv") and fnmatchcase(name, pattern):
-                    yield name, records(archive, name)
-
-    return members
-
-
-def archives_in(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, content)`` of the zip archives in a folder."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
-
-
-def archive_members(archives: DataFrame, pattern: str = "*", parser: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
-    """``(path, member, header, problem)`` of the delimited files in archives, each read to its end.
-
-    ``problem`` says why a member, or an archive with a null member, cannot be read; it is null for the others.
-    """
-    members = _member_reader(pattern, dict(parser))
-    unreadable = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, UnicodeError, csv.Error)
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def row(path: str, name: str | None, header: list[str], problem: str | None) -> pd.DataFrame:
-            return pd.DataFrame({"path": [path], "member": [name], "header": [header], "problem": [problem]})
-
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    for name, records in members(content):
-                        try:
-                            header = next(records, [])
-                            for _ in records:
-                                pass
-                            yield row(path, name, header, None)
-                        except unreadable as error:
-                            yield row(path, name, [], f"{type(error).__name__}: {error}")
-                except zipfile.BadZipFile as error:
-                    yield row(path, None, [], f"{type(error).__name__}: {error}")
-
-    return archives.mapInPandas(scan, "path string, member string, header array<string>, problem string")
-
-
-def read_members(
-    archives: DataFrame,
-    names: Mapping[str, str],
-    pattern: str = "*",
-    taken_from: Mapping[str, str] | None = None,
-    parser: Mapping[str, str] = MappingProxyType({}),
-) -> DataFrame:
-    """The rows of the delimited files in archives, as text columns plus ``source_file``.
-
-    ``names`` gives the column for each spelling a header may use; of spellings for one column that a header
-    has, the first counts. Archives spread over the tasks. Each is read record by record and passed on in
-    chunks, and nothing is written next to the input. ``taken_from`` names the members to read, and for each the
-    archive to use where several hold it. A damaged member stops the job.
-    """
-    members, column_of = _member_reader(pattern, dict(parser)), dict(names)
-    columns = list(dict.fromkeys(column_of.values()))
-    per_chunk = ROWS_PER_CHUNK
-    sources = None if taken_from is None else set(taken_from.values())
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                if sources is not None and path not in sources:
-                    continue
-                for name, records in members(content):
-                    if taken_from is not None and taken_from.get(name) != path:
-                        continue
-                    header = [column_of.get(c) for c in next(records, [])]
-                    at = {c: header.index(c) for c in columns if c in header}
-                    filled = (r for r in records if r)
-                    while rows := list(itertools.islice(filled, per_chunk)):
-                        cells = {c: [r[at[c]] if c in at and at[c] < len(r) else None for r in rows] for c in columns}
-                        yield pd.DataFrame({**cells, "source_file": name}, dtype=object)
-
-    return blank_cells(archives.mapInPandas(scan, _texts([*columns, "source_file"])))
-
-
 @dataclass(frozen=True)
 class Member:
     """A file in an archive, or an archive that cannot be opened (without a name)."""
@@ -229,8 +126,12 @@ def scan_archives(spark: SparkSession, folder: str, **options) -> list[Member]:
     unknown = set(options) - _ARCHIVE_OPTIONS
     if unknown:
         raise ValueError(f"options {sorted(unknown)} do not apply to files in archives")
-    found = archive_members(archives_in(spark, folder), parser=_csv_options(options)).collect()
-    return sorted((Member(r["path"], r["member"], tuple(r["header"]), r["problem"]) for r in found), key=lambda m: (m.path, m.name or ""))
+    parser = _csv_options(options)
+    found = scanned(archives_in(spark, folder), parser["quotechar"]).collect()
+    members = (
+        Member(r["path"], r["member"], tuple(next(csv.reader([r["header"]], **parser), ())), r["problem"]) for r in found
+    )
+    return sorted(members, key=lambda m: (m.path, m.name or ""))
 
 
 def rejected_files(members: Iterable[Member]) -> list[tuple[str, str]]:
@@ -268,8 +169,10 @@ def read_folder(
     plain = sorted({f for p in paths if _base(f := _logical(p)) not in taken_from and wanted(_base(f))})
     frames = [read_files(spark, plain, **options) if plain else None]
     if zipped:
-        names = {c: snake_case(c) for m in zipped for c in m.header}
-        frames.append(read_members(archives_in(spark, folder), names, pattern, taken_from, _csv_options(options)))
+        headers = {(m.path, m.name): m.header for m in zipped if m.header and taken_from[m.name] == m.path}
+        parser = _csv_options(options)
+        how = {"sep": parser["delimiter"], "quote": parser["quotechar"], "escape": '"'}
+        frames.append(read_members(archives_in(spark, folder), headers, how, parser["quotechar"]) if headers else None)
     frames = [f for f in frames if f is not None]
     return union_outer(frames) if frames else None
 

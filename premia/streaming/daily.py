@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from premia.plans.daily_load import load_folder
-from premia.sources.files import batch_day, source_name
+from premia.sources.files import batch_day, day_of, scan_archives, source_name
 from premia.sources.tables import Warehouse
 
 
@@ -26,11 +26,15 @@ def load_arriving_days(
     The stream carries file names only and says which days have news. From the first of these days on, all
     days up to the last known one are loaded from their whole files: files of a day may arrive in several
     triggers, days may arrive out of order, and a trigger may be repeated after a failure, with the same
-    tables in the end.
+    tables in the end. Of an archive the days of its members count; one row per archive reaches the driver.
     """
 
     def load(arrived: DataFrame, _batch: int) -> None:
-        news = [r["day"] for r in arrived.select("day").distinct().collect()]  # one row per day
+        seen = arrived.groupBy("day").agg(F.collect_set("archive").alias("archives")).collect()  # one row per day
+        news = {r["day"] for r in seen if r["day"] is not None}
+        if zipped := {a for r in seen for a in r["archives"]}:
+            members = [m for m in scan_archives(spark, folder) if m.path in zipped and m.name and "_day" in m.name]
+            news |= {d for m in members if (d := day_of(m.name)) is not None}
         if news:
             known = Warehouse(spark, root).finished()
             load_folder(spark, folder, root, as_of, ingested_at, sorted({*news, *(d for d in known if d > min(news))}))
@@ -38,9 +42,12 @@ def load_arriving_days(
     names = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .load(f"{folder.rstrip('/')}/*_day*.csv")
-        .select(batch_day(source_name(F.col("path"))).alias("day"))
-        .filter("day is not null")
+        .load(f"{folder.rstrip('/')}/{{*_day*.csv,*.zip}}")
+        .select(
+            batch_day(source_name(F.col("path"))).alias("day"),
+            F.when(F.col("path").endswith(".zip"), F.col("path")).alias("archive"),
+        )
+        .filter("day is not null or archive is not null")
     )
     return (
         names.writeStream.foreachBatch(load)

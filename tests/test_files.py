@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import zipfile
+
 import feeds
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from premia.schemas import NAME_PARTS
-from premia.sources import files, tables
+from premia.sources import archives, files, tables
 
 
 def test_folder_unites_headers_that_differ(spark, tmp_path):
@@ -182,3 +185,33 @@ def test_counts_report_tables_that_cannot_be_read(spark):
     assert rows(tables.table_counts(spark, found)) == [("four", 4), ("no_such_table", None)]
     assert rows(tables.read_query(spark, "select count(*) from four")) == [(4,)]
     assert rows(tables.preview(tables.read_table(spark, "four"), ["id"], 2)) == [(0,), (1,)]
+
+
+def test_members_of_one_archive_run_in_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "CHUNK", 1000)
+    monkeypatch.setattr(archives, "PIECE", 70)
+    text = "Id,Note\r\n" + "".join(f'{i},"é line\n{i}"\r\n' for i in range(3000))
+    folder = feeds.write_zip(tmp_path, "a.zip", {f"{n}_day1.csv": text for n in "abcdefgh"})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = files.read_folder(spark, folder).withColumn("task", F.spark_partition_id())
+        got = df.groupBy("source_file").agg(F.count("*"), F.countDistinct("task"), F.count_if(F.col("note") == F.concat(F.lit("é line\n"), "id"))).collect()
+        assert sorted(tuple(r)[1:] for r in got) == [(3000, 1, 3000)] * 8
+        assert df.select("task").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_records(size):
+    text = 'a,b\r\n1,"x\n""y"",\n"\n\n2,z\n"open\n'
+    pieces = (text[i : i + size] for i in range(0, len(text), size))
+    assert list(archives.records(pieces, '"')) == ["a,b", '1,"x\n""y"",\n"', "2,z", '"open\n']
+    assert list(archives.records(iter([""]), '"')) == []
+
+
+def test_stored_members_are_read(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "s.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a.csv", "Id\n1\n2")
+        z.writestr("empty.csv", "")
+    assert rows(files.read_folder(spark, str(tmp_path)).select("id", "source_file")) == [("1", "a.csv"), ("2", "a.csv")]

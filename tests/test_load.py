@@ -301,3 +301,15 @@ def test_two_loads_at_once(spark, tmp_path):
     again.finish(2, as_of(2))
     with pytest.raises(ConcurrentLoad, match="day 3 was built without the load of day 2"):
         built_on_2.finish(3, as_of(3))
+
+
+def test_days_arriving_in_archives(spark, two_days, tmp_path):
+    """A zip with both regions of day 2 starts the load of day 2."""
+    folder, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    day = {d: {n: t for n, t in feeds.FILES.items() if f"day{d}" in n} for d in (1, 2)}
+    for arrive in (lambda: feeds.write(folder, list(day[1])), lambda: feeds.write_zip(folder, "late.zip", {**day[2], "notes.csv": "a\n"})):
+        arrive()
+        stream = load_arriving_days(spark, str(folder), out, check, as_of, NOW)
+        stream.awaitTermination()
+        assert stream.exception() is None
+    assert snapshot(Warehouse(spark, out)) == snapshot(two_days)
