@@ -116,16 +116,19 @@ class Order:
 
 
 def placed(docs: DataFrame) -> DataFrame:
-    """The documents with the file and row they stand in, written first if they are not a table of files."""
-    at = lambda d: d.select("*", F.col("_metadata.file_path").alias("its_file"), F.col("_metadata.row_index").alias("its_row"))
+    """The documents' ids, sources and texts with the file and row they stand in, written first if they are not a table of files."""
+    wanted = ["doc_id", "source", "text"]
+    place = F.col("_metadata.file_path").alias("its_file"), F.col("_metadata.row_index").alias("its_row")
     try:
-        return at(docs)
-    except AnalysisException:
-        return at(staged(docs))
+        return docs.select(*wanted, *place)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        return staged(docs.select(*wanted)).select(*wanted, *place)
 
 
 def order_of(rows: DataFrame) -> Order:
-    """Tasks number the files they write, and the parts of a file after ``.c``."""
+    """Tasks number the files they write, and the parts of a file after ``.c``; files named otherwise go first, by name."""
     found = rows.groupBy("its_file").agg((F.max("its_row") + 1).alias("n")).collect()
 
     def written(r: Row) -> tuple:

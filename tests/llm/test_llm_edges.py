@@ -6,6 +6,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from samples import PASSAGE, ROWS, empty, folder, messy
 
 import corpus_pipeline
@@ -77,6 +78,15 @@ def test_stages_keep_columns_and_types(spark, sf):
         assert out.count() > 0, name
 
 
+def test_packing_stage_on_clashing_columns(spark, sf):
+    """Columns named as the stage's own, also in a table read from files."""
+    docs = messy(spark).withColumns({c: F.lit("x") for c in ("its_file", "its_row", "stretch", "before", "ids", "chunk")})
+    name, stage = corpus_pipeline.STAGES[-1]
+    want = sorted(tuple(r) for r in stage(spark, common.staged(messy(spark).coalesce(1)), sf).select("start", "length", "doc_tokens").collect())
+    for given in (docs.coalesce(1), common.staged(docs.coalesce(1))):
+        assert sorted(tuple(r) for r in stage(spark, given, sf).select("start", "length", "doc_tokens").collect()) == want
+
+
 def test_deduplicated_keeps_one_row_of_each_text(spark):
     kept = block_naming.deduplicated(messy(spark), block=7).collect()
     assert sorted(norm(r.text) for r in kept) == sorted({norm(t) for _, t, *_ in ROWS})
