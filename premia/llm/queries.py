@@ -184,7 +184,7 @@ ORACLE["op10_url_rules"] = rf"""
         from parts)
     select page_id, host, path, rule,
            case when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
-                when regexp_matches(host || path, '(?:^|[^0-9a-z])(?:{"|".join(URL_WORDS)})(?:[^0-9a-z]|$)') then 'block'
+                when regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:^|[^0-9a-z])(?:{"|".join(URL_WORDS)})(?:[^0-9a-z]|$)') then 'block'
                 else 'allow' end as verdict
     from ruled"""
 

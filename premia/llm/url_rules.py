@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from premia.llm.common import ascii_lower, ship
+from premia.llm.common import LOWER, UPPER, ascii_lower, ship
 
 ship(__name__)
 
@@ -27,13 +27,17 @@ TOKEN = r"[0-9a-z]+"
 
 @dataclass(frozen=True)
 class Rule:
-    """``listed`` rules name themselves in the result and win over patterns; among them the longest name wins."""
+    """``listed`` rules name themselves in the result and win over patterns; among them the longest name wins.
+
+    ``folded`` rules are searched in the URL with A-Z in lower case, where its tokens are cut, others in the URL as it is.
+    """
 
     name: str
     verdict: str
     regex: str
     tokens: tuple[str, ...]
     listed: bool = field(default=True)
+    folded: bool = field(default=False)
 
 
 def place_rule(verdict: str, host: str, path: str) -> Rule:
@@ -43,8 +47,8 @@ def place_rule(verdict: str, host: str, path: str) -> Rule:
 
 
 def word_rule(verdict: str, words: str) -> Rule:
-    """Fits hosts and paths that hold the hyphenated words, delimited on both sides."""
-    return Rule(words, verdict, rf"(?:^|[^0-9a-z]){re.escape(words)}(?:[^0-9a-z]|$)", tuple(re.findall(TOKEN, words)), False)
+    """Fits hosts and paths that hold the hyphenated words, in lower case or not, delimited on both sides."""
+    return Rule(words, verdict, rf"(?:^|[^0-9a-z]){re.escape(words)}(?:[^0-9a-z]|$)", tuple(re.findall(TOKEN, words)), False, True)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -55,15 +59,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     )
 
 
-def _tokens(key: str) -> list[str]:
-    return re.findall(TOKEN, key.lower())
+_FOLD = str.maketrans(UPPER, LOWER)
 
 
 def token_counts(urls: DataFrame, tokens: set[str]) -> dict[str, int]:
     """URLs per token, for the tokens of the rules only: as many rows as the rules have tokens."""
     if not tokens:
         return {}
-    found = F.array_distinct(F.regexp_extract_all(F.lower(F.concat("host", "path")), F.lit(TOKEN), F.lit(0)))
+    found = F.array_distinct(F.regexp_extract_all(ascii_lower(F.concat("host", "path")), F.lit(TOKEN), F.lit(0)))
     wanted = urls.select(F.explode(F.array_intersect(found, F.array(*map(F.lit, sorted(tokens))))).alias("token"))
     return {r["token"]: r["count"] for r in wanted.groupBy("token").count().collect()}
 
@@ -93,14 +96,15 @@ def judge(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", id_co
         for batch in batches:
             names, verdicts = [], []
             for key in batch["host"] + batch["path"]:
-                near = always + [i for t in dict.fromkeys(_tokens(key)) for i in index.get(t, ())]
+                low = key.translate(_FOLD)
+                near = always + [i for t in dict.fromkeys(re.findall(TOKEN, low)) for i in index.get(t, ())]
                 best: Rule | None = None
                 for i in near:
                     if i not in compiled:
                         compiled[i] = re.compile(rules[i].regex)
                     rule = rules[i]
                     order = (rule.listed, len(rule.name), rule.name)
-                    if (best is None or order > (best.listed, len(best.name), best.name)) and compiled[i].search(key):
+                    if (best is None or order > (best.listed, len(best.name), best.name)) and compiled[i].search(low if rule.folded else key):
                         best = rule
                 names.append(best.name if best and best.listed else None)
                 verdicts.append(best.verdict if best else default)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -191,3 +192,38 @@ def test_quality_without_labels_of_both_kinds(spark):
     assert {r.score for r in byte_cnn.classified(docs, none).collect()} == {0.5}
     good = spark.createDataFrame([(i, 1, 0) for i in range(20)], LABELS)
     assert all(r.predicted == 1 for r in byte_cnn.classified(docs, good).collect())
+
+
+def judged(spark, urls, rules):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    return [(r.rule, r.verdict) for r in sorted(url_rules.judge(pages, rules).collect(), key=lambda r: r.page_id)]
+
+
+def test_words_are_cut_and_searched_in_one_alphabet(spark):
+    casino = url_rules.word_rule("block", "casino")
+    urls = ["http://a.org/MYcasino/", "http://a.org/\u212acasino/", "http://a.org/Casino/", "http://a.org/\u00c9casino", "http://CASINO.org", "http://a.org/xcasino"]
+    assert [v for _, v in judged(spark, urls, [casino])] == ["allow", "block", "block", "block", "block", "allow"]
+
+
+def test_many_rules_against_every_rule_on_every_url(spark):
+    """100,000 generated rules; a URL meets few of them, and the verdicts are those of all of them."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    rules = {}
+    while len(rules) < 100_000:
+        host, path = ".".join(rng.choices(words, k=rng.choice([1, 2]))), "".join(f"/{w}" for w in rng.choices(words, k=rng.choice([0, 1]))) + "/"
+        rules[host + path] = url_rules.place_rule(rng.choice(["block", "allow"]), host, path)
+    listed = list(rules.values())
+    some = rng.sample(listed, 60)
+    urls = [f"https://{rng.choice(words)}.{r.name}{rng.choice(['', 'x', 'w1/w2'])}?q" for r in some] + [f"http://{w}.W1/" for w in words[:20]]
+    want = []
+    for u in urls:
+        host, path = u.split("://")[1].split("?")[0].split("/", 1)
+        key = host.lower() + "/" + path
+        fits = [r for r in listed if r.name.split("/")[0].split(".")[-1] in key and re.search(r.regex, key)]
+        best = max(fits, key=lambda r: (len(r.name), r.name), default=None)
+        want.append((best.name, best.verdict) if best else (None, "allow"))
+    assert judged(spark, urls, listed) == want
+    index, always = url_rules.rule_index(listed, {})
+    candidates = [sum(len(index.get(t, ())) for t in set(re.findall(url_rules.TOKEN, u.lower()))) for u in urls]
+    assert not always and sum(candidates) / len(candidates) < 1000
