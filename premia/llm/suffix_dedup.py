@@ -4,7 +4,8 @@ A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts in
 suffixes that can have such a twin are sorted. Each string of ``LENGTH`` bytes has an anchor, the place of the least
 hash among its runs of ``RUN`` bytes, and equal strings have equal anchors; so
 
-1. each block of documents tells shards the hashes of its anchors, and hears which of them other blocks have, too;
+1. each block of documents tells shards the hashes of its anchors and how many distinct texts surround each, and hears
+   which of them other blocks have, too, and which are hot, that is have more than ``HOT`` texts around them in all;
 2. strings with such anchors go to their anchor's shard, neighbours with the same anchor as one text, each distinct text
    once per block. A shard lays the texts out so that anchors stand at multiples of ``PERIOD``, ranks the positions of a
    difference cover modulo ``PERIOD`` by the ``SAMPLE`` bytes that follow, and sorts one suffix bucket (first byte) at a
@@ -12,8 +13,10 @@ hash among its runs of ``RUN`` bytes, and equal strings have equal anchors; so
    equal residues, so one cover position settles a tie, and no more than a bucket is sorted at once;
 3. blocks hear the smallest document of every string and cut.
 
-Shards grow in number with the corpus and hold a bounded number of anchors each; a passage that many documents share is
-sent once per block. Matches never cross documents, and strings are judged on the input.
+Shards grow in number with the corpus. A passage that many documents share is sent once per block; where it begins and
+ends, its anchors have other surroundings in each document. Such a hot anchor has no shard of its own: each of its strings
+goes alone to the shard of its bytes' hash, where equal strings still meet, so that the surroundings of one anchor
+spread over all shards. Matches never cross documents, and strings are judged on the input.
 
 Null texts are empty. Null ids count as larger than any other and do not remove each other's bytes; rows with the same
 id never remove each other's bytes. An empty table gives an empty result. Other columns are not read.
@@ -21,8 +24,9 @@ id never remove each other's bytes. An empty table gives an empty result. Other
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +49,8 @@ BLOCK_BYTES = 4 << 20
 SLICE = 1 << 21
 #: Bytes of input for each shard, about 14 to an anchor.
 SHARD_BYTES = 8 << 20
+#: Texts around one anchor that may meet in its shard; each has at most 27 strings.
+HOT = 8192
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -55,16 +61,26 @@ def words_at(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Runs:
-    """Neighbouring strings with the same anchor: text number, first start within the text, how many, anchor's offset, hash."""
+    """Neighbouring strings with the same anchor: text number, first start within the text, how many, anchor's offset.
+
+    ``key`` is the anchor's hash, ``body`` that of all bytes of the strings.
+    """
 
     text: np.ndarray
     start: np.ndarray
     count: np.ndarray
     anchor: np.ndarray
     key: np.ndarray
+    body: np.ndarray
 
     def pick(self, which: np.ndarray) -> Runs:
-        return Runs(self.text[which], self.start[which], self.count[which], self.anchor[which], self.key[which])
+        return Runs(*(getattr(self, f.name)[which] for f in fields(self)))
+
+    def singly(self) -> Runs:
+        """Each string as a run of its own."""
+        inside = np.arange(self.count.sum()) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+        each = self.pick(np.repeat(np.arange(len(self.count)), self.count))
+        return Runs(each.text, each.start + inside, np.ones_like(inside), each.anchor - inside, each.key, each.body)
 
 
 def _slices(texts: list[bytes]) -> Iterator[list[tuple[int, int, int]]]:
@@ -116,21 +132,39 @@ def anchored(texts: list[bytes]) -> Runs:
         text, begin, size = np.array(parts).T
         shift = begin - (np.cumsum(size - begin) - (size - begin))  # from places in the slice to places in the text
         part = owner[new]
-        start, anchor = at[new], anchor[new]
-        found.append(Runs(text[part], start + shift[part], np.diff(np.append(new, len(at))), anchor - start, h[anchor]))
+        start, anchor, count = at[new], anchor[new], np.diff(np.append(new, len(at)))
+        # Four runs of RUN bytes cover the strings, which are at most 2 * LENGTH - RUN bytes long.
+        end, body = start + count + LENGTH - 1, (anchor - start).astype(np.uint64)
+        for place in (start, start + RUN, end - 2 * RUN, end - RUN):
+            body = (body ^ h[place]) * np.uint64(0x9E3779B97F4A7C15)
+        found.append(Runs(text[part], start + shift[part], count, anchor - start, h[anchor], body))
     if not found:
         none = np.zeros(0, np.int64)
-        return Runs(none, none, none, none, none.astype(np.uint64))
-    return Runs(*(np.concatenate([getattr(r, k) for r in found]) for k in ("text", "start", "count", "anchor", "key")))
+        return Runs(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64))
+    return Runs(*(np.concatenate([getattr(r, f.name) for r in found]) for f in fields(Runs)))
 
 
 def _shard(key: np.ndarray, shards: int) -> np.ndarray:
     return ((key >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
 
 
+def _full(key: np.ndarray, shards: int) -> np.ndarray:
+    """Shard and lower half of each hash."""
+    return (_shard(key, shards).astype(np.uint64) << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
+
+
 def _asked(key: np.ndarray, shards: int) -> np.ndarray:
-    """Shard and lower half of each distinct hash, in order; what a block sends and what the answer's bits stand for."""
-    return np.unique((_shard(key, shards).astype(np.uint64) << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF)))
+    """The distinct hashes, in order; what a block sends and what the answer's bits stand for."""
+    return np.unique(_full(key, shards))
+
+
+def surroundings(runs: Runs, asked: np.ndarray, shards: int) -> np.ndarray:
+    """How many distinct texts hold each asked anchor, as 16 bits; larger numbers are hot by themselves."""
+    place = np.searchsorted(asked, _full(runs.key, shards))
+    order = np.lexsort((runs.body, place))
+    place, body = place[order], runs.body[order]
+    new = np.append(True, (place[1:] != place[:-1]) | (body[1:] != body[:-1]))[: len(place)]
+    return np.minimum(np.bincount(place[new], minlength=len(asked)), 0xFFFF).astype("<u2")
 
 
 def _by_shard(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -141,8 +175,7 @@ def _by_shard(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 def repeated_within(runs: Runs, ids: np.ndarray, asked: np.ndarray, shards: int) -> np.ndarray:
     """Which of the asked hashes stand in documents with different ids of this block."""
-    full = (_shard(runs.key, shards).astype(np.uint64) << np.uint64(32)) | (runs.key & np.uint64(0xFFFFFFFF))
-    place, owner = np.searchsorted(asked, full), ids[runs.text]
+    place, owner = np.searchsorted(asked, _full(runs.key, shards)), ids[runs.text]
     least, most = np.full(len(asked), NO_ID), np.full(len(asked), np.iinfo(np.int64).min)
     np.minimum.at(least, place, owner)
     np.maximum.at(most, place, owner)
@@ -169,29 +202,37 @@ def candidates(payload: bytes, repeated: dict[int, bytes], shards: int) -> Block
     texts, ids = docs.column("text").to_pylist(), docs.column("id").to_numpy()
     runs = anchored(texts)
     asked = _asked(runs.key, shards)
-    known = repeated_within(runs, ids, asked, shards)
+    known, hot = repeated_within(runs, ids, asked, shards), np.zeros(len(asked), bool)
     for shard, s, e in _by_shard((asked >> np.uint64(32)).astype(np.int64)):
-        known[s:e] |= np.unpackbits(np.frombuffer(repeated[shard], np.uint8), count=e - s).astype(bool)
-    full = (_shard(runs.key, shards).astype(np.uint64) << np.uint64(32)) | (runs.key & np.uint64(0xFFFFFFFF))
-    runs = runs.pick(known[np.searchsorted(asked, full)])
-    shard = _shard(runs.key, shards)
-    runs = runs.pick(order := np.argsort(shard, kind="stable"))
-    shard = shard[order]
+        told = np.frombuffer(repeated[shard], np.uint8)
+        here, size = told[: -(-(e - s) // 8)], e - s
+        known[s:e] |= np.unpackbits(here, count=size).astype(bool)
+        if len(told) > len(here):
+            hot[s:e] = np.unpackbits(told[len(here) :], count=size).astype(bool)
+    place = np.searchsorted(asked, _full(runs.key, shards))
+    plain, alone = runs.pick(known[place] & ~hot[place]), runs.pick(known[place] & hot[place]).singly()
+    home = _shard(plain.key, shards).tolist() + [-1] * len(alone.text)
+    runs = Runs(*(np.concatenate([getattr(plain, f.name), getattr(alone, f.name)]) for f in fields(Runs)))
     seen: dict[bytes, int] = {}
     distinct, anchor, least, of, number = [], [], [], [], []
-    for t, s, c, a, home in zip(*(x.tolist() for x in (runs.text, runs.start, runs.count, runs.anchor, shard))):
+    for t, s, c, a, shard in zip(*(x.tolist() for x in (runs.text, runs.start, runs.count, runs.anchor)), home):
         body = texts[t][s : s + c + LENGTH - 1]
         k = seen.setdefault(bytes((a,)) + body, len(distinct))
         if k == len(distinct):
             distinct.append(body)
             anchor.append(a)
             least.append(ids[t])
-            of.append(home)
+            of.append(shard if shard >= 0 else zlib.crc32(body) % shards)
         elif ids[t] < least[k]:
             least[k] = ids[t]
         number.append(k)
     as_ints = lambda x: np.array(x, np.int64)
-    return Block(ids, texts, runs, as_ints(number), distinct, as_ints(anchor), as_ints(least), as_ints(of))
+    order = np.argsort(as_ints(of), kind="stable")
+    new_number = np.empty(len(order), np.int64)
+    new_number[order] = np.arange(len(order))
+    return Block(
+        ids, texts, runs, new_number[as_ints(number)], [distinct[i] for i in order], as_ints(anchor)[order], as_ints(least)[order], as_ints(of)[order]
+    )
 
 
 def smallest(bodies: list[bytes], anchors: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,7 +298,7 @@ def cut(text: bytes, starts: np.ndarray) -> tuple[bytes, np.ndarray]:
     return b"".join([*kept, text[done:]]), spans
 
 
-def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, spans (start and end in bytes), kept (the remaining bytes), one row per row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = text_or_empty().cast("binary")
@@ -269,19 +310,28 @@ def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int =
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, payload in zip(b.column("block").to_pylist(), b.column("payload").to_pylist()):
-                asked = _asked(anchored(unpacked(payload).column("text").to_pylist()).key, shards)
+                runs = anchored(unpacked(payload).column("text").to_pylist())
+                asked = _asked(runs.key, shards)
+                around = surroundings(runs, asked, shards)
                 parts = list(_by_shard((asked >> np.uint64(32)).astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block] * len(parts), pa.int64()), pa.array([p[0] for p in parts], pa.int64()),
-                     pa.array([asked[s:e].astype("<u4").tobytes() for _, s, e in parts], pa.binary())],
+                     pa.array([asked[s:e].astype("<u4").tobytes() + around[s:e].tobytes() for _, s, e in parts], pa.binary())],
                     ["block", "shard", "data"],
                 )
 
     def meet(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(d, "<u4") for d in table.column("data").to_pylist()]
-        every = np.sort(np.concatenate(hashes))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
-        bits = [np.packbits(np.isin(h, twice, assume_unique=True)).tobytes() for h in hashes]
+        data = table.column("data").to_pylist()
+        hashes = [np.frombuffer(d, "<u4", len(d) // 6) for d in data]
+        every = np.concatenate(hashes)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+        around = np.concatenate([np.frombuffer(d, "<u2", offset=len(d) // 6 * 4) for d in data]).astype(np.int64)[order]
+        twice = every[first][np.diff(np.append(first, len(every))) > 1]
+        crowded = every[first][np.add.reduceat(around, first) > hot]
+        marks = [twice, crowded] if len(crowded) else [twice]
+        bits = [b"".join(np.packbits(np.isin(h, m, assume_unique=True)).tobytes() for m in marks) for h in hashes]
         return table.select(["block", "shard"]).append_column("data", pa.array(bits, pa.binary()))
 
     schema = "block long, shard long, data binary"

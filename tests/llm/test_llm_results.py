@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import xxhash
@@ -21,6 +22,7 @@ from hypothesis import given, settings, strategies as st
 import corpus_pipeline
 from premia.llm import byte_cnn, common, context_mixing, curriculum, packing, personal_data, simhash, suffix_dedup, syncmers
 from premia.llm.queries import ORACLE, QUERIES
+from premia.llm.text_blocks import packed
 
 
 @pytest.fixture(scope="module")
@@ -330,18 +332,57 @@ def brute_cuts(docs):
     return sorted(out)
 
 
-def test_cuts_of_documents(spark, documents):
-    got = suffix_dedup.digested(suffix_dedup.removed(spark.read.parquet(f"{SF}/documents.parquet"), 60_000, 60_000))
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 2])
+def test_cuts_of_documents(spark, documents, hot):
+    got = suffix_dedup.digested(suffix_dedup.removed(spark.read.parquet(f"{SF}/documents.parquet"), 60_000, 60_000, hot))
     assert sorted(map(tuple, got.collect())) == brute_cuts([(i, t.encode()) for i, t, _ in documents])
 
 
-def test_cuts_of_repetitive_bytes(spark, monkeypatch):
+def shared_passage(n, seed=3):
+    """Documents of which each third holds one passage, each time between other bytes."""
+    rng = np.random.default_rng(seed)
+    other = lambda: bytes(rng.integers(97, 123, 120).astype(np.uint8))
+    passage = other()
+    return [(i, other() + (passage if i % 3 == 0 else b"") + other()) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 20])
+def test_cuts_of_a_passage_in_a_third_of_the_documents(spark, hot):
+    docs = shared_passage(300)
+    df = spark.createDataFrame([(i, t.decode()) for i, t in docs], "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, suffix_dedup.digested(suffix_dedup.removed(df, 8000, 4000, hot)).collect()))
+    assert got == brute_cuts(docs)
+    assert sum(r[3] for r in got) == 99
+
+
+def test_strings_of_a_hot_anchor_spread_over_shards():
+    docs, shards = shared_passage(900), 16
+    payload = packed(pa.table({"id": [i for i, _ in docs], "text": pa.array([t for _, t in docs], pa.binary())}))
+    runs = suffix_dedup.anchored([t for _, t in docs])
+    asked = suffix_dedup._asked(runs.key, shards)
+    around = suffix_dedup.surroundings(runs, asked, shards)
+    assert 299 <= around.max() <= 302 and np.median(around) == 1
+    largest = []
+    for limit in (1000, 20):
+        answer = {}
+        for shard, s, e in suffix_dedup._by_shard((asked >> np.uint64(32)).astype(np.int64)):
+            none, hot = np.zeros(e - s, bool), around[s:e] > limit
+            answer[shard] = b"".join(np.packbits(m).tobytes() for m in ((none, hot) if hot.any() else (none,)))
+        block = suffix_dedup.candidates(payload, answer, shards)
+        assert (np.diff(block.shard) >= 0).all()
+        strings = np.bincount(block.shard, [len(b) - 49 for b in block.distinct], shards)
+        largest.append(strings.max() / strings.sum())
+    assert largest[0] > 0.4 and largest[1] < 0.15  # 1 in 16, and anchors that few surroundings choose
+
+
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 2])
+def test_cuts_of_repetitive_bytes(spark, monkeypatch, hot):
     rng = np.random.default_rng(0)
     base = [bytes(rng.integers(97, 100, rng.integers(0, 300)).astype(np.uint8)) for _ in range(30)]
     docs = [(i % 40, base[rng.integers(30)][: rng.integers(1, 300)] + b"ab" * int(rng.integers(0, 60)) + base[rng.integers(30)]) for i in range(60)]
     df = spark.createDataFrame([(i, t.decode()) for i, t in docs], "doc_id long, text string").repartition(3)
     monkeypatch.setattr(suffix_dedup, "SLICE", 97)  # texts in overlapping parts
-    got = suffix_dedup.digested(suffix_dedup.removed(df, 2000, 2000))
+    got = suffix_dedup.digested(suffix_dedup.removed(df, 2000, 2000, hot))
     assert sorted(map(tuple, got.collect())) == brute_cuts(docs)
 
 
