@@ -1,19 +1,21 @@
 """Language-model scoring by logistic context mixing.
 
 The model predicts the bytes of a normalised text (A-Z lower-cased, a space after each word, an end byte) bit by bit.
-For each order a table holds how often either bit followed the last bytes and the bits of the current byte so far; the
-tables of orders 0 and 1 are exact, the others hashed. The tables' logits are mixed by a weight set that a gate picks from the bit's place and the highest order that has
+For each order the model knows how often either bit followed the last bytes and the bits of the current byte so far.
+The orders' logits are mixed by a weight set that a gate picks from the bit's place and the highest order that has
 seen the context; an adaptive map then refines the mixed probability. The bits' costs add up to the bytes' and tokens'.
 Within a document the byte model is mixed online with the corpus frequency of the next whole word: the mixing weight is
 averaged over ``WORD_SHARES``, each as likely as it has predicted the document so far.
 
-What the model needs of the corpus are counts of byte runs of ``ORDER + 1``. Every task counts its own, Spark adds them
-up, and tables, weights and map are made from all distinct runs with their counts: weights are learned online, in small
-batches, by each task on its share and then averaged; a run predicts itself from the counts without one occurrence of
-its own. The tables have a fixed size and are broadcast; everything that grows with the corpus stays distributed.
+What the model needs of the corpus are counts of byte runs of ``ORDER + 1``. Each block of documents sends its distinct
+runs to shards, whose number grows with the corpus; runs with the same three bytes before the last share a shard. So a
+shard has the exact counts of its contexts of orders 3 and more, without tables. Contexts of orders 0 to 2 are limited in
+number by the alphabet; their counts are tables, summed in a tree of tasks and broadcast. Weights are learned online, in
+small batches, by each task on its shards and then averaged; a run predicts itself from the counts without one
+occurrence of its own. Last, each shard works out the cost of every distinct run once and tells it to the blocks.
 
-The baseline is a unigram model with add-one smoothing. Texts are kept in blocks; a block sends its distinct words and
-runs to shards, whose number grows with the corpus, and hears the corpus counts of its own words.
+The baseline is a unigram model with add-one smoothing. Texts are kept in blocks; a block sends its distinct words to
+shards, too, and hears the corpus counts of its own words.
 
 Null texts are empty and consist of the end alone. Null ids count as empty text in the split. Repeated rows are
 documents of their own. Without training documents every bit has probability one half. An empty table gives an empty
@@ -29,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from premia.llm.common import bucket, ship, staged, text_or_empty
@@ -37,11 +40,17 @@ from premia.llm.text_blocks import blocks, packed, unpacked
 ship(__name__)
 
 ORDER = 5
-#: Orders of the predictors, and log2 of the slots of each one's table; orders below ``HASHED`` have a slot for each case.
 ORDERS = (0, 1, 2, 3, 4, 5)
-SLOT_BITS = (8, 16, 20, 20, 21, 22)
+#: log2 of the slots of the tables of the first orders; those below ``HASHED`` have a slot for each case, and order 2
+#: four million for the contexts of two bytes. Higher orders have no tables.
+SLOT_BITS = (8, 16, 22)
+LOW = len(SLOT_BITS)
 HASHED = 2
 PIECE_BITS = 16
+#: Tables that one task adds up.
+FAN_IN = 64
+#: Runs whose counts are held at once.
+CHUNK = 1 << 17
 GATES = len(ORDERS) + 1
 SETS = 8 * GATES
 STEPS = 33
@@ -93,7 +102,7 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    tables: list[np.ndarray]  # per order: uint16 (slots, 2), how often bit 0 and bit 1 came
+    tables: list[np.ndarray]  # of the first orders: uint16 (slots, 2), how often bit 0 and bit 1 came
     weights: np.ndarray  # (SETS, orders), float32
     refine: np.ndarray  # (SETS, STEPS), float32
 
@@ -106,20 +115,11 @@ class Model:
             np.tile(1 / (1 + np.exp(-grid)), (SETS, 1)).astype(np.float32),
         )
 
-    def logits(self) -> list[np.ndarray]:
-        """The tables as logits; 0 only where the context was never seen."""
-        out = []
-        for t in self.tables:
-            x = np.log((t[:, 1] + np.float32(PRIOR)) / (t[:, 0] + np.float32(PRIOR))).astype(np.float32)
-            x[(x == 0) & t.any(axis=1)] = 1e-6
-            out.append(x)
-        return out
-
 
 def contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """The bytes before the last one, for each order: hashed, or in place for the bits of the last one below them."""
+    """The bytes before the last one, for the first orders: hashed, or in place for the bits of the last one below them."""
     out = []
-    for order in ORDERS:
+    for order in ORDERS[:LOW]:
         before = (keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
         if order < HASHED:
             out.append(before << np.uint64(8))
@@ -138,35 +138,69 @@ def steps(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def slots(found: list[np.ndarray], node: np.ndarray) -> Iterator[np.ndarray]:
-    """Slots of the contexts and the bits of the byte so far, for each order."""
+    """Slots of the contexts and the bits of the byte so far, for the first orders."""
     mixed = node * np.uint64(0x94D049BB133111EB)
     for order, size, context in zip(ORDERS, SLOT_BITS, found):
         yield (context | node if order < HASHED else (context ^ mixed) >> np.uint64(64 - size)).view(np.int64)
 
 
-def seen(logits: list[np.ndarray], hashes: list[np.ndarray], place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logits of all orders, and the weight set: of the bit's place and the highest order that knows the context."""
-    x = np.empty((len(node), len(ORDERS)), np.float32)
-    gate = np.zeros(len(node), np.int64)
-    for i, at in enumerate(slots(hashes, node)):
-        x[:, i] = logits[i][at]
-        gate[x[:, i] != 0] = i + 1
-    return x, gate + place * GATES
+def grouped(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the runs in parts of about ``CHUNK``; runs with the same three bytes before the last stay together."""
+    context = (keys >> np.uint64(8)) & np.uint64(0xFFFFFF)
+    order = np.argsort(context, kind="stable")
+    context = context[order]
+    edges = np.flatnonzero(np.append(context[1:] != context[:-1], True)) + 1
+    done = 0
+    while done < len(keys):
+        end = edges[min(np.searchsorted(edges, done + CHUNK), len(edges) - 1)]
+        yield order[done:end]
+        done = end
+
+
+def own_counts(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each bit's place and run, how often bit 0 and bit 1 came after the contexts of the higher orders.
+
+    The runs are distinct and all that came with their contexts.
+    """
+    out = np.zeros((8, len(keys), 2, len(ORDERS) - LOW), np.float32)
+    for i, order in enumerate(ORDERS[LOW:]):
+        value = keys & np.uint64((1 << 8 * (order + 1)) - 1)
+        at = np.argsort(value, kind="stable")
+        value, n = value[at], counts[at].astype(np.float64)
+        for place in range(8):
+            node = value >> np.uint64(8 - place)
+            first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))[: len(value)]
+            one = n * ((value >> np.uint64(7 - place)) & np.uint64(1)).astype(np.float64)
+            size = np.diff(np.append(first, len(value)))
+            ones, both = (np.add.reduceat(x, first) if len(first) else x for x in (one, n))
+            out[place, at, 0, i], out[place, at, 1, i] = np.repeat(both - ones, size), np.repeat(ones, size)
+    return out
 
 
-def left_out(tables: list[np.ndarray], hashes: list[np.ndarray], place: int, node: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same from the counts without one occurrence of the run itself."""
-    x = np.zeros((len(node), len(ORDERS)), np.float32)
-    gate = np.zeros(len(node), np.int64)
-    one = bit == 1
+def counted(tables: list[np.ndarray], hashes: list[np.ndarray], own: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often bit 0 and bit 1 came, by run and order; ``own`` are the runs' counts at this place of the bit."""
+    pairs = np.empty((len(node), 2, len(ORDERS)), np.float32)
     for i, at in enumerate(slots(hashes, node)):
-        n = tables[i][at].astype(np.float32)
-        zeros, ones = np.maximum(n[:, 0] - ~one, 0), np.maximum(n[:, 1] - one, 0)
-        x[:, i] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
-        gate[zeros + ones > 0] = i + 1
+        pairs[:, :, i] = tables[i][at]
+    pairs[:, :, LOW:] = own
+    return pairs[:, 0], pairs[:, 1]
+
+
+def judged(zeros: np.ndarray, ones: np.ndarray, place: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of all orders, and the weight set: of the bit's place and the highest order that knows the context."""
+    x = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
+    gate = np.zeros(len(x), np.int64)
+    for i in range(len(ORDERS)):
+        gate[zeros[:, i] + ones[:, i] > 0] = i + 1
     return x, gate + place * GATES
 
 
+def left_out(zeros: np.ndarray, ones: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The counts without one occurrence of the run itself."""
+    one = (bit == 1)[:, None]
+    return np.maximum(zeros - ~one, 0), np.maximum(ones - one, 0)
+
+
 def mix(weights: np.ndarray, x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return np.clip(np.einsum("ij,ij->i", x, weights[chosen]), -12, 12)
 
@@ -178,12 +212,15 @@ def on_grid(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, (at - low).astype(np.float32)
 
 
-def bits(model: Model, keys: np.ndarray, logits: list[np.ndarray] | None = None) -> np.ndarray:
-    """Cost in bits of each run's last byte after the bytes before it."""
-    logits, hashes, total = logits or model.logits(), contexts(keys), np.zeros(len(keys))
+def bits(model: Model, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Cost in bits of each run's last byte after the bytes before it.
+
+    ``counts`` tells how often each of the distinct runs came in training, and may be 0; see :func:`own_counts`.
+    """
+    own, hashes, total = own_counts(keys, counts), contexts(keys), np.zeros(len(keys))
     flat = model.refine.ravel()
     for place, node, bit in steps(keys):
-        x, chosen = seen(logits, hashes, place, node)
+        x, chosen = judged(*counted(model.tables, hashes, own[place], node), place)
         logit = mix(model.weights, x, chosen)
         low, above = on_grid(logit)
         at = chosen * STEPS + low
@@ -198,6 +235,7 @@ def learn(tables: list[np.ndarray], weights: np.ndarray, squares: np.ndarray, ke
 
     ``squares`` holds the sums of squared gradients that scale the steps.
     """
+    own = own_counts(keys, counts)
     rng = np.random.default_rng(len(keys))
     order = np.concatenate([rng.permutation(len(keys)) for _ in range(rounds)])
     for s in range(0, len(order), BATCH):
@@ -205,7 +243,7 @@ def learn(tables: list[np.ndarray], weights: np.ndarray, squares: np.ndarray, ke
         k, n = keys[pick], counts[pick].astype(np.float64)
         hashes = contexts(k)
         for place, node, bit in steps(k):
-            x, chosen = left_out(tables, hashes, place, node, bit)
+            x, chosen = judged(*left_out(*counted(tables, hashes, own[place, pick], node), bit), place)
             wrong = n * (bit - 1 / (1 + np.exp(-mix(weights, x, chosen))))
             mass = np.bincount(chosen, n, SETS)
             met = mass > 0
@@ -223,8 +261,9 @@ def add_counts(tables: list[np.ndarray], keys: np.ndarray, counts: np.ndarray) -
             np.add.at(tables[i].reshape(-1), at * 2 + bit, counts)
 
 
-def train(runs_by_shard: DataFrame) -> Model:
+def train(runs_by_shard: DataFrame, shards: int) -> Model:
     """The model of byte runs and their counts; see :func:`merged_runs`."""
+    runs_by_shard = runs_by_shard.select("data")
     model = Model.start()
     spark = runs_by_shard.sparkSession
 
@@ -233,48 +272,65 @@ def train(runs_by_shard: DataFrame) -> Model:
             for data in b.column("data").to_pylist():
                 t = unpacked(data)
                 keys, counts = t.column("run").to_numpy().view(np.uint64), t.column("n").to_numpy().astype(np.float64)
-                for s in range(0, len(keys), 1 << 18):
-                    yield keys[s : s + (1 << 18)], counts[s : s + (1 << 18)]
+                keys, counts = keys[counts > 0], counts[counts > 0]
+                for part in grouped(keys):
+                    yield keys[part], counts[part]
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = [np.zeros((1 << b, 2), np.float32) for b in SLOT_BITS]
         for keys, counts in unpack(batches):
             add_counts(dense, keys, counts.astype(np.float32))
+        task = TaskContext.get().partitionId()
         for which, table in enumerate(dense):
             for s in range(0, len(table), 1 << PIECE_BITS):
                 part = table[s : s + (1 << PIECE_BITS)].ravel()
-                cell = np.flatnonzero(part)
-                if len(cell):
-                    arrays = [pa.array([which], pa.int32()), pa.array([s >> PIECE_BITS], pa.int32()), pa.array([packed(pa.table({"cell": cell.astype(np.uint32), "n": part[cell]}))])]
-                    yield pa.RecordBatch.from_arrays(arrays, ["which", "piece", "data"])
+                if part.any():
+                    yield row(which, s >> PIECE_BITS, task, part)
 
-    def summed(table: pa.Table) -> pa.Table:
+    def row(which: int, piece: int, task: int, part: np.ndarray) -> pa.RecordBatch:
+        cell = np.flatnonzero(part)
+        data = packed(pa.table({"cell": cell.astype(np.uint32), "n": part[cell].astype(np.float64)}))
+        places = [pa.array([n], pa.int32()) for n in (which, piece, task)]
+        return pa.RecordBatch.from_arrays([*places, pa.array([data], pa.binary())], ["which", "piece", "task", "data"])
+
+    def total_of(table: pa.Table) -> tuple[int, np.ndarray]:
         which = table.column("which")[0].as_py()
-        size = min(1 << PIECE_BITS, 1 << SLOT_BITS[which])
-        total = np.zeros(size * 2)
+        total = np.zeros(min(1 << PIECE_BITS, 1 << SLOT_BITS[which]) * 2)
         for data in table.column("data").to_pylist():
             t = unpacked(data)
             total[t.column("cell").to_numpy()] += t.column("n").to_numpy()
-        total = total.reshape(size, 2)
+        return which, total
+
+    def added(table: pa.Table) -> pa.Table:
+        which, total = total_of(table)
+        return pa.Table.from_batches([row(which, table.column("piece")[0].as_py(), table.column("task")[0].as_py(), total)])
+
+    def summed(table: pa.Table) -> pa.Table:
+        which, total = total_of(table)
+        total = total.reshape(-1, 2)
         # Counters are 16 bits wide; larger pairs keep their ratio.
         total *= np.minimum(1, 65_535 / np.maximum(total.max(axis=1, keepdims=True), 1))
         short = np.ceil(total).astype("<u2").tobytes()
         return pa.table({"which": pa.array([which], pa.int32()), "piece": table.column("piece")[:1], "counts": pa.array([short])})
 
-    # One row per piece of the tables, whose size is fixed.
-    parts = runs_by_shard.mapInArrow(tables, "which int, piece int, data binary").groupBy("which", "piece")
-    for r in parts.applyInArrow(summed, "which int, piece int, counts binary").toLocalIterator():
+    # One row per piece of the tables, whose size is fixed; a task adds up FAN_IN tasks' rows.
+    schema = "which int, piece int, task int, data binary"
+    parts, tasks = runs_by_shard.mapInArrow(tables, schema), shards
+    while tasks > FAN_IN:
+        parts = parts.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int")).groupBy("which", "piece", "task").applyInArrow(added, schema)
+        tasks = -(-tasks // FAN_IN)
+    for r in parts.groupBy("which", "piece").applyInArrow(summed, "which int, piece int, counts binary").toLocalIterator():
         at = r["piece"] << PIECE_BITS
         counts = np.frombuffer(r["counts"], "<u2").reshape(-1, 2)
         model.tables[r["which"]][at : at + len(counts)] = counts
-    counted = spark.sparkContext.broadcast(model.tables)
+    shared = spark.sparkContext.broadcast(model.tables)
     start = Model([], model.weights, model.refine)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, mass = start.weights.copy(), 0.0
         squares = np.full(weights.shape, 1e-6)
         for keys, counts in unpack(batches):
-            learn(counted.value, weights, squares, keys, counts)
+            learn(shared.value, weights, squares, keys, counts)
             mass += float(counts.sum())
         if mass:
             at = np.arange(weights.size)
@@ -288,9 +344,9 @@ def train(runs_by_shard: DataFrame) -> Model:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = np.zeros((2, SETS * STEPS))
         for keys, counts in unpack(batches):
-            hashes = contexts(keys)
+            hashes, own = contexts(keys), own_counts(keys, counts)
             for place, node, bit in steps(keys):
-                x, chosen = left_out(counted.value, hashes, place, node, bit)
+                x, chosen = judged(*left_out(*counted(shared.value, hashes, own[place], node), bit), place)
                 low, above = on_grid(mix(weighed, x, chosen))
                 for point, share in ((low, 1 - above), (low + 1, above)):
                     cell = chosen * STEPS + point
@@ -304,7 +360,7 @@ def train(runs_by_shard: DataFrame) -> Model:
     for r in cells.collect():
         flat[r["at"]] = (r["ones"] + 20 * flat[r["at"]]) / (r["n"] + 20)
     model.refine = flat.reshape(SETS, STEPS)
-    counted.unpersist()
+    shared.unpersist()
     return model
 
 
@@ -317,38 +373,70 @@ def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(shard[s]), int(s), int(e)
 
 
+def _run_order(unique: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct runs by shard and value: their places, their shards."""
+    context = ((unique >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+    shard = ((context >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((unique, shard))
+    return order, shard[order]
+
+
 def merged_runs(blocks_of_text: DataFrame, shards: int) -> DataFrame:
-    """shard, data: the distinct byte runs of the training documents with their counts, by shard.
+    """shard, data, blocks, asked: the distinct byte runs of all documents with their counts in the training documents,
+    by shard, and which of them each block has.
 
-    Runs with the same three bytes before the last share a shard, so that shards share few slots of large tables.
+    Runs with the same three bytes before the last share a shard.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for payload in b.column("payload").to_pylist():
+            for block, payload in zip(b.column("block").to_pylist(), b.column("payload").to_pylist()):
                 docs = unpacked(payload)
-                texts = [t for t, h in zip(docs.column("text").to_pylist(), docs.column("held_out").to_pylist()) if not h]
-                if not texts:
-                    continue
-                codes, unique = pd.factorize(runs(texts)[0])
-                n = np.bincount(codes, minlength=len(unique))
-                context = ((unique >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
-                shard = ((context >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-                order = np.lexsort((unique, shard))
-                unique, n, shard = unique[order].view(np.int64), n[order].astype(np.int32), shard[order]
+                keys, first = runs(docs.column("text").to_pylist())
+                learnt = ~np.array(docs.column("held_out").to_pylist(), bool)
+                codes, unique = pd.factorize(keys)
+                n = np.bincount(codes, np.repeat(learnt, np.diff(np.append(first, len(keys)))), len(unique))
+                order, shard = _run_order(unique, shards)
+                unique, n = unique[order].view(np.int64), n[order].astype(np.int32)
                 parts = list(_by_shard(shard))
                 data = [packed(pa.table({"run": np.diff(unique[s:e], prepend=0), "n": n[s:e]})) for _, s, e in parts]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int64()), pa.array(data, pa.binary())], ["shard", "data"])
+                rows = [pa.array([p[0] for p in parts], pa.int64()), pa.array([block] * len(parts), pa.int64()), pa.array(data, pa.binary())]
+                yield pa.RecordBatch.from_arrays(rows, ["shard", "block", "data"])
 
     def meet(table: pa.Table) -> pa.Table:
-        parts = [unpacked(d) for d in table.column("data").to_pylist()]
+        asked = table.column("data").to_pylist()
+        parts = [unpacked(d) for d in asked]
         run = np.concatenate([np.cumsum(p.column("run").to_numpy()) for p in parts])
-        codes, unique = pd.factorize(run)
+        codes, unique = pd.factorize(run, sort=True)
         n = np.bincount(codes, np.concatenate([p.column("n").to_numpy() for p in parts]), len(unique)).astype(np.int64)
-        return pa.table({"shard": table.column("shard")[:1], "data": pa.array([packed(pa.table({"run": unique, "n": n}))], pa.binary())})
+        # The blocks' counts have served; only their runs are kept.
+        only = [packed(p.select(["run"])) for p in parts]
+        return pa.table(
+            {"shard": table.column("shard")[:1], "data": pa.array([packed(pa.table({"run": unique, "n": n}))], pa.binary()),
+             "blocks": pa.array([table.column("block").to_pylist()], pa.list_(pa.int64())), "asked": pa.array([only], pa.list_(pa.binary()))}
+        )
+
+    asks = blocks_of_text.mapInArrow(ask, "shard long, block long, data binary")
+    return asks.groupBy("shard").applyInArrow(meet, "shard long, data binary, blocks array<long>, asked array<binary>")
+
+
+def run_costs(runs_by_shard: DataFrame, model: Broadcast[Model]) -> DataFrame:
+    """block, shard, data: the cost of each run that a block has, in its order."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, data, numbers, asked in zip(*(b.column(c).to_pylist() for c in ("shard", "data", "blocks", "asked"))):
+                known = unpacked(data)
+                run, n = known.column("run").to_numpy(), known.column("n").to_numpy()
+                cost = np.empty(len(run), np.float32)
+                for part in grouped(run.view(np.uint64)):
+                    cost[part] = bits(model.value, run[part].view(np.uint64), n[part])
+                for s in range(0, len(numbers), 64):
+                    told = [cost[np.searchsorted(run, np.cumsum(unpacked(d).column("run").to_numpy()))] for d in asked[s : s + 64]]
+                    rows = [pa.array(numbers[s : s + 64], pa.int64()), pa.array([shard] * len(told), pa.int64()), pa.array([packed(pa.table({"cost": c})) for c in told], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(rows, ["block", "shard", "data"])
 
-    schema = "shard long, data binary"
-    return blocks_of_text.mapInArrow(ask, schema).groupBy("shard").applyInArrow(meet, schema)
+    return runs_by_shard.mapInArrow(tell, "block long, shard long, data binary")
 
 
 def _word_order(known: dict[bytes, int], shards: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -412,22 +500,21 @@ def scores(docs: DataFrame) -> DataFrame:
     counts = staged(word_counts(texts_in_blocks, shards))
     told = counts.agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).first()
     total, distinct = (told["tokens"] or 0) + ends, (told["words"] or 0) + (ends > 0)
-    replies = counts.where("block is not null").select("block", "shard", "data")
-    model = docs.sparkSession.sparkContext.broadcast(train(staged(merged_runs(texts_in_blocks, shards))))
-    ready: list[list[np.ndarray]] = []
+    met = staged(merged_runs(texts_in_blocks, shards))
+    model = docs.sparkSession.sparkContext.broadcast(train(met, shards))
+    replies = counts.where("block is not null").select("block", "shard", "data", F.lit(0).alias("kind"))
+    replies = replies.unionByName(run_costs(met, model).withColumn("kind", F.lit(1)))
 
     def score(block: pa.Table, reply: pa.Table) -> pa.Table:
-        if not ready:
-            ready.append(model.value.logits())
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
-        answers = dict(zip(reply.column("shard").to_pylist(), reply.column("data").to_pylist()))
+        answers = dict(zip(zip(reply.column("kind").to_pylist(), reply.column("shard").to_pylist()), reply.column("data").to_pylist()))
         (docs_here,) = [unpacked(p) for p in block.column("payload").to_pylist()]
         texts = docs_here.column("text").to_pylist()
         known, numbers = vocabulary(texts)
         words, order, shard = _word_order(known, shards)
         c = np.zeros(len(known), np.int64)
         if words:
-            c[order] = np.concatenate([unpacked(answers[s]).column("c").to_numpy() for s, _, _ in _by_shard(shard)])
+            c[order] = np.concatenate([unpacked(answers[0, s]).column("c").to_numpy() for s, _, _ in _by_shard(shard)])
         gain, floor = np.log10(c + 1), np.log10(total + distinct + 1)
         for x in numbers:
             out["n_tokens"].append(len(x) + 1)
@@ -436,7 +523,9 @@ def scores(docs: DataFrame) -> DataFrame:
         keys, first = runs(texts)
         codes, unique = pd.factorize(keys)
         del keys
-        cost = np.concatenate([bits(model.value, unique[s : s + (1 << 15)], ready[0]) for s in range(0, len(unique), 1 << 15)])
+        order, shard = _run_order(unique, shards)
+        cost = np.empty(len(unique))
+        cost[order] = np.concatenate([unpacked(answers[1, s]).column("cost").to_numpy() for s, _, _ in _by_shard(shard)])
         # Tokens: each word with its space, then the end; number len(known) is the end.
         every = np.concatenate([y for x in numbers for y in (x, [len(known)])])
         length = np.append(np.array([len(w) + 1 for w in known], np.int64), 1)[every]

@@ -53,17 +53,79 @@ def test_baseline_and_model(spark, documents):
     assert sum(r.score for r in out) / sum(r.n_bytes for r in out) > -0.9  # under 3 bits a byte
 
 
-def test_next_byte_probabilities_add_up_to_one():
-    rng = np.random.default_rng(0)
+def some_model(keys, counts, seed=0):
+    rng = np.random.default_rng(seed)
     model = context_mixing.Model.start()
-    for t in model.tables:
-        at = rng.integers(0, len(t), len(t) // 3)
-        t[at] = rng.integers(0, 50, (len(at), 2))
+    dense = [np.zeros(t.shape, np.float32) for t in model.tables]
+    context_mixing.add_counts(dense, keys, counts.astype(np.float32))
+    model.tables = [t.astype(np.uint16) for t in dense]
     model.weights = rng.normal(0.3, 0.2, model.weights.shape).astype(np.float32)
     model.refine = np.sort(rng.random(model.refine.shape), axis=1).astype(np.float32)
-    for context in rng.integers(0, 1 << 40, 20, dtype=np.uint64):
-        keys = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        assert math.isclose(np.exp2(-context_mixing.bits(model, keys)).sum(), 1, rel_tol=1e-6)
+    return model
+
+
+def test_next_byte_probabilities_add_up_to_one():
+    rng = np.random.default_rng(0)
+    texts = [bytes(rng.integers(97, 100, 400).astype(np.uint8))]
+    came, counts = np.unique(context_mixing.runs(texts)[0], return_counts=True)
+    model = some_model(came, counts)
+    unseen = rng.integers(0, 1 << 40, 5, dtype=np.uint64)
+    for context in [*(came[:: len(came) // 15] >> np.uint64(8)), *unseen]:
+        every = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
+        keys = np.union1d(came, every)
+        n = np.zeros(len(keys), np.int64)
+        n[np.searchsorted(keys, came)] = counts
+        cost = context_mixing.bits(model, keys, n)
+        assert math.isclose(np.exp2(-cost[np.searchsorted(keys, every)]).sum(), 1, rel_tol=1e-6)
+
+
+def test_bits_against_plain_python(monkeypatch):
+    texts = [b"the cat sat on the mat", b"a cat, the cat and that hat", b"", b"x" * 40]
+    came, counts = np.unique(context_mixing.runs(texts)[0], return_counts=True)
+    model = some_model(came, counts)
+    asked = np.union1d(came, context_mixing.runs([b"the hat sat on a zebra"])[0])
+    n = np.zeros(len(asked), np.int64)
+    n[np.searchsorted(asked, came)] = counts
+    seen = Counter()
+    for key, c in zip(came.tolist(), counts.tolist()):
+        run = key.to_bytes(6)
+        for order in range(6):
+            for place in range(8):
+                seen[run[5 - order : 5], f"{run[5]:08b}"[: place + 1]] += c
+    expected = []
+    for key in asked.tolist():
+        run, cost = key.to_bytes(6), 0.0
+        for place in range(8):
+            word = f"{run[5]:08b}"
+            pairs = [[seen[run[5 - order : 5], word[:place] + b] for b in "01"] for order in range(6)]
+            chosen = max((o + 1 for o in range(6) if sum(pairs[o])), default=0) + place * 7
+            logit = sum(w * math.log((b + 0.4) / (a + 0.4)) for w, (a, b) in zip(model.weights[chosen].tolist(), pairs))
+            logit = min(12, max(-12, logit))
+            at = (min(8, max(-8, logit)) + 8) * 2
+            low = min(int(at), 31)
+            refined = model.refine[chosen][low] * (1 - (at - low)) + model.refine[chosen][low + 1] * (at - low)
+            p = min(1 - 1e-6, max(1e-6, (1 / (1 + math.exp(-logit)) + refined) / 2))
+            cost -= math.log2(p if word[place] == "1" else 1 - p)
+        expected.append(cost)
+    assert np.allclose(context_mixing.bits(model, asked, n), expected, rtol=1e-4)
+    monkeypatch.setattr(context_mixing, "CHUNK", 5)  # in parts that keep contexts together
+    parts = list(context_mixing.grouped(asked))
+    assert len(parts) > 3 and np.concatenate(parts).size == len(asked)
+    for part in parts:
+        assert np.allclose(context_mixing.bits(model, asked[part], n[part]), np.array(expected)[part], rtol=1e-4)
+
+
+@pytest.mark.parametrize("fan_in", [2, 64])
+def test_tables_are_summed_in_a_tree(spark, monkeypatch, fan_in):
+    monkeypatch.setattr(context_mixing, "FAN_IN", fan_in)
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.integers(97, 101, 300).astype(np.uint8)) for _ in range(12)]
+    rows = spark.createDataFrame([(i, False, bytearray(t)) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text binary")
+    met = common.staged(context_mixing.merged_runs(common.staged(context_mixing.blocks(rows.repartition(5), 200)), 16).repartition(9))
+    model = context_mixing.train(met, 16)
+    came, counts = np.unique(context_mixing.runs(texts)[0], return_counts=True)
+    for got, expected in zip(model.tables, some_model(came, counts).tables):
+        assert np.array_equal(got, expected)
 
 
 def test_byte_runs():
