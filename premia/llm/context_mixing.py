@@ -4,8 +4,9 @@ The model predicts the bytes of a normalised text (A-Z lower-cased, a space afte
 For each order the model knows how often either bit followed the last bytes and the bits of the current byte so far.
 The orders' logits are mixed by a weight set that a gate picks from the bit's place and the highest order that has
 seen the context; an adaptive map then refines the mixed probability. The bits' costs add up to the bytes' and tokens'.
-Within a document the byte model is mixed online with the corpus frequency of the next whole word: the mixing weight is
-averaged over ``WORD_SHARES``, each as likely as it has predicted the document so far.
+Within a document the byte model is mixed online with the corpus frequency of the next whole word and its frequency in
+the document so far: the mixing weights are averaged over ``WORD_SHARES`` and ``OWN_SHARES``, each pair as likely as it
+has predicted the document so far.
 
 What the model needs of the corpus are counts of byte runs of ``ORDER + 1``. Each block of documents sends its distinct
 runs to shards, whose number grows with the corpus; runs with the same three bytes before the last share a shard. So a
@@ -61,7 +62,8 @@ SHARD_BYTES = 8 << 20
 BATCH = 2048
 SPLIT, SPLIT_HELD_OUT = 7, 2
 START = b"\n" * ORDER
-WORD_SHARES = (0.02, 0.1, 0.25, 0.4, 0.55, 0.7, 0.85, 0.95)
+WORD_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
+OWN_SHARES = (0.02, 0.2)
 
 
 # --- words and byte runs --------------------------------------------------------------------------------------
@@ -485,6 +487,17 @@ def word_counts(blocks_of_text: DataFrame, shards: int) -> DataFrame:
     return asked.groupBy("shard").applyInArrow(meet, "block long, shard long, data binary, tokens long, words long")
 
 
+def _earlier(every: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Share of each token among the earlier ones of its text; texts of the given sizes follow each other."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((every, text))
+    new = np.flatnonzero(np.append(True, np.diff(every[order]).astype(bool) | np.diff(text[order]).astype(bool)))
+    place = np.arange(len(every))
+    came = np.empty(len(every))
+    came[order] = place - np.repeat(new, np.diff(np.append(new, len(every))))
+    return came / np.maximum(place - np.repeat(np.cumsum(sizes) - sizes, sizes), 1)
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte of every document.
 
@@ -534,7 +547,12 @@ def scores(docs: DataFrame) -> DataFrame:
         with np.errstate(divide="ignore"):
             of_word = np.log(np.append(c, ends) / max(total, 1))[every]
         starts = np.cumsum(out["n_tokens"]) - out["n_tokens"]
-        sums = [np.add.reduceat(np.logaddexp(np.log(a) + of_word, np.log(1 - a) + spelt), starts) for a in WORD_SHARES]
+        with np.errstate(divide="ignore"):
+            again = np.log(_earlier(every, np.array(out["n_tokens"])))
+        sums = []
+        for a in WORD_SHARES:
+            either = np.logaddexp(np.log(a) + of_word, np.log(1 - a) + spelt)
+            sums += [np.add.reduceat(np.logaddexp(np.log(b) + again, np.log(1 - b) + either), starts) for b in OWN_SHARES]
         out["score"] = ((np.logaddexp.reduce(sums) - np.log(len(sums))) / np.log(10)).tolist()
         out["n_bytes"] = np.diff(np.append(first, len(codes))).tolist()
         return pa.table(

@@ -128,6 +128,14 @@ def test_tables_are_summed_in_a_tree(spark, monkeypatch, fan_in):
         assert np.array_equal(got, expected)
 
 
+def test_share_among_earlier_tokens():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 4, n).tolist() for n in (1, 7, 30)]
+    expected = [t[:i].count(w) / max(i, 1) for t in texts for i, w in enumerate(t)]
+    got = context_mixing._earlier(np.array([w for t in texts for w in t]), np.array([len(t) for t in texts]))
+    assert np.allclose(got, expected)
+
+
 def test_byte_runs():
     keys, first = context_mixing.runs([b"Ab  c", b"", b"xyz"])
     ends = bytes(int(k) & 255 for k in keys)
