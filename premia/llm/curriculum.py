@@ -156,9 +156,15 @@ def plan(
 
 
 def ordered(planned: DataFrame) -> DataFrame:
-    """The plan, range-sorted by the position of the first copy; documents left out come last."""
-    first = F.when(F.size("positions") > 0, F.element_at("positions", 1)).alias("position")
-    return planned.select("doc_id", "size", "source_size", "target", "taken", first).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+    """The plan with the training positions of the first and the last copy, range-sorted by the first.
+
+    Documents left out have no position and come last.
+    """
+    at = lambda n: F.when(F.size("positions") > 0, F.element_at("positions", n))
+    rows = planned.select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies", at(1).alias("first_position"), at(-1).alias("last_position")
+    )
+    return rows.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
 def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), limit: int = 3, schedules: Sequence[Schedule] = SCHEDULES) -> DataFrame:

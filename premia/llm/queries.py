@@ -56,8 +56,8 @@ ORACLE["op2_block_naming"] = r"""
 
 @query
 def op3_curriculum_mix(spark, sf):
-    planned = curriculum.plan(table(spark, sf, "documents"))
-    return curriculum.ordered(planned).drop("position")
+    planned = curriculum.ordered(curriculum.plan(table(spark, sf, "documents")))
+    return planned.withColumns({c: F.round(c, 9) for c in ("first_position", "last_position")})
 
 
 ORACLE["op3_curriculum_mix"] = r"""
@@ -84,22 +84,36 @@ ORACLE["op3_curriculum_mix"] = r"""
                    order by source_size / weight, n rows between unbounded preceding and current row) as past
         from opened),
     targets as (
-        select source, source_size,
+        select source, source_size, n,
                case when past = 0 then cast(3 * source_size as double)
                     else cast((select r from shared) * weight as double) / (select w from shared) end as target
         from reached),
     placed as (
-        select d.doc_id, d.size, t.source_size, t.target,
+        select d.doc_id, d.size, d.source, t.n, t.source_size, t.target,
                cast(coalesce(sum(d.size) over (
                    partition by d.source order by d.place, d.doc_id, d.size
                    rows between unbounded preceding and 1 preceding), 0) as bigint) as start,
                case when t.source_size > 0 then cast(floor(t.target / t.source_size) as bigint) else 0 end as whole
-        from sized d join targets t on d.source is not distinct from t.source)
-    select doc_id, size, source_size, target,
-           cast(case when size = 0 then 0
-                else size * (whole + case when whole < 3 and start * 2 + size < 2 * (target - whole * source_size)
-                                          then 1 else 0 end) end as bigint) as taken
-    from placed"""
+        from sized d join targets t on d.source is not distinct from t.source),
+    copied as (
+        select *, cast(case when size = 0 then 0
+                       else whole + case when whole < 3 and start * 2 + size < 2 * (target - whole * source_size)
+                                         then 1 else 0 end end as bigint) as copies
+        from placed),
+    demanded as (
+        select *, case when copies > 0 then least((start + size / 2) / target, 1) end as first_share,
+               case when copies > 0 then least(((copies - 1) * source_size + start + size / 2) / target, 1) end as last_share
+        from copied),
+    -- Sources fade out from weight 1.5 to 0.5, stay at 1, or fade in from 0.5 to 1.5, in turn.
+    timed as (
+        select *, case n % 3 when 0 then 2 * first_share / (1.5 + sqrt(2.25 - 2 * first_share)) when 1 then first_share
+                  else 2 * first_share / (0.5 + sqrt(0.25 + 2 * first_share)) end as first_at,
+               case n % 3 when 0 then 2 * last_share / (1.5 + sqrt(2.25 - 2 * last_share)) when 1 then last_share
+                  else 2 * last_share / (0.5 + sqrt(0.25 + 2 * last_share)) end as last_at
+        from demanded)
+    select doc_id, size, source_size, target, copies * size as taken, source, copies,
+           round(first_at, 9) as first_position, round(last_at, 9) as last_position
+    from timed"""
 
 
 # --- 4: personal data ----------------------------------------------------------------------------------------
