@@ -20,6 +20,33 @@ def same_keys(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_o
     return reduce(Column.__and__, [left[a].eqNullSafe(right[b]) for a, b in zip(left_on, right_on, strict=True)])
 
 
+# Fixed value: hashes that marked_keys tells apart, a bit each.
+MARKS = 1 << 24
+
+
+def marked_keys(rows: DataFrame, keys: Sequence[str], marks: int = MARKS) -> DataFrame:
+    """``(word, bits)``: one bit per hash of the keys that occur, 64 to a row.
+
+    However many rows there are, no more than ``marks / 64`` come out, 262,144 by default, so that they can be broadcast.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(marks))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("place").bitwiseAND(63).cast("int"))
+    placed = rows.select(place.alias("place")).select(F.shiftright("place", 6).alias("word"), bit.alias("bit"))
+    return placed.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def touched_rows(df: DataFrame, keys: Sequence[str], marked: DataFrame, marks: int = MARKS) -> DataFrame:
+    """Rows of a large frame whose keys may occur among the marked ones, found where they are read.
+
+    All rows whose keys do occur stay, null keys included, and about one in ``marks / n`` others for ``n`` marked keys. Keys
+    need the types they were marked with, as hashes depend on them.
+    """
+    placed = df.withColumn("_place", F.pmod(F.xxhash64(*keys), F.lit(marks)))
+    theirs = marked.select(F.col("word").alias("_word"), F.col("bits").alias("_bits"))
+    met = (F.shiftright("_place", 6) == F.col("_word")) & (F.getbit("_bits", F.col("_place").bitwiseAND(63).cast("int")) == 1)
+    return placed.join(F.broadcast(theirs), met, "left_semi").drop("_place")
+
+
 def _as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 

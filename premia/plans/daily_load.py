@@ -18,7 +18,7 @@ from premia.operators.history import apply_customer_batch
 from premia.operators.links import late_fee_bands
 from premia.operators.policies import calculate_late_fees, construct_customer_name
 from premia.operators.quality import has_any, positive, required
-from premia.operators.relational import split_dataframe
+from premia.operators.relational import marked_keys, split_dataframe, touched_rows
 from premia.operators.standardize import (
     add_feed_defaults,
     clean_country,
@@ -170,7 +170,8 @@ def load_day(
 
     The raw rows are read once: the cleaned feed is written, its cells and rows checked by that same write, and everything
     else reads the columns it needs from there. Tables that do not wait for each other are written at the same time, the
-    fact after the dimensions that it links to.
+    fact after the dimensions that it links to. Of dimensions that grow from day to day only the rows whose keys the batch may
+    hold are shuffled, see :func:`touched_rows`.
 
     What the load leaves out or warns of goes to ``rejects``: the files given as ``rejected``, columns that no feed has,
     cells that are no dates, rows that fail a rule (they are loaded all the same), and feed rows without a customer version
@@ -193,13 +194,18 @@ def load_day(
     def written(table: str, rows: Callable[[], DataFrame]) -> Callable[[], None]:
         return lambda: warehouse.write(table, rows(), day)
 
+    def touched(table: str, days: Sequence[int], key: str) -> DataFrame:
+        """The rows of a dimension that the batch can meet, so that the rest of it is never shuffled."""
+        return touched_rows(warehouse.read(table, days), [key], marked_keys(feed, [key])) if days else warehouse.read(table, days)
+
     def grown(table: str, rows: DataFrame, *keys: str) -> Callable[[], None]:
-        return written(table, lambda: only_absent(rows, warehouse.read(table, earlier), keys))
+        known = lambda: touched(table, earlier, keys[0]) if keys[0] in feed.columns else warehouse.read(table, earlier)
+        return written(table, lambda: only_absent(rows, known(), keys))
 
     linked = _Counts()
 
     def fact() -> DataFrame:
-        dimensions = (warehouse.read(t, after) for t in ("dim_customer", "dim_policy"))
+        dimensions = touched("dim_customer", after, "customer_id"), touched("dim_policy", after, "policy_id")
         return linked.on(build_fact(feed, *dimensions, None, warehouse.read("dim_late_fee", after)))
 
     jobs = {

@@ -12,8 +12,9 @@ from conftest import SF
 import __spark_entry__ as entry
 from bindings import views
 from bindings.queries import QUERIES
-from premia.operators.relational import keep_first
+from premia.operators.relational import keep_first, marked_keys, touched_rows
 from premia.plans import reports
+from premia.plans.dimensions import only_absent
 from premia.session import RUNTIME_CONF, shared_dir, tune
 
 
@@ -58,6 +59,16 @@ def test_first_rows_are_found_before_the_shuffle(spark):
     assert "Window" not in text
 
 
+def test_a_dimension_is_cut_to_the_keys_of_the_batch_before_its_shuffle(no_broadcast, tmp_path):
+    path = f"{tmp_path}/dim"
+    views.table(no_broadcast, SF, "orders").select("o_custkey", "o_orderkey").write.parquet(path)
+    batch, dim = views.table(no_broadcast, SF, "customer").select(views.F.col("c_custkey").alias("o_custkey")), no_broadcast.read.parquet(path)
+    text = plan(only_absent(batch, touched_rows(dim, ["o_custkey"], marked_keys(batch, ["o_custkey"])), ["o_custkey"]))
+    # Upwards from the scan of the dimension: the marks first, then the exchange by key.
+    above = text[: text.index(path)]
+    assert above.rindex("BroadcastHashJoin") > above.rindex("Exchange hashpartitioning(coalesce(o_custkey")
+
+
 def test_reports_count_transactions_before_the_join(no_broadcast):
     text = plan(reports.amounts_by_customer(views.Warehouse(no_broadcast, SF)))
     assert "partial_count" in text

@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from premia.operators import quantiles
 from premia.operators.quantiles import column_quantiles, grouped_medians
-from premia.operators.relational import aggregations, join_tables, keep_first, split_dataframe, union_outer
+from premia.operators.relational import (
+    aggregations,
+    join_tables,
+    keep_first,
+    marked_keys,
+    split_dataframe,
+    touched_rows,
+    union_outer,
+)
+from premia.plans.dimensions import only_absent
 
 L = [(1, "a"), (2, "b"), (None, "c")]
 R = [(1, "x"), (1, "y"), (None, "z"), (3, "w")]
@@ -139,3 +148,29 @@ def test_wide_brackets_are_sketched_again(spark, monkeypatch):
     got = {r.prob: r.quantile for r in column_quantiles(df, ["x"], [0.0, 0.001, 0.3, 1.0]).collect()}
     exact = df.select(F.expr("percentile(x, array(0.0, 0.001, 0.3, 1.0))")).first()[0]
     assert got == pytest.approx(dict(zip([0.0, 0.001, 0.3, 1.0], exact)), rel=1e-15)
+
+
+def _dimension(spark, n):
+    return spark.range(n).select(F.when(F.col("id") > 0, F.concat(F.lit("p"), "id")).alias("k"), F.col("id").alias("v"))
+
+
+def test_touched_rows_keep_all_that_a_batch_can_meet(spark):
+    dim = _dimension(spark, 50_000)
+    batch = _dimension(spark, 50_000).where("v % 1000 = 0").select("k").union(spark.createDataFrame([("new",)], "k string"))
+    batch = batch.union(batch)
+    got = touched_rows(dim, ["k"], marked_keys(batch, ["k"]))
+    assert got.columns == dim.columns
+    met = {r.v for r in got.collect()}
+    assert set(range(0, 50_000, 1000)) <= met and len(met) < 60
+    # With few marks more rows pass, but none is lost.
+    few = {r.v for r in touched_rows(dim, ["k"], marked_keys(batch, ["k"], 256), 256).collect()}
+    assert met <= few | met and set(range(0, 50_000, 1000)) <= few and len(few) < 25_000
+    assert marked_keys(dim, ["k"], 256).count() <= 4
+    assert rows(only_absent(batch.distinct(), got, ["k"])) == [("new",)]
+
+
+def test_touched_rows_of_empty_frames(spark):
+    dim = _dimension(spark, 10)
+    nothing = dim.limit(0)
+    assert touched_rows(dim, ["k"], marked_keys(nothing, ["k"])).count() == 0
+    assert touched_rows(nothing, ["k"], marked_keys(dim, ["k"])).count() == 0
