@@ -585,6 +585,23 @@ QUERIES: dict[str, str] = {
         union all select 'value', 'present', count("value") from dirty_events
         union all select 'amount', 'missing', 0
         union all select 'user_id', 'unexpected', count(user_id) from dirty_events""",
+    "val_schema_drift": """
+        with drifts(batch_day, column_name, change, written, written_before, position, position_before) as (values
+            (2, 'customer_name', 'respelled', 'Customer NAME', 'Customer Name', 1, 1),
+            (2, 'nation', 'added', 'Nation', null, 3, null), (2, 'nation', 'unknown', 'Nation', null, 3, null),
+            (3, 'customer_id', 'lost', null, 'Customer ID', null, 0),
+            (3, 'customer_name', 'moved', 'Customer NAME', 'Customer NAME', 1, 1),
+            (3, 'segment', 'moved', 'Segment', 'Segment', 0, 2), (3, 'nation', 'moved', 'Nation', 'Nation', 2, 3),
+            (3, 'nation', 'unknown', 'Nation', null, 2, null)),
+        filled as (
+            select c_custkey % 3 + 1 as batch_day, count(c_name) as customer_name, count(c_mktsegment) as segment,
+                   count(c_nationkey) as nation
+            from customer where c_acctbal < 0 group by 1)
+        select 'Debit' as feed, 'Debit_day' || batch_day || '.csv' as source_file, column_name, change, written,
+               written_before, cast(position as int) as position, cast(position_before as int) as position_before,
+               case column_name when 'customer_name' then customer_name when 'segment' then segment
+                                when 'nation' then nation else 0 end as filled_rows
+        from drifts join filled using (batch_day)""",
     "val_rules": """
         select 'event_id is given' as rule, count(*) - count(event_id) as failed_rows from dirty_events
         union all select 'user_id is given', count(*) - count(user_id) from dirty_events

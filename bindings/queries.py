@@ -808,6 +808,30 @@ def val_schema(spark, sf):
     return quality.check_schema(_dirty_events(spark, sf), ["event_id", "event_type", "value", "amount"])
 
 
+@query
+def val_schema_drift(spark, sf):
+    """Two feeds over three days, one of which drifts; each change with the cells that the file fills in that column."""
+    folder = shared_dir(spark)
+    c = table(spark, sf, "customer")
+    cells = {"Customer ID": "c_custkey", "Customer Name": "c_name", "Segment": "c_mktsegment", "Nation": "c_nationkey"}
+    headers = {
+        1: ["Customer ID", "Customer Name", "Segment"],
+        2: ["Customer ID", "Customer NAME", "Segment", "Nation"],
+        3: ["Segment", "Customer NAME", "Nation"],
+    }
+    for day, header in headers.items():
+        for feed, mine, columns in (("Debit", "c_acctbal < 0", header), ("Credit", "c_acctbal >= 0", headers[1])):
+            named = [F.col(cells[n.replace("NAME", "Name")]).alias(n) for n in columns]
+            its = c.filter(mine).filter(F.col("c_custkey") % 3 + 1 == day)
+            its.select(named).write.options(header=True, escape='"').csv(f"{folder}/{feed}_day{day}.csv")
+    drift = quality.schema_drift(files.file_headers(spark, folder), ["customer_id", "customer_name", "segment"])
+    read = files.read_folder(spark, folder)
+    names = [n for n in read.columns if n != "source_file"]
+    counts = read.groupBy("source_file").agg(*[F.count(n).alias(n) for n in names])
+    filled = counts.unpivot("source_file", names, "column_name", "filled_rows")
+    return drift.join(filled, ["source_file", "column_name"])
+
+
 @query
 def val_rules(spark, sf):
     rows = _dirty_events(spark, sf).withColumn("value", F.nanvl("value", F.lit(0.0)) - 5)

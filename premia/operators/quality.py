@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from premia.functions import parse_date
 from premia.functions.dates import FEED_DATE_FORMATS
@@ -77,6 +77,52 @@ def check_schema(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     return unpivot(filled, cells, "column_name")
 
 
+def schema_drift(headers: DataFrame, expected: Sequence[str] = ()) -> DataFrame:
+    """How headers change from one file of a feed to the next.
+
+    ``headers`` holds a row per header cell: ``source_file, batch_day, position, written, column_name``. Files whose names
+    differ in the day alone are one feed, in the order of their days. The result has a row per change: ``(feed, source_file,
+    column_name, change, written, written_before, position, position_before)``, where ``change`` is
+
+    - ``unknown``: the column is not among the expected ones (if any are given), in every file that has it;
+    - ``added`` or ``lost`` against the file before;
+    - ``respelled``: the same column, written otherwise;
+    - ``moved``: of the columns that both files have, it follows another one than before.
+
+    A column that a header holds twice counts as two, the first with the first of the file before.
+    """
+    feed = F.regexp_replace("source_file", r"(?i)_?day\d+\.csv$", "").alias("feed")
+    in_feed = Window.partitionBy("feed").orderBy(F.col("batch_day").asc_nulls_first(), "source_file")
+    cells = headers.select(feed, "*").withColumn("seq", F.dense_rank().over(in_feed))
+    same = Window.partitionBy("feed", "seq", "column_name").orderBy("position")
+    cells = cells.withColumn("nth", F.row_number().over(same))
+    keys = ["feed", "seq", "column_name", "nth"]
+    now = cells.select(*keys, "written", "position")
+    before = now.withColumn("seq", F.col("seq") + 1).withColumnsRenamed({"written": "written_before", "position": "position_before"})
+    later = cells.select("feed", "seq", "source_file").distinct().filter("seq > 1")
+    both = now.join(before, keys, "full").join(later, ["feed", "seq"])
+    common = F.col("position").isNotNull() & F.col("position_before").isNotNull()
+    label = F.struct("column_name", "nth")
+
+    def follows(order: str) -> Column:
+        return F.lag(label).over(Window.partitionBy("feed", "seq", common).orderBy(order))
+
+    changes = {
+        "added": F.col("position_before").isNull(),
+        "lost": F.col("position").isNull(),
+        "respelled": F.col("written") != F.col("written_before"),
+        "moved": common & F.col("elsewhere"),
+    }
+    kinds = F.array_compact(F.array(*[F.when(on, F.lit(change)) for change, on in changes.items()]))
+    compared = both.withColumn("elsewhere", ~follows("position").eqNullSafe(follows("position_before")))
+    shown = ["feed", "source_file", "column_name", "change", "written", "written_before", "position", "position_before"]
+    drift = compared.withColumn("change", F.explode(kinds)).select(shown)
+    if not expected:
+        return drift
+    unknown = cells.filter(~F.col("column_name").isin(list(expected))).withColumn("change", F.lit("unknown"))
+    return drift.unionByName(unknown.select([c for c in shown if not c.endswith("_before")]), allowMissingColumns=True)
+
+
 def required(*names: str) -> dict[str, Column]:
     return {f"{n} is given": F.col(n).isNotNull() & (F.col(n).cast("string") != "") for n in names}
 

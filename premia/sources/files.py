@@ -177,6 +177,24 @@ def read_folder(
     return union_outer(frames) if frames else None
 
 
+def file_headers(
+    spark: SparkSession, folder: str, pattern: str = "*", members: Sequence[Member] | None = None, **options
+) -> DataFrame:
+    """``(source_file, batch_day, position, written, column_name)``: every header cell of a folder's files, positions from 0.
+
+    Files are those that :func:`read_folder` reads, plain or archived. Their first lines are read in one job; the driver
+    holds a header per file.
+    """
+    members = scan_archives(spark, folder, **options) if members is None else members
+    headers = {m.name: m.header for m in members if not m.problem and m.header and fnmatchcase(m.name, pattern)}
+    archived = set(headers)
+    plain = sorted({f for p in list_files(spark, folder, pattern) if (f := _logical(p)).endswith(".csv")})
+    for columns, group in (_headers(spark, plain, options) if plain else {}).items():
+        headers.update({name: columns for p in group if (name := _base(_logical(p))) not in archived})
+    cells = [(n, day_of(n), i, c, snake_case(c)) for n, columns in sorted(headers.items()) for i, c in enumerate(columns)]
+    return spark.createDataFrame(cells, "source_file string, batch_day int, position int, written string, column_name string")
+
+
 def batch_day(source_file: Column) -> Column:
     """The day number in a file name, null without one."""
     return F.regexp_extract(source_file, DAY_OF_FILE, 1).try_cast("int")

@@ -34,7 +34,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-LAZY = [n for n in QUERIES if not n.startswith(("pipe_", "src_", "sink_", "load_"))]
+LAZY = [n for n in QUERIES if not n.startswith(("pipe_", "src_", "sink_", "load_", "val_schema_drift"))]
 
 
 @pytest.mark.parametrize("name", LAZY)

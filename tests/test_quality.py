@@ -108,3 +108,21 @@ def test_histogram(spark):
 
 def test_value_counts(spark, df):
     assert [tuple(r) for r in profile.value_counts(df, "s").collect()] == [("a", 2), ("b", 1)]
+
+
+def _headers(spark, **files):
+    cells = [(f"{n}.csv", int(n[-1]), i, c, c.lower()) for n, header in files.items() for i, c in enumerate(header.split())]
+    return spark.createDataFrame(cells, "source_file string, batch_day int, position int, written string, column_name string")
+
+
+def test_schema_drift(spark):
+    headers = _headers(spark, a_day1="x y z", a_day2="x Y new z", a_day4="z x Y", b_day1="x x y", b_day2="x y x")
+    got = rows(quality.schema_drift(headers).select("source_file", "column_name", "change", "position", "position_before"))
+    assert sorted(got, key=str) == sorted([
+        ("a_day2.csv", "y", "respelled", 1, 1), ("a_day2.csv", "new", "added", 2, None),
+        ("a_day4.csv", "new", "lost", None, 2), ("a_day4.csv", "z", "moved", 0, 3), ("a_day4.csv", "x", "moved", 1, 0),
+        ("b_day2.csv", "y", "moved", 1, 2), ("b_day2.csv", "x", "moved", 2, 1),
+    ], key=str)
+    unknown = quality.schema_drift(headers, ["x", "y", "z"]).filter("change = 'unknown'")
+    assert rows(unknown.select("source_file", "column_name")) == [("a_day2.csv", "new")]
+    assert quality.schema_drift(headers.limit(0), ["x"]).count() == 0
