@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from premia.operators.quality import is_missing, unpivot
@@ -91,16 +95,20 @@ def basic_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def correlations(df: DataFrame) -> DataFrame:
+def correlations(df: DataFrame, wide: int = 24) -> DataFrame:
     """``(column_x, column_y, correlation)`` for all pairs of numeric columns, over rows where both are given.
 
     Where a column has one value only there is no correlation; ``corr`` would divide by zero, an error in ANSI
     mode. A first pass tells which columns vary, and which have gaps, so that they may be constant over the rows
     of a pair; for these the division is guarded, which costs more.
+
+    A frame of more than ``wide`` columns has too many pairs for one aggregate each, see :func:`wide_correlations`.
     """
     cols = numeric_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_x string, column_y string, correlation double")
+    if len(cols) > wide:
+        return wide_correlations(df, cols)
     pairs = list(combinations_with_replacement(cols, 2))
     value = {c: F.when(~is_missing(df, c), F.col(c).cast("double")) for c in cols}
     spans = {c: F.struct(F.count(v).alias("n"), (F.min(v) < F.max(v)).alias("varies")) for c, v in value.items()}
@@ -125,6 +133,82 @@ def correlations(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*cells)))
 
 
+# Fixed value: a task's sums are merged with those of one in so many others before all are.
+SALTS = 64
+_SUMS = ("n", "total", "squares", "products")
+_SUMS_SCHEMA = "x int, salt int, " + ", ".join(f"{c} array<double>" for c in _SUMS)
+
+
+def _added_up(rows: pd.DataFrame, salt: int) -> pd.DataFrame:
+    """Rows of sums for one column as one row."""
+    return pd.DataFrame({"x": rows["x"][:1], "salt": salt, **{c: [np.sum(np.stack(rows[c]), axis=0)] for c in _SUMS}})
+
+
+def wide_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The same as :func:`correlations` for frames of many columns, by cross-product matrices.
+
+    Each task turns its rows into four matrices over all pairs (x, y), of the rows where both are given: their number, the sums
+    and sums of squares of x, and the sums of products. A matrix travels as one row per x and is summed in two steps, so that no
+    task gets a row of every other. Values are taken as distances from their column's mean, which a first pass gives, so that
+    the differences of sums keep their digits. Over the rows of a pair a column counts as constant if its spread is below
+    1e-6 of its root mean square distance from the mean. Infinite values give no correlation, a frame without rows no rows.
+    """
+    cols = list(cols)
+    value = [F.when(~is_missing(df, c), F.col(c).cast("double")) for c in cols]
+    ends = df.agg(F.struct(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(value)]),
+                  F.struct(*[(F.min(v) < F.max(v)).alias(f"v{i}") for i, v in enumerate(value)])).first()
+    means = np.array([m if m is not None else 0.0 for m in ends[0]])
+    varies = list(ends[1])
+
+    def crossed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        k = len(means)
+        sums = [np.zeros((k, k)) for _ in _SUMS]
+        any_rows = False
+        for batch in batches:
+            any_rows = any_rows or len(batch) > 0
+            rows = batch.to_numpy(dtype=float) - means
+            given = ~np.isnan(rows)
+            rows, given = np.where(given, rows, 0.0), given.astype(float)
+            with np.errstate(invalid="ignore", over="ignore"):
+                for at, part in zip(sums, (given.T @ given, rows.T @ given, (rows * rows).T @ given, rows.T @ rows)):
+                    at += part
+        if any_rows:
+            salt = TaskContext.get().partitionId() % SALTS
+            yield pd.DataFrame({"x": range(k), "salt": salt, **{c: list(m) for c, m in zip(_SUMS, sums)}})
+
+    def somewhat(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _added_up(rows, key[1])
+
+    def whole(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _added_up(rows, 0)
+
+    placed = df.select([v.alias(f"c{i}") for i, v in enumerate(value)])
+    partial = placed.mapInPandas(crossed, _SUMS_SCHEMA).groupBy("x", "salt").applyInPandas(somewhat, _SUMS_SCHEMA)
+    rows = partial.groupBy("x").applyInPandas(whole, _SUMS_SCHEMA)
+    cells = rows.select("x", F.posexplode(F.arrays_zip(*_SUMS)).alias("y", "s")).select("x", "y", "s.*")
+    # The sums of y over the pair stand in y's own row; the two meet by the unordered pair.
+    pair = F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    of = lambda c, side: F.max(F.when(F.col("x") == F.col(side), F.col(c)))
+    met = cells.withColumns({"a": pair[0], "b": pair[1]}).groupBy("a", "b").agg(
+        F.max("n").alias("n"), F.max("products").alias("products"),
+        *[of(c, side).alias(f"{c}_{side}") for c in ("total", "squares") for side in ("a", "b")],
+    )
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    mean = {s: F.col(f"total_{s}") / n for s in "ab"}
+    spread = {s: F.col(f"squares_{s}") / n - mean[s] * mean[s] for s in "ab"}
+    least = F.lit(1e-12)
+    moves = (spread["a"] > least * F.col("squares_a") / n) & (spread["b"] > least * F.col("squares_b") / n)
+    r = (F.col("products") / n - mean["a"] * mean["b"]) / F.sqrt(spread["a"] * spread["b"])
+    name = lambda c: F.element_at(F.array(*map(F.lit, cols)), F.col(c) + 1)
+    fixed = [i for i, v in enumerate(varies) if not v]
+    known = moves & ~F.col("a").isin(fixed) & ~F.col("b").isin(fixed) if fixed else moves
+    found = met.withColumn("r", F.when(known, F.when(F.col("a") == F.col("b"), 1.0).otherwise(r)))
+    sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
+    both = found.select(F.explode(F.array_distinct(sides)).alias("p"), F.nanvl("r", F.lit(None).cast("double")).alias("r"))
+    both = both.select(F.col("p.x").alias("x"), F.col("p.y").alias("y"), "r")
+    return both.select(name("x").alias("column_x"), name("y").alias("column_y"), F.col("r").alias("correlation"))
+
+
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """``(bin, bin_start, bin_end, rows)`` for equal-width bins from least to greatest value; the last is closed.
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
@@ -96,6 +97,36 @@ def test_correlations_are_those_of_pandas(spark):
         assert (r is None or r != r) if pd.isna(want.loc[x, y]) else r == pytest.approx(want.loc[x, y])
 
 
+@pytest.mark.parametrize("gaps", [False, True])
+def test_correlations_of_many_columns_are_those_of_pandas(spark, gaps):
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(300, 200)) + 1e6
+    values[:, 1] = values[:, 0] * -2
+    values[:, 2] = 7.1
+    if gaps:
+        values[rng.random(values.shape) < 0.3] = NAN
+        values[:, 3] = NAN
+        values[5:, 4] = NAN
+        values[:, 6] = np.where(np.isnan(values[:, 5]), np.arange(300), 3.0)  # constant where column 5 is given
+    pdf = pd.DataFrame(values, columns=[f"n{i}" for i in range(200)])
+    want = pdf.corr()
+    got = profile.correlations(spark.createDataFrame(pdf).repartition(5)).toPandas()
+    assert len(got) == 200 * 200
+    got = got.pivot(index="column_x", columns="column_y", values="correlation").loc[want.index, want.columns]
+    if gaps:
+        assert got.loc["n5", "n6"] is None or np.isnan(got.loc["n5", "n6"])
+        want.loc["n5", "n6"] = want.loc["n6", "n5"] = NAN
+    np.testing.assert_allclose(got.to_numpy(dtype=float), want.to_numpy(), rtol=0, atol=1e-6)
+
+
+def test_the_two_ways_to_correlations_agree(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (2, None, 4.0), (3, 5.0, 1.0), (9, 1.0, 1.0)], "a int, b double, c double")
+    near = rows(profile.correlations(df).selectExpr("column_x", "column_y", "round(correlation, 9)"))
+    assert rows(profile.correlations(df, wide=0).selectExpr("column_x", "column_y", "round(correlation, 9)")) == near
+    empty = rows(profile.correlations(df.limit(0)))
+    assert rows(profile.correlations(df.limit(0), wide=0)) in (empty, [])
+
+
 def test_histogram(spark):
     df = spark.createDataFrame([(float(x),) for x in (0, 1, 1, 9, 10)] + [(None,), (NAN,)], "v double")
     got = profile.histogram(df, "v", 5).orderBy("bin").collect()
