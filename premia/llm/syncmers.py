@@ -1,10 +1,11 @@
 """Document fingerprints from closed syncmers.
 
-A text is a sequence of tokens: words, single ideographs, single marks. A run of ``K`` tokens is an anchor if the least
-of its inner runs of ``S`` tokens, by hash, is its first or its last one; whether a run is an anchor depends on the run
-alone, so equal passages have equal anchors wherever they stand. The first and the last run of a text are anchors as
-well, and a text shorter than ``K`` tokens is one anchor. A fingerprint lists the anchors' hashes in text order; anchors
-also carry their token positions. Only column expressions are used.
+A text is a sequence of tokens: words, single ideographs, single marks. Of a word of more than ``LONG_WORD`` characters, as
+in scripts without spaces or encoded data, all but the last ``LONG_WORD`` characters are tokens of their own. A run of
+``K`` tokens is an anchor if the least of its inner runs of ``S`` tokens, by hash, is its first or its last one; whether a
+run is an anchor depends on the run alone, so equal passages have equal anchors wherever they stand. The first and the last
+run of a text are anchors as well, and a text shorter than ``K`` tokens is one anchor. A fingerprint lists the anchors'
+hashes in text order; anchors also carry their token positions. Only column expressions are used.
 
 :func:`with_next` puts each document beside the next one by id. Ids are cut into ranges at quantiles, texts move once,
 to their range, and the first document of a range is also sent to the range before.
@@ -26,8 +27,10 @@ K = 6
 S = 2
 RANGE_ROWS = 2048
 MOST_RANGES = 50_000
+LONG_WORD = 32
 _SINGLE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
-TOKEN = rf"[{_SINGLE}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{_SINGLE}]]+|[^\s\p{{L}}\p{{M}}\p{{N}}]"
+_LETTER = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_SINGLE}]]"
+TOKEN = rf"[{_SINGLE}]|{_LETTER}{{1,{LONG_WORD}}}+(?!{_LETTER})|{_LETTER}|[^\s\p{{L}}\p{{M}}\p{{N}}]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import struct
 import zlib
 from collections import Counter
@@ -353,8 +354,13 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
+def cut(word):
+    """A long word but for its last 32 characters as single characters."""
+    return [*word[:-32], word[-32:]] if len(word) > 32 else [word]
+
+
 def brute_anchors(text, k=6, s=2):
-    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in TOKENS.findall(text)]
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for word in TOKENS.findall(text) for w in cut(word)]
     if len(h) < k:
         return [chained(h) & 0xFFFFFFFF] if h else []
     g = [signed(chained(h[i : i + s])) for i in range(len(h) - s + 1)]
@@ -382,6 +388,19 @@ def test_fingerprints_and_edits(spark, documents, rows, monkeypatch):
         assert (r.near_edited, r.near_next) == (dice(a, e), dice(a, brute_anchors(after)))
 
 
+def test_texts_without_spaces_have_many_anchors(spark):
+    rng = random.Random(3)
+    kinds = {"base64": string.ascii_letters + string.digits, "khmer": [chr(c) for c in range(0x1780, 0x17B4)], "wide": [chr(c) for c in range(0x10400, 0x10450)]}
+    texts = ["".join(rng.choices(kinds[k], k=n)) for k in kinds for n in (32, 33, 800, 800)]
+    texts += ["a " * 50 + "b" * 40 + " c", "x" * 31 + "-" + "y" * 33]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(syncmers.compared(docs).collect())
+    for r, text in zip(got, texts):
+        assert [a["hash"] for a in r.anchors] == brute_anchors(text)
+        if len(text) == 800:
+            assert len(r.anchors) > 200 and 0.35 < r.near_edited < 0.7
+
+
 # --- 8 -------------------------------------------------------------------------------------------------------
 
 
