@@ -29,8 +29,10 @@ RANGE_ROWS = 2048
 MOST_RANGES = 50_000
 LONG_WORD = 32
 _SINGLE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
-_LETTER = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_SINGLE}]]"
-TOKEN = rf"[{_SINGLE}]|{_LETTER}{{1,{LONG_WORD}}}+(?!{_LETTER})|{_LETTER}|[^\s\p{{L}}\p{{M}}\p{{N}}]"
+# Letters of the Latin script are listed first, as a look at a character's script is slow.
+_LATIN = r"A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_LETTER = rf"[[{_LATIN}][\p{{L}}\p{{M}}\p{{N}}&&[^{_SINGLE}]]]"
+TOKEN = rf"{_LETTER}{{1,{LONG_WORD}}}+(?!{_LETTER})|{_LETTER}|[^\s\p{{L}}\p{{M}}\p{{N}}]|[{_SINGLE}]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -42,21 +44,24 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """array<struct<hash: long, at: int>>: 32-bit hashes of the anchors and the tokens they begin at, from 0."""
     inner = k - s + 1
 
-    def hashed(h: Column, i: Column, n: int | Column) -> Column:
-        return F.xxhash64(F.slice(h, i, n)).bitwiseAND(F.lit(0xFFFFFFFF))
+    def cells(a: Column, i: Column, n: int) -> list[Column]:
+        """``n`` elements from place ``i`` on; a slice would copy, and hashes to the same."""
+        return [F.get(a, i + (j - 1)) for j in range(n)]
 
     def of(h: Column) -> Column:
         last = F.size(h) - k + 1
 
         def chosen(g: Column) -> Column:
             def edge(i: Column) -> Column:
-                least = lambda m: (F.element_at(g, i) == m) | (F.element_at(g, i + (inner - 1)) == m)
-                return (i == 1) | (i == last) | let(F.array_min(F.slice(g, i, inner)), least)
+                first, *between, final = cells(g, i, inner) if inner > 1 else [F.get(g, i - 1)] * 2
+                outer = F.least(first, final)
+                return (i == 1) | (i == last) | F.lit(not between) | (outer <= (F.least(*between) if between[1:] else between[0] if between else outer))
 
             at = F.filter(F.sequence(F.lit(1), last), edge)
-            return F.transform(at, lambda i: F.struct(hashed(h, i, k).alias("hash"), (i - 1).alias("at")))
+            low = lambda i: F.xxhash64(*cells(h, i, k)).bitwiseAND(F.lit(0xFFFFFFFF))
+            return F.transform(at, lambda i: F.struct(low(i).alias("hash"), (i - 1).alias("at")))
 
-        inside = F.transform(F.sequence(F.lit(1), F.size(h) - s + 1), lambda i: F.xxhash64(F.slice(h, i, s)))
+        inside = F.transform(F.sequence(F.lit(1), F.size(h) - s + 1), lambda i: F.xxhash64(*cells(h, i, s)))
         whole = F.array(F.struct(F.xxhash64(h).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash"), F.lit(0).alias("at")))
         return F.when(F.size(h) >= k, let(inside, chosen)).when(F.size(h) > 0, whole).otherwise(F.slice(whole, 1, 0))
 

@@ -227,3 +227,19 @@ def test_many_rules_against_every_rule_on_every_url(spark):
     index, always = url_rules.rule_index(listed, {})
     candidates = [sum(len(index.get(t, ())) for t in set(re.findall(url_rules.TOKEN, u.lower()))) for u in urls]
     assert not always and sum(candidates) / len(candidates) < 1000
+
+
+def test_anchors_hash_elements_in_place_and_not_copied_slices(spark):
+    rows = [(0, "a b c d e f g a b c d e"), (1, "x " * 30), (2, "漢字⺀ÀÉß×÷ " * 7 + "y" * 70), (3, "one two"), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    token = F.regexp_extract_all("text", F.lit(r"[\p{IsHan}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]{1,32}+(?![\p{L}\p{M}\p{N}&&[^\p{IsHan}]])|[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]|[^\s\p{L}\p{M}\p{N}]"), F.lit(0))
+    hashes = F.transform(token, lambda t: F.xxhash64(t))
+    found = docs.select("text", hashes.alias("h"), syncmers.anchors(F.col("text")).alias("found"))
+    # A slice copies its elements, for every position of a text several times.
+    assert "slice(namedlambdavariable()" not in found._jdf.queryExecution().optimizedPlan().toString()
+    pairs = F.transform(F.sequence(F.lit(1), F.size("h") - 1), lambda i: F.xxhash64(F.slice("h", i, 2)))
+    runs = F.transform(F.sequence(F.lit(1), F.size("h") - 5), lambda i: F.xxhash64(F.slice("h", i, 6)).bitwiseAND(F.lit(0xFFFFFFFF)))
+    for r in found.where(F.size("h") >= 6).select("found", pairs.alias("pairs"), runs.alias("runs")).collect():
+        last = len(r.runs) - 1
+        chosen = [i for i in range(last + 1) if i in (0, last) or min(r.pairs[i : i + 5]) in (r.pairs[i], r.pairs[i + 4])]
+        assert [(a["hash"], a["at"]) for a in r.found] == [(r.runs[i], i) for i in chosen]
