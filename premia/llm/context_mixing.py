@@ -28,6 +28,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -74,23 +75,28 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def vocabulary(texts: list[bytes]) -> tuple[dict[bytes, int], list[np.ndarray]]:
-    """Numbers of the distinct words in the order they appear, and each text as such numbers."""
-    known: dict[bytes, int] = {}
-    number = known.setdefault
-    return known, [np.array([number(w, len(known)) for w in tokens(t)], np.int64) for t in texts]
+def vocabulary(texts: list[list[bytes]]) -> tuple[dict[bytes, int], list[np.ndarray]]:
+    """Numbers of the distinct words in the order they appear, and each text, given by its words, as such numbers."""
+    known = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(texts)))}
+    sizes = [len(t) for t in texts]
+    flat = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, sum(sizes))
+    return known, np.split(flat, np.cumsum(sizes)[:-1]) if texts else []
 
 
 def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Byte runs of ORDER + 1 (as integers, last byte lowest) at each byte of the normalised texts, and their starts."""
+    return runs_of_words([tokens(t) for t in texts])
+
+
+def runs_of_words(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The same of texts given by their words."""
     flat, lengths = [], []
-    for t in texts:
-        flat += [START, b" ".join([*tokens(t), b"\n"])]
+    for words in texts:
+        flat += [START, b" ".join([*words, b"\n"])]
         lengths.append(len(flat[-1]))
-    data = np.frombuffer(b"".join(flat), np.uint8).astype(np.uint64)
-    key = np.zeros(max(0, len(data) - ORDER), np.uint64)
-    for j in range(ORDER + 1):
-        key = (key << np.uint64(8)) | data[j : j + len(key)]
+    data = b"".join([*flat, b"\0" * (8 - ORDER - 1)])
+    # The eight bytes from each place on, without those beyond the run.
+    key = np.ndarray((max(0, len(data) - 7),), ">u8", data, strides=(1,)).astype(np.uint64) >> np.uint64(8 * (8 - ORDER - 1))
     lengths = np.array(lengths)
     first = np.cumsum(lengths + ORDER) - lengths - ORDER  # of a text's first byte, counted in runs
     inside = np.ones(len(key), bool)
@@ -214,11 +220,13 @@ def on_grid(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, (at - low).astype(np.float32)
 
 
-def bits(model: Model, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def bits(model: Model, keys: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
     """Cost in bits of each run's last byte after the bytes before it.
 
-    ``counts`` tells how often each of the distinct runs came in training, and may be 0; see :func:`own_counts`.
+    ``counts`` tells how often each of the distinct runs came in training, and may be 0; see :func:`own_counts`. Without it
+    only the tables know of the training.
     """
+    counts = np.zeros(len(keys), np.int64) if counts is None else counts
     own, hashes, total = own_counts(keys, counts), contexts(keys), np.zeros(len(keys))
     flat = model.refine.ravel()
     for place, node, bit in steps(keys):
@@ -263,9 +271,10 @@ def add_counts(tables: list[np.ndarray], keys: np.ndarray, counts: np.ndarray) -
             np.add.at(tables[i].reshape(-1), at * 2 + bit, counts)
 
 
-def train(runs_by_shard: DataFrame, shards: int) -> Model:
-    """The model of byte runs and their counts; see :func:`merged_runs`."""
+def train(runs_by_shard: DataFrame, shards: int | None = None) -> Model:
+    """The model of byte runs and their counts; see :func:`merged_runs`. Shards are counted if their number is not given."""
     runs_by_shard = runs_by_shard.select("data")
+    shards = runs_by_shard.count() if shards is None else shards
     model = Model.start()
     spark = runs_by_shard.sparkSession
 
@@ -459,7 +468,7 @@ def word_counts(blocks_of_text: DataFrame, shards: int) -> DataFrame:
         for b in batches:
             for block, payload in zip(b.column("block").to_pylist(), b.column("payload").to_pylist()):
                 docs = unpacked(payload)
-                known, numbers = vocabulary(docs.column("text").to_pylist())
+                known, numbers = vocabulary([tokens(t) for t in docs.column("text").to_pylist()])
                 learnt = [x for x, h in zip(numbers, docs.column("held_out").to_pylist()) if not h]
                 n = np.bincount(np.concatenate(learnt), minlength=len(known)) if learnt else np.zeros(len(known), np.int64)
                 words, order, shard = _word_order(known, shards)
@@ -490,7 +499,7 @@ def word_counts(blocks_of_text: DataFrame, shards: int) -> DataFrame:
 def _earlier(every: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Share of each token among the earlier ones of its text; texts of the given sizes follow each other."""
     text = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((every, text))
+    order = np.argsort(text * (every.max(initial=0) + 1) + every, kind="stable")
     new = np.flatnonzero(np.append(True, np.diff(every[order]).astype(bool) | np.diff(text[order]).astype(bool)))
     place = np.arange(len(every))
     came = np.empty(len(every))
@@ -498,6 +507,22 @@ def _earlier(every: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return came / np.maximum(place - np.repeat(np.cumsum(sizes) - sizes, sizes), 1)
 
 
+def mixed_words(of_word: np.ndarray, spelt: np.ndarray, again: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Logarithms of the probability of each text, one row per pair of shares; texts begin at ``starts``.
+
+    Per token the logarithms of its probability as a word of the corpus, by its bytes and as a word of the text so far,
+    of which at least that by bytes is finite.
+    """
+    # Shares of the likeliest of the three, so that a long word's probabilities stay in range.
+    top = np.maximum(np.maximum(of_word, spelt), again)
+    word, byte, own = (np.exp(x - top) for x in (of_word, spelt, again))
+    base, sums = np.add.reduceat(top, starts), []
+    for a in WORD_SHARES:
+        either = a * word + (1 - a) * byte
+        sums += [base + np.add.reduceat(np.log(b * own + (1 - b) * either), starts) for b in OWN_SHARES]
+    return sums
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte of every document.
 
@@ -522,7 +547,7 @@ def scores(docs: DataFrame) -> DataFrame:
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
         answers = dict(zip(zip(reply.column("kind").to_pylist(), reply.column("shard").to_pylist()), reply.column("data").to_pylist()))
         (docs_here,) = [unpacked(p) for p in block.column("payload").to_pylist()]
-        texts = docs_here.column("text").to_pylist()
+        texts = [tokens(t) for t in docs_here.column("text").to_pylist()]
         known, numbers = vocabulary(texts)
         words, order, shard = _word_order(known, shards)
         c = np.zeros(len(known), np.int64)
@@ -533,7 +558,7 @@ def scores(docs: DataFrame) -> DataFrame:
             out["n_tokens"].append(len(x) + 1)
             out["n_known"].append(int((c[x] > 0).sum()) + (ends > 0))
             out["base_score"].append(float(gain[x].sum() + np.log10(ends + 1) - (len(x) + 1) * floor))
-        keys, first = runs(texts)
+        keys, first = runs_of_words(texts)
         codes, unique = pd.factorize(keys)
         del keys
         order, shard = _run_order(unique, shards)
@@ -549,10 +574,7 @@ def scores(docs: DataFrame) -> DataFrame:
         starts = np.cumsum(out["n_tokens"]) - out["n_tokens"]
         with np.errstate(divide="ignore"):
             again = np.log(_earlier(every, np.array(out["n_tokens"])))
-        sums = []
-        for a in WORD_SHARES:
-            either = np.logaddexp(np.log(a) + of_word, np.log(1 - a) + spelt)
-            sums += [np.add.reduceat(np.logaddexp(np.log(b) + again, np.log(1 - b) + either), starts) for b in OWN_SHARES]
+        sums = mixed_words(of_word, spelt, again, starts)
         out["score"] = ((np.logaddexp.reduce(sums) - np.log(len(sums))) / np.log(10)).tolist()
         out["n_bytes"] = np.diff(np.append(first, len(codes))).tolist()
         return pa.table(

@@ -104,3 +104,29 @@ def test_source_shares_of_sequences_follow_the_schedules(spark, parts):
         assert position >= last_position[source]
         seen[r.doc_id] += 1
         last_position[source] = position
+
+
+def test_shares_are_mixed_without_a_logarithm_of_a_sum_per_share(monkeypatch):
+    rng = np.random.default_rng(1)
+    spelt = -np.append(rng.random(50) * 40, [5e3, 2e4])
+    of_word, again = (np.where(rng.random(52) < 0.3, -np.inf, -rng.random(52) * 15) for _ in range(2))
+    again[-1] = of_word[-1] = -np.inf
+    starts = np.array([0, 20, 51])
+    wanted = []
+    for a in context_mixing.WORD_SHARES:
+        either = np.logaddexp(np.log(a) + of_word, np.log(1 - a) + spelt)
+        wanted += [np.add.reduceat(np.logaddexp(np.log(b) + again, np.log(1 - b) + either), starts) for b in context_mixing.OWN_SHARES]
+    monkeypatch.setattr(np, "logaddexp", None)  # slow, as it has no vector form
+    assert np.allclose(context_mixing.mixed_words(of_word, spelt, again, starts), wanted, rtol=1e-12, atol=0)
+
+
+def test_runs_and_vocabulary_of_odd_texts():
+    texts = [b"", b"A b", b" ", b"b\xff long-word a", b"\n"]
+    keys, first = context_mixing.runs(texts)
+    flat = [b"\n", b"a b \n", b"\n", b"b\xff long-word a \n", b"\n"]
+    wanted = [int.from_bytes((context_mixing.START + t)[i : i + 6]) for t in flat for i in range(len(t))]
+    assert keys.dtype == np.uint64 and keys.tolist() == wanted
+    assert first.tolist() == np.cumsum([0, *map(len, flat[:-1])]).tolist()
+    known, numbers = context_mixing.vocabulary([context_mixing.tokens(t) for t in texts])
+    assert list(known) == [b"a", b"b", b"b\xff", b"long-word"] and [n.tolist() for n in numbers] == [[], [0, 1], [], [2, 3, 0], []]
+    assert context_mixing.vocabulary([]) == ({}, [])
