@@ -6,6 +6,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from premia.operators import links
 
@@ -94,3 +95,14 @@ def test_left_join_with_null_keys_loses_and_adds_nothing(spark):
     got = links.left_join_nullable(left, right, "fk", "k").select("i", "fk", "v")
     want = left.join(right, left.fk == right.k, "left").select("i", "fk", "v")
     assert rows(got) == rows(want)
+
+
+def test_derived_addresses_are_not_broadcast(spark):
+    people = spark.range(10).select(F.col("id").cast("string").alias("customer_id"))
+    dim = people.select("customer_id", F.explode(F.array(*[F.lit(str(i)) for i in range(9)])).alias("postal_code"))
+    dim = dim.withColumn("address_sk", F.concat("customer_id", F.lit("-"), "postal_code"))
+    facts = spark.createDataFrame([("1", "3"), ("1", "3"), ("1", "x"), (None, "3"), ("2", None)], "customer_id string, postal_code string")
+    linked = links.link_address(facts, dim)
+    plan = linked._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert rows(linked) == rows(spark.createDataFrame([("1", "3", "1-3"), ("1", "3", "1-3"), ("1", "x", None), (None, "3", None), ("2", None, None)], linked.schema))
