@@ -24,7 +24,10 @@ WHITE_SPACE = (
 
 def strip_space(c: Column) -> Column:
     """Remove leading and trailing white space of any kind; SQL ``trim`` removes blanks only."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    # Looking up characters in the list is slow, and most cells begin and end with printable ASCII.
+    last = F.substring(c.cast("binary"), -1, 1)  # of bytes, as those of text are counted from the first
+    printable = (c >= "!") & (c < "\x7f") & (last >= F.lit(b"!")) & (last < F.lit(b"\x7f"))
+    return F.when(printable, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def squeeze_space(c: Column) -> Column:

@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from premia.functions import date_key, date_of_key, in_year, title_case
+from premia.functions.text import WHITE_SPACE, strip_space
 from premia.operators import standardize as std
 from premia.operators.policies import calculate_late_fees, construct_customer_name, installments
 from premia.schemas import TABLES
@@ -152,3 +153,10 @@ def test_installments(spark):
     data = [(Decimal(1000), Decimal(300), Decimal(600)), (Decimal(1000), Decimal(0), None)]
     got = installments(spark.createDataFrame(data, schema)).collect()
     assert [(r.installment_count, r.remaining_amount) for r in got] == [(4, 400), (None, 1000)]
+
+
+def test_strip_space_looks_characters_up_only_at_odd_ends(spark):
+    cells = ["", " ", "a", " a", "a ", "\ta b\x1c", "\x7fa\x7f", " é ", "é", "éa", "aé", "a\x85", "　", "!", "~", "漢 字", "\x00a", None]
+    found = spark.createDataFrame([(c,) for c in cells], "c string").select("c", strip_space(F.col("c")).alias("got"))
+    assert "CASE WHEN" in found._jdf.queryExecution().optimizedPlan().toString().upper()
+    assert all(r.got == (None if r.c is None else r.c.strip(WHITE_SPACE)) for r in found.collect())
