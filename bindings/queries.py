@@ -620,14 +620,21 @@ def pipe_stream(spark, sf):
             raise stream.exception()
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = list(batches)
-        if not frames:
-            return
-        lines, packed = pd.concat(frames), io.BytesIO()
+        packed, writing, member = io.BytesIO(), None, None
         with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-            for (name, header), its in lines.groupby(["name", "header"], sort=True):
-                archive.writestr(name, "\n".join([header, *its["value"]]) + "\n")
-        yield pd.DataFrame({"value": [packed.getvalue()]})
+            for frame in batches:
+                for (name, header), its in frame.groupby(["name", "header"], sort=False):
+                    lines = its["value"].tolist()
+                    if name != writing:
+                        if member:
+                            member.close()
+                        writing, member = name, archive.open(name, "w", force_zip64=True)
+                        lines.insert(0, header)
+                    member.write(("\n".join(lines) + "\n").encode())
+            if member:
+                member.close()
+        if member:
+            yield pd.DataFrame({"value": [packed.getvalue()]})
 
     hadoop = spark._jvm.org.apache.hadoop.fs
     store = hadoop.Path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
@@ -641,7 +648,7 @@ def pipe_stream(spark, sf):
     stem = F.regexp_extract("path", r"Feed_(\w+)_day2\.csv/part-(\d+)", 1), F.regexp_extract("path", r"/part-(\d+)", 1)
     named = lines.join(first, "path").where(F.col("value") != F.col("header"))
     named = named.select(F.concat(F.lit("Feed_"), stem[0], F.lit("_part"), stem[1], F.lit("_day2.csv")).alias("name"), "header", "value", "at")
-    spread = named.repartition(4, "name").sortWithinPartitions("name", "at")
+    spread = named.repartition("name").sortWithinPartitions("name", "at")
     _write_archives(spread.mapInPandas(pack, "value binary"), f"{folder}/in", "late")
     arrive()
     return _described_fact(tables.Warehouse(spark, f"{folder}/out"))

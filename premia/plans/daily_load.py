@@ -38,7 +38,7 @@ from premia.operators.standardize import (
 from premia.plans.dimensions import addresses, calendar, customers, only_absent, policies, policy_types
 from premia.plans.fact import build_fact
 from premia.schemas import DATE_COLUMNS, FEED, FEED_COLUMNS, FEED_SPELLINGS, MONEY_COLUMNS, TABLES
-from premia.sources.files import day_of, find_days, read_day, read_folder, rejected_files, scan_archives
+from premia.sources.files import Member, day_of, find_days, read_day, read_folder, rejected_files, scan_archives
 from premia.sources.tables import Warehouse
 
 log = logging.getLogger(__name__)
@@ -252,18 +252,19 @@ def load_folder(
     spellings: Spellings = FEED_SPELLINGS,
     regions: DataFrame | None = None,
     rules: Callable[[], Mapping[str, Column]] = feed_rules,
+    members: Sequence[Member] | None = None,
     **options,
 ) -> Warehouse:
     """Load the daily files of a folder in the order of their days; without daily files, all files as day 0.
 
-    Options go to the reader. Damaged files in archives are left out whole and listed in ``rejects``, or stop the load
+    Options go to the reader. ``members`` are those of the folder's archives if they were scanned before. Damaged files in archives are left out whole and listed in ``rejects``, or stop the load
     with ``on_damage='fail'``.
 
     ``as_of`` gives the date on which the changes of a day take effect. The order matters, since every day
     builds on the customer versions of the day before.
     """
     warehouse = Warehouse(spark, root)
-    members = scan_archives(spark, folder, **options)
+    members = scan_archives(spark, folder, **options) if members is None else members
     found = find_days(spark, folder, members)
     if found:
         wanted = [d for d in found if days is None or d in days]

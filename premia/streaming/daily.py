@@ -32,12 +32,15 @@ def load_arriving_days(
     def load(arrived: DataFrame, _batch: int) -> None:
         seen = arrived.groupBy("day").agg(F.collect_set("archive").alias("archives")).collect()  # one row per day
         news = {r["day"] for r in seen if r["day"] is not None}
+        members = None  # of all archives, inflated once to be checked, for the load too
         if zipped := {a for r in seen for a in r["archives"]}:
-            members = [m for m in scan_archives(spark, folder) if m.path in zipped and m.name and "_day" in m.name]
-            news |= {d for m in members if (d := day_of(m.name)) is not None}
+            members = scan_archives(spark, folder)
+            fresh = [m.name for m in members if m.path in zipped and m.name and "_day" in m.name]
+            news |= {d for name in fresh if (d := day_of(name)) is not None}
         if news:
             known = Warehouse(spark, root).finished()
-            load_folder(spark, folder, root, as_of, ingested_at, sorted({*news, *(d for d in known if d > min(news))}))
+            days = sorted({*news, *(d for d in known if d > min(news))})
+            load_folder(spark, folder, root, as_of, ingested_at, days, members=members)
 
     names = (
         spark.readStream.format("binaryFile")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from premia.plans.daily_load import load_day, load_folder
 from premia.schemas import TABLES
-from premia.sources.files import read_day
+from premia.sources.files import read_day, scan_archives
 from premia.sources.tables import ConcurrentLoad, Warehouse
 from premia.streaming.daily import load_arriving_days
 
@@ -313,3 +313,21 @@ def test_days_arriving_in_archives(spark, two_days, tmp_path):
         stream.awaitTermination()
         assert stream.exception() is None
     assert snapshot(Warehouse(spark, out)) == snapshot(two_days)
+
+
+def test_arrived_archives_are_checked_once(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    feeds.write_zip(folder, "all.zip", feeds.FILES)
+    scans = []
+
+    def scan(*args, **options):
+        scans.append(args)
+        return scan_archives(*args, **options)
+
+    monkeypatch.setattr("premia.streaming.daily.scan_archives", scan)
+    monkeypatch.setattr("premia.plans.daily_load.scan_archives", scan)
+    out = str(tmp_path / "out")
+    stream = load_arriving_days(spark, str(folder), out, str(tmp_path / "check"), as_of, NOW)
+    stream.awaitTermination()
+    assert stream.exception() is None
+    assert Warehouse(spark, out).finished() == [1, 2] and len(scans) == 1
