@@ -127,6 +127,6 @@ def test_runs_and_vocabulary_of_odd_texts():
     wanted = [int.from_bytes((context_mixing.START + t)[i : i + 6]) for t in flat for i in range(len(t))]
     assert keys.dtype == np.uint64 and keys.tolist() == wanted
     assert first.tolist() == np.cumsum([0, *map(len, flat[:-1])]).tolist()
-    known, numbers = context_mixing.vocabulary([context_mixing.tokens(t) for t in texts])
+    known, numbers = context_mixing.vocabulary(texts)
     assert list(known) == [b"a", b"b", b"b\xff", b"long-word"] and [n.tolist() for n in numbers] == [[], [0, 1], [], [2, 3, 0], []]
     assert context_mixing.vocabulary([]) == ({}, [])
