@@ -7,11 +7,14 @@ hash among its runs of ``RUN`` bytes, and equal strings have equal anchors; so
 1. each block of documents tells shards the hashes of its anchors and how many distinct texts surround each, and hears
    which of them other blocks have, too, and which are hot, that is have more than ``HOT`` texts around them in all;
 2. strings with such anchors go to their anchor's shard, neighbours with the same anchor as one text, each distinct text
-   once per block. A shard lays the texts out so that anchors stand at multiples of ``PERIOD``, ranks the positions of a
-   difference cover modulo ``PERIOD`` by the ``SAMPLE`` bytes that follow, and sorts one suffix bucket (first byte) at a
-   time: by the first 8 bytes, ties by the rank of the next cover position, then by the last 8. Equal strings stand at
-   equal residues, so one cover position settles a tie, and no more than a bucket is sorted at once;
-3. blocks hear the smallest document of every string and cut.
+   once per block. A text whose anchor no other text of the shard has is held by its own documents alone. A shard lays the
+   others out so that anchors stand at multiples of ``PERIOD``, ranks the positions of a difference cover modulo
+   ``PERIOD`` by the ``SAMPLE`` bytes that follow, and sorts one suffix bucket (first byte) at a time: by the first 8
+   bytes, ties by the rank of the next cover position, then by the last 8. Equal strings stand at equal residues, so one
+   cover position settles a tie, and no more than a bucket is sorted at once;
+3. blocks hear the smallest document of every string, and where their strings stand, and cut.
+
+Texts are rows of words, so that hashing, comparing and merging them is array work; equal hashes are compared.
 
 Shards grow in number with the corpus. A passage that many documents share is sent once per block; where it begins and
 ends, its anchors have other surroundings in each document. Such a hot anchor has no shard of its own: each of its strings
@@ -24,8 +27,7 @@ id never remove each other's bytes. An empty table gives an empty result. Other
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
@@ -46,17 +48,50 @@ SAMPLE = LENGTH - 8
 #: Bytes of a text's place in a shard: at most PERIOD - 1 of padding, 2 * LENGTH - RUN of text, a multiple of PERIOD.
 PLACE = 8 * PERIOD
 BLOCK_BYTES = 4 << 20
-SLICE = 1 << 21
+#: Bytes hashed at once; their arrays fit in a core's cache.
+SLICE = 1 << 16
 #: Bytes of input for each shard, about 14 to an anchor.
 SHARD_BYTES = 8 << 20
 #: Texts around one anchor that may meet in its shard; each has at most 27 strings.
 HOT = 8192
 NO_ID = np.iinfo(np.int64).max
+#: Words of eight bytes that hold the longest text, and for each word which of its bytes belong to a text of so many strings.
+WORDS = -(-(2 * LENGTH - RUN) // 8)
+KEEP = np.array(
+    [[(1 << 8 * min(max(c + LENGTH - 1 - 8 * k, 0), 8)) - 1 for c in range(LENGTH - RUN + 2)] for k in range(WORDS)], np.uint64
+)
+#: Kinds of the columns of ``Block.places``: text, start (both as differences), count, number.
+PLACES = (np.int32, np.int32, np.uint8, np.int32)
+
+
+def words_at(data: np.ndarray, order: str = ">") -> np.ndarray:
+    """The eight bytes from each position as an integer, by default one whose order is theirs; no memory of its own."""
+    return np.ndarray((len(data) - 7,), f"{order}u8", data, strides=(1,))
+
+
+def _mixed(columns: Iterable[np.ndarray]) -> np.ndarray:
+    """A hash of each row of these columns."""
+    h = np.uint64(0)
+    for c in columns:
+        h = (c.astype(np.uint64) ^ h) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, the number of each key among them, and where each first stands."""
+    order = np.argsort(keys)
+    new = np.append(True, keys[order[1:]] != keys[order[:-1]])[: len(keys)]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    first = np.minimum.reduceat(order, starts) if len(starts) else starts
+    return keys[first], number, first
 
 
-def words_at(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each position as an integer whose order is theirs; no memory of its own."""
-    return np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each ``first``, as many as its size."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 @dataclass
@@ -112,32 +147,35 @@ def anchored(texts: list[bytes]) -> Runs:
     found: list[Runs] = []
     for parts in _slices(texts):
         flat = b"".join(texts[i][s:e] for i, s, e in parts)
-        data = np.frombuffer(flat + bytes(32), np.uint8)
-        w = words_at(data)
         n = len(flat)
-        h = w[:n].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(29)) ^ w[8 : n + 8]) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(32)) ^ w[16 : n + 16]) * np.uint64(0x94D049BB133111EB)
+        w = words_at(np.frombuffer(flat + bytes(32), np.uint8)).astype(np.uint64)
+        h = w[:n] * np.uint64(0x9E3779B97F4A7C15)
+        for place, shift, factor in ((8, 29, 0xBF58476D1CE4E5B9), (16, 32, 0x94D049BB133111EB)):
+            h ^= h >> np.uint64(shift)
+            h ^= w[place : n + place]
+            h *= np.uint64(factor)
         h ^= h >> np.uint64(31)
         low = np.uint64((1 << 24) - 1)
-        least = _sliding_least((h & ~low) | np.arange(n, dtype=np.uint64), LENGTH - RUN + 1)
-        at, first, owner = [], 0, []
-        for k, (_, s, e) in enumerate(parts):
-            at.append(np.arange(first, first + e - s - LENGTH + 1))
-            owner.append(np.full(len(at[-1]), k))
-            first += e - s
-        at, owner = np.concatenate(at), np.concatenate(owner)
-        anchor = (least[at] & low).astype(np.int64)
-        new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])))
-        text, begin, size = np.array(parts).T
-        shift = begin - (np.cumsum(size - begin) - (size - begin))  # from places in the slice to places in the text
-        part = owner[new]
-        start, anchor, count = at[new], anchor[new], np.diff(np.append(new, len(at)))
+        marked = h & ~low
+        marked |= np.arange(n, dtype=np.uint64)
+        least = _sliding_least(marked, LENGTH - RUN + 1)
+        text, begin, end = np.array(parts).T
+        first = np.cumsum(end - begin) - (end - begin)
+        after = first + end - begin - LENGTH + 1  # where no string of the part begins any more
+        new = np.append(True, least[1:] != least[:-1])
+        new[first] = True
+        new[after] = True
+        start = np.flatnonzero(new)
+        count = np.diff(np.append(start, len(new)))
+        part = np.repeat(np.arange(len(parts)), np.diff(np.append(np.searchsorted(start, first), len(start))))
+        inside = start < after[part]
+        start, count, part = start[inside], count[inside], part[inside]
+        anchor = (least[start] & low).astype(np.int64)
         # Four runs of RUN bytes cover the strings, which are at most 2 * LENGTH - RUN bytes long.
-        end, body = start + count + LENGTH - 1, (anchor - start).astype(np.uint64)
-        for place in (start, start + RUN, end - 2 * RUN, end - RUN):
+        stop, body = start + count + LENGTH - 1, (anchor - start).astype(np.uint64)
+        for place in (start, start + RUN, stop - 2 * RUN, stop - RUN):
             body = (body ^ h[place]) * np.uint64(0x9E3779B97F4A7C15)
-        found.append(Runs(text[part], start + shift[part], count, anchor - start, h[anchor], body))
+        found.append(Runs(text[part], start + (begin - first)[part], count, anchor - start, h[anchor], body))
     if not found:
         none = np.zeros(0, np.int64)
         return Runs(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64))
@@ -155,16 +193,23 @@ def _full(key: np.ndarray, shards: int) -> np.ndarray:
 
 def _asked(key: np.ndarray, shards: int) -> np.ndarray:
     """The distinct hashes, in order; what a block sends and what the answer's bits stand for."""
-    return np.unique(_full(key, shards))
+    return _numbered(_full(key, shards))[0]
 
 
-def surroundings(runs: Runs, asked: np.ndarray, shards: int) -> np.ndarray:
-    """How many distinct texts hold each asked anchor, as 16 bits; larger numbers are hot by themselves."""
-    place = np.searchsorted(asked, _full(runs.key, shards))
-    order = np.lexsort((runs.body, place))
-    place, body = place[order], runs.body[order]
+def surroundings(runs: Runs, asked: np.ndarray, shards: int, place: np.ndarray | None = None) -> np.ndarray:
+    """How many distinct texts hold each asked anchor, as 16 bits; larger numbers are hot by themselves.
+
+    ``place``: the number of each run's hash among the asked, if it is known.
+    """
+    place = np.searchsorted(asked, _full(runs.key, shards)) if place is None else place
+    size = np.bincount(place, minlength=len(asked))
+    several = np.flatnonzero(size[place] > 1)
+    place, body = place[several], runs.body[several]
+    order = np.lexsort((body, place))
+    place, body = place[order], body[order]
     new = np.append(True, (place[1:] != place[:-1]) | (body[1:] != body[:-1]))[: len(place)]
-    return np.minimum(np.bincount(place[new], minlength=len(asked)), 0xFFFF).astype("<u2")
+    texts = np.where(size > 1, np.bincount(place[new], minlength=len(asked)), size)
+    return np.minimum(texts, 0xFFFF).astype("<u2")
 
 
 def _by_shard(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -173,78 +218,147 @@ def _by_shard(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(values[s]), int(s), int(e)
 
 
-def repeated_within(runs: Runs, ids: np.ndarray, asked: np.ndarray, shards: int) -> np.ndarray:
-    """Which of the asked hashes stand in documents with different ids of this block."""
-    place, owner = np.searchsorted(asked, _full(runs.key, shards)), ids[runs.text]
-    least, most = np.full(len(asked), NO_ID), np.full(len(asked), np.iinfo(np.int64).min)
+def repeated_within(place: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Which of the ``n`` asked hashes stand in documents with different ids of this block."""
+    several = np.flatnonzero(np.bincount(place, minlength=n)[place] > 1)
+    place, owner = place[several], owner[several]
+    least, most = np.full(n, NO_ID), np.full(n, np.iinfo(np.int64).min)
     np.minimum.at(least, place, owner)
     np.maximum.at(most, place, owner)
     return least < most
 
 
+@dataclass
+class Bodies:
+    """Texts of 50 to 76 bytes, zeros behind: words, how many strings each has, anchor's offset, smallest id of its documents."""
+
+    words: np.ndarray  # WORDS to a text
+    count: np.ndarray
+    anchor: np.ndarray
+    least: np.ndarray
+
+    def pick(self, which: np.ndarray) -> Bodies:
+        return Bodies(*(getattr(self, f.name)[which] for f in fields(self)))
+
+    def merged(self) -> tuple[Bodies, np.ndarray, np.ndarray]:
+        """Equal texts as one, in order of their first; the number of each text, and the hash of each that stays."""
+        key = _mixed([self.anchor * 128 + self.count, *self.words.T])
+        _, number, first = _numbered(key)
+        # Unequal texts of one hash stay apart.
+        leader = first[number]
+        equal = (self.words == self.words[leader]).all(axis=1) & (self.count == self.count[leader]) & (self.anchor == self.anchor[leader])
+        leader = np.where(equal, leader, np.arange(len(leader)))
+        stays = leader == np.arange(len(leader))
+        number = (np.cumsum(stays) - 1)[leader]
+        out = self.pick(stays)
+        np.minimum.at(out.least, number, self.least)
+        return out, number, key[stays]
+
+    def data(self) -> bytes:
+        """Compressed, without the zeros."""
+        inside = np.arange(8 * WORDS) < (self.count + LENGTH - 1)[:, None]
+        return _small(self.least, self.count.astype(np.uint8), self.anchor.astype(np.uint8), self.words.view(np.uint8)[inside])
+
+    @staticmethod
+    def of(data: bytes) -> Bodies:
+        least, count, anchor, flat = _large(data, np.int64, np.uint8, np.uint8, np.uint8)
+        count, anchor = count.astype(np.int64), anchor.astype(np.int64)
+        words = np.zeros((len(count), WORDS), np.uint64)
+        words.view(np.uint8)[np.arange(8 * WORDS) < (count + LENGTH - 1)[:, None]] = flat
+        return Bodies(words, count, anchor, least.copy())
+
+
+def _small(*arrays: np.ndarray) -> bytes:
+    """The arrays, compressed."""
+    sizes = np.array([a.nbytes for a in arrays], np.int64)
+    return sizes.tobytes() + pa.compress(b"".join([a.tobytes() for a in arrays]), codec="zstd", asbytes=True)
+
+
+def _large(data: bytes, *kinds: type) -> list[np.ndarray]:
+    """The arrays of ``_small``."""
+    ends = np.cumsum(np.frombuffer(data, np.int64, len(kinds))).tolist()
+    flat = np.frombuffer(pa.decompress(memoryview(data)[8 * len(kinds) :], ends[-1], codec="zstd"), np.uint8)
+    return [flat[s:e].view(k) if e > s else np.zeros(0, k) for s, e, k in zip([0, *ends], ends, kinds)]
+
+
 @dataclass
 class Block:
     """A block's candidate strings: the distinct texts that hold them, in shard order, and where they stand."""
 
-    ids: np.ndarray
-    texts: list[bytes]
     runs: Runs
     number: np.ndarray  # of each run's distinct text
-    distinct: list[bytes]
-    anchor: np.ndarray
-    least: np.ndarray  # smallest id among the documents of this block that hold the text
+    bodies: Bodies
     shard: np.ndarray
 
+    @property
+    def distinct(self) -> list[bytes]:
+        """The texts as bytes."""
+        return [w.tobytes()[: c + LENGTH - 1] for w, c in zip(self.bodies.words, self.bodies.count.tolist())]
+
+    def places(self) -> bytes:
+        """What ``finish`` needs to know of the runs."""
+        r = self.runs
+        order = np.lexsort((r.start, r.text))
+        parts = (np.diff(r.text[order], prepend=0), np.diff(r.start[order], prepend=0), r.count[order], self.number[order])
+        return _small(*(p.astype(k) for p, k in zip(parts, PLACES)), np.unique(self.shard))
+
 
 def candidates(payload: bytes, repeated: dict[int, bytes], shards: int) -> Block:
     """The strings of a block whose anchors stand in more than one document."""
     docs = unpacked(payload)
     texts, ids = docs.column("text").to_pylist(), docs.column("id").to_numpy()
     runs = anchored(texts)
-    asked = _asked(runs.key, shards)
-    known, hot = repeated_within(runs, ids, asked, shards), np.zeros(len(asked), bool)
+    asked, place, _ = _numbered(_full(runs.key, shards))
+    known, hot = repeated_within(place, ids[runs.text], len(asked)), np.zeros(len(asked), bool)
     for shard, s, e in _by_shard((asked >> np.uint64(32)).astype(np.int64)):
         told = np.frombuffer(repeated[shard], np.uint8)
         here, size = told[: -(-(e - s) // 8)], e - s
         known[s:e] |= np.unpackbits(here, count=size).astype(bool)
         if len(told) > len(here):
             hot[s:e] = np.unpackbits(told[len(here) :], count=size).astype(bool)
-    place = np.searchsorted(asked, _full(runs.key, shards))
-    plain, alone = runs.pick(known[place] & ~hot[place]), runs.pick(known[place] & hot[place]).singly()
-    home = _shard(plain.key, shards).tolist() + [-1] * len(alone.text)
+    known, hot = known[place], hot[place]
+    plain, alone = runs.pick(known & ~hot), runs.pick(known & hot).singly()
     runs = Runs(*(np.concatenate([getattr(plain, f.name), getattr(alone, f.name)]) for f in fields(Runs)))
-    seen: dict[bytes, int] = {}
-    distinct, anchor, least, of, number = [], [], [], [], []
-    for t, s, c, a, shard in zip(*(x.tolist() for x in (runs.text, runs.start, runs.count, runs.anchor)), home):
-        body = texts[t][s : s + c + LENGTH - 1]
-        k = seen.setdefault(bytes((a,)) + body, len(distinct))
-        if k == len(distinct):
-            distinct.append(body)
-            anchor.append(a)
-            least.append(ids[t])
-            of.append(shard if shard >= 0 else zlib.crc32(body) % shards)
-        elif ids[t] < least[k]:
-            least[k] = ids[t]
-        number.append(k)
-    as_ints = lambda x: np.array(x, np.int64)
-    order = np.argsort(as_ints(of), kind="stable")
+    word = words_at(np.frombuffer(b"".join([*texts, bytes(8 * WORDS)]), np.uint8), "<")
+    size = np.array([len(t) for t in texts], np.int64)
+    at = (np.cumsum(size) - size)[runs.text] + runs.start
+    words = np.column_stack([word[at + 8 * k] & KEEP[k][runs.count] for k in range(WORDS)])
+    bodies, number, _ = Bodies(words, runs.count, runs.anchor, ids[runs.text]).merged()
+    # The hash of a lone string is that of its bytes, since equal strings have equal anchors.
+    first = np.full(len(bodies.count), len(number))
+    np.minimum.at(first, number, np.arange(len(number)))
+    own = _mixed(bodies.words.T)
+    of = _shard(np.where(first < len(plain.key), runs.key[first], own ^ (own >> np.uint64(31))), shards)
+    order = np.argsort(of, kind="stable")
     new_number = np.empty(len(order), np.int64)
     new_number[order] = np.arange(len(order))
-    return Block(
-        ids, texts, runs, new_number[as_ints(number)], [distinct[i] for i in order], as_ints(anchor)[order], as_ints(least)[order], as_ints(of)[order]
-    )
-
-
-def smallest(bodies: list[bytes], anchors: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each string in the texts, in order: number of its text, and the smallest id of the texts that hold it."""
-    n = len(bodies)
-    size = np.array([len(b) for b in bodies])
-    pad = -anchors % PERIOD
-    data = np.frombuffer(
-        b"".join([bytes(p) + b + bytes(PLACE - p - len(b)) for p, b in zip(pad.tolist(), bodies)]) + bytes(64), np.uint8
-    )
-    word = words_at(data)
+    return Block(runs, new_number[number], bodies.pick(order), of[order])
+
+
+def smallest(bodies: Bodies) -> np.ndarray:
+    """For each string in the texts, in order: the smallest id of the texts that hold it."""
+    word = words_at(bodies.words.view(np.uint8).ravel(), "<")
+    at = np.arange(len(bodies.count)) * 8 * WORDS + bodies.anchor
+    _, number, _ = _numbered(_mixed([word[at + k] for k in (0, 8, 16)]))
+    # A text that shares its anchor with no other shares no string with it.
+    several = np.flatnonzero(np.bincount(number)[number] > 1)
+    out = np.repeat(bodies.least, bodies.count)
+    if len(several):
+        first = np.cumsum(bodies.count) - bodies.count
+        out[_spread(first[several], bodies.count[several])] = _sorted(bodies.pick(several))
+    return out
+
+
+def _sorted(bodies: Bodies) -> np.ndarray:
+    """``smallest`` by sorting the suffixes."""
+    n, ids = len(bodies.count), bodies.least
+    size = bodies.count + LENGTH - 1
+    pad = -bodies.anchor % PERIOD
     begin = np.arange(n) * PLACE + pad
+    data = np.zeros(n * PLACE + 64, np.uint8)
+    for k in range(WORDS):
+        words_at(data, "<")[begin + 8 * k] = bodies.words[:, k]
+    word = words_at(data)
     # Ranks of the cover positions by the bytes that follow.
     cover = (np.arange(0, PLACE, PERIOD)[:, None] + np.array(COVER)).ravel()
     sample = (np.arange(n)[:, None] * PLACE + cover).ravel()
@@ -258,9 +372,8 @@ def smallest(bodies: list[bytes], anchors: np.ndarray, ids: np.ndarray) -> tuple
     rank = np.zeros(n * PLACE + 64, np.int32)
     rank[sample[order]] = np.cumsum(new)
     next_cover = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
-    count = size - LENGTH + 1
-    owner = np.repeat(np.arange(n), count)
-    at = np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    owner = np.repeat(np.arange(n), bodies.count)
+    at = _spread(begin, bodies.count)
     out = np.empty(len(at), np.int64)
     bucket = data[at]
     by_bucket = np.argsort(bucket, kind="stable")
@@ -281,7 +394,7 @@ def smallest(bodies: list[bytes], anchors: np.ndarray, ids: np.ndarray) -> tuple
         group = np.cumsum(new) - 1
         least = np.minimum.reduceat(ids[owner[here]][order], np.flatnonzero(new))
         out[here[order]] = least[group]
-    return owner, out
+    return out
 
 
 def cut(text: bytes, starts: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -311,8 +424,8 @@ def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int =
         for b in batches:
             for block, payload in zip(b.column("block").to_pylist(), b.column("payload").to_pylist()):
                 runs = anchored(unpacked(payload).column("text").to_pylist())
-                asked = _asked(runs.key, shards)
-                around = surroundings(runs, asked, shards)
+                asked, place, _ = _numbered(_full(runs.key, shards))
+                around = surroundings(runs, asked, shards, place)
                 parts = list(_by_shard((asked >> np.uint64(32)).astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block] * len(parts), pa.int64()), pa.array([p[0] for p in parts], pa.int64()),
@@ -344,69 +457,57 @@ def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int =
         rows: dict[str, list] = {"block": [], "shard": [], "data": []}
         for number, payload in zip(block.column("block").to_pylist(), block.column("payload").to_pylist()):
             c = candidates(payload, as_map(answer), shards)
-            for shard, s, e in _by_shard(c.shard):
-                body = pa.table({"body": pa.array(c.distinct[s:e], pa.binary()), "anchor": c.anchor[s:e], "id": c.least[s:e]})
-                for name, value in (("block", number), ("shard", shard), ("data", packed(body))):
+            parts = [(shard, c.bodies.pick(slice(s, e)).data()) for shard, s, e in _by_shard(c.shard)]
+            # Where the runs stand goes past the shards, as a group of its own.
+            for shard, data in [*parts, (-1 - number, c.places())]:
+                for name, value in (("block", number), ("shard", shard), ("data", data)):
                     rows[name].append(value)
         return pa.table({"block": pa.array(rows["block"], pa.int64()), "shard": pa.array(rows["shard"], pa.int64()), "data": pa.array(rows["data"], pa.binary())})
 
     def sort(table: pa.Table) -> pa.Table:
-        parts = [unpacked(d) for d in table.column("data").to_pylist()]
-        every = pa.concat_tables(parts)
-        bodies, anchors, ids = every.column("body").to_pylist(), every.column("anchor").to_numpy(), every.column("id").to_numpy()
+        if table.column("shard")[0].as_py() < 0:
+            return table.select(["block", "shard", "data"])
+        parts = [Bodies.of(d) for d in table.column("data").to_pylist()]
         # Texts that several blocks sent are sorted once, under their smallest id.
-        seen: dict[tuple[int, bytes], int] = {}
-        which = np.array([seen.setdefault(k, len(seen)) for k in zip(anchors.tolist(), bodies)])
-        smallest_id = np.full(len(seen), NO_ID)
-        np.minimum.at(smallest_id, which, ids)
-        owner, least = smallest([body for _, body in seen], np.array([a for a, _ in seen]), smallest_id)
-        # Strings of one text whose smallest document is the same are told as one.
-        new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])))
-        strings, told = np.diff(np.append(new, len(owner))), least[new]
-        first = np.searchsorted(owner[new], np.arange(len(seen) + 1))
+        every, which, _ = Bodies(*(np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(Bodies))).merged()
+        least = smallest(every)
+        first = np.cumsum(every.count) - every.count
         answers, done = [], 0
         for p in parts:
-            mine = which[done : done + len(p)]
-            size = first[mine + 1] - first[mine]
-            at = np.repeat(first[mine], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            answers.append(packed(pa.table({"body": np.repeat(np.arange(len(p)), size), "strings": strings[at], "id": told[at]})))
-            done += len(p)
+            mine = which[done : done + len(p.count)]
+            told = least[_spread(first[mine], p.count)]
+            # Neighbouring strings whose smallest document is the same are told as one.
+            new = np.flatnonzero(np.append(True, told[1:] != told[:-1]))
+            answers.append(_small(told[new], np.diff(np.append(new, len(told))).astype(np.uint32)))
+            done += len(p.count)
         return table.select(["block", "shard"]).append_column("data", pa.array(answers, pa.binary()))
 
     sent = packs.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send, schema)
-    least = staged(sent.groupBy("shard").applyInArrow(sort, schema))
-    answers = shared.withColumn("kind", F.lit(0)).unionByName(least.withColumn("kind", F.lit(1)))
+    answers = staged(sent.groupBy("shard").applyInArrow(sort, schema))
 
     def finish(block: pa.Table, answer: pa.Table) -> pa.Table:
-        kinds = np.array(answer.column("kind").to_pylist())
-        first, second = (as_map(answer.filter(pa.array(kinds == k))) for k in (0, 1))
+        told = as_map(answer)
         out = []
-        for payload in block.column("payload").to_pylist():
-            c = candidates(payload, first, shards)
-            told = [unpacked(second[shard]) for shard, _, _ in _by_shard(c.shard)]
-            offsets = [s for _, s, _ in _by_shard(c.shard)]
-            starts: list[np.ndarray] = [np.zeros(0, np.int64)]
-            owners: list[np.ndarray] = [np.zeros(0, np.int64)]
-            if told:
-                body = np.concatenate([t.column("body").to_numpy() + s for t, s in zip(told, offsets)])
-                strings, ids = (np.concatenate([t.column(n).to_numpy() for t in told]) for n in ("strings", "id"))
-                per_string = np.repeat(ids, strings)
-                first_string = np.searchsorted(np.repeat(body, strings), np.arange(len(c.distinct)))
-                r = c.runs
-                size = r.count
-                inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                goes = per_string[np.repeat(first_string[c.number], size) + inside] < np.repeat(c.ids[r.text], size)
-                starts.append((np.repeat(r.start, size) + inside)[goes])
-                owners.append(np.repeat(r.text, size)[goes])
-            start, owner = np.concatenate(starts), np.concatenate(owners)
-            order = np.argsort(owner, kind="stable")
-            start, edges = start[order], np.searchsorted(owner[order], np.arange(len(c.texts) + 1))
-            cuts = [cut(t, start[s:e]) for t, s, e in zip(c.texts, edges, edges[1:])]
+        for number, payload in zip(block.column("block").to_pylist(), block.column("payload").to_pylist()):
+            docs = unpacked(payload)
+            texts, ids = docs.column("text").to_pylist(), docs.column("id").to_numpy()
+            *places, homes = _large(told[-1 - number], *PLACES, np.int64)
+            text, begin, count, body = (p.astype(np.int64) for p in places)
+            text, begin = np.cumsum(text), np.cumsum(begin)
+            size = np.zeros(body.max(initial=-1) + 1, np.int64)
+            size[body] = count
+            parts = [_large(told[shard], np.int64, np.uint32) for shard in homes.tolist()]
+            per_string = np.concatenate([np.zeros(0, np.int64), *(np.repeat(i, n) for i, n in parts)])
+            goes = per_string[_spread((np.cumsum(size) - size)[body], count)] < np.repeat(ids[text], count)
+            start, owner = _spread(begin, count)[goes], np.repeat(text, count)[goes]
+            edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+            cuts = [cut(t, start[s:e]) for t, s, e in zip(texts, edges, edges[1:])]
+            spans = np.concatenate([np.zeros((0, 2), np.int64), *(c for _, c in cuts)])
+            offsets = np.cumsum([0, *(len(c) for _, c in cuts)]).astype(np.int32)
             out.append(
                 pa.table(
-                    {"doc_id": unpacked(payload).column("doc_id"), "n_bytes": pa.array([len(t) for t in c.texts], pa.int64()),
-                     "spans": pa.array([[{"start": a, "end": z} for a, z in spans.tolist()] for _, spans in cuts],
-                                       pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    {"doc_id": docs.column("doc_id"), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+                     "spans": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([spans[:, 0], spans[:, 1]], ["start", "end"])),
                      "kept": pa.array([k for k, _ in cuts], pa.binary())}
                 )
             )

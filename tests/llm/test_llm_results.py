@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import math
 import random
 import re
 import string
 import struct
+import sys
 import zlib
 from collections import Counter
 
@@ -475,6 +477,61 @@ def test_cuts_of_repetitive_bytes(spark, monkeypatch, hot):
     assert sorted(map(tuple, got.collect())) == brute_cuts(docs)
 
 
+def sent(docs, shards=16):
+    """The candidates of one block whose anchors no other block has."""
+    payload = packed(pa.table({"id": pa.array([i for i, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs], pa.binary())}))
+    runs = suffix_dedup.anchored([t for _, t in docs])
+    asked = suffix_dedup._asked(runs.key, shards)
+    none = {k: np.packbits(np.zeros(e - s, bool)).tobytes() for k, s, e in suffix_dedup._by_shard((asked >> np.uint64(32)).astype(np.int64))}
+    return payload, none, suffix_dedup.candidates(payload, none, shards)
+
+
+def test_a_block_is_searched_without_python_per_string():
+    docs = shared_passage(300)
+    docs += [(i + 300, t) for i, t in docs]
+    payload, none, block = sent(docs)
+    assert len(block.runs.key) > 8000
+    calls = 0
+
+    def watch(frame, event, _):
+        nonlocal calls
+        calls += event in ("call", "c_call") and frame.f_code.co_filename == suffix_dedup.__file__
+
+    sys.setprofile(watch)
+    try:
+        suffix_dedup.candidates(payload, none, 16)
+    finally:
+        sys.setprofile(None)
+    assert calls < len(block.runs.key) / 2
+
+
+def test_only_texts_that_share_an_anchor_are_sorted(monkeypatch):
+    docs = shared_passage(90)
+    _, _, block = sent(docs + [(i + 90, t) for i, t in docs])
+    seen, sort = [], suffix_dedup._sorted
+    monkeypatch.setattr(suffix_dedup, "_sorted", lambda b: (seen.append(len(b.count)), sort(b))[1])
+    some = suffix_dedup.smallest(block.bodies)
+    assert 30 <= sum(seen) < len(block.distinct) / 4
+    assert np.array_equal(some, sort(block.bodies))
+    strings = [b[p : p + 50] for b in block.distinct for p in range(len(b) - 49)]
+    first = {}
+    for s, i in zip(strings, np.repeat(block.bodies.least, block.bodies.count).tolist()):
+        first[s] = min(i, first.get(s, i))
+    assert some.tolist() == [first[s] for s in strings]
+
+
+def test_unequal_texts_of_one_hash_stay_apart(monkeypatch):
+    _, _, block = sent(shared_passage(30) + [(i + 30, t) for i, t in shared_passage(30)])
+    twice = suffix_dedup.Bodies(*(np.concatenate([getattr(block.bodies, f.name)] * 2) for f in dataclasses.fields(block.bodies)))
+    least = suffix_dedup.smallest(block.bodies)
+    monkeypatch.setattr(suffix_dedup, "_mixed", lambda columns: np.zeros(len(next(iter(columns))), np.uint64))
+    every, number, _ = twice.merged()
+    assert np.array_equal(every.words[number], twice.words) and np.array_equal(every.anchor[number], twice.anchor)
+    assert np.array_equal(suffix_dedup.smallest(block.bodies), least)
+    again = suffix_dedup.Bodies.of(twice.data())
+    assert all(np.array_equal(getattr(again, f.name), getattr(twice, f.name)) for f in dataclasses.fields(again))
+
+
 # --- 9 -------------------------------------------------------------------------------------------------------
 
 
